@@ -208,18 +208,23 @@ def availability(found: DataFrame, periods: DataFrame, static_from: str) -> Data
     )
 
 
-def schema_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Columns and types over several tables or partitions, to see where they drift.
+def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """How columns drift over several tables or partitions of one table.
 
-    The schemas are the only thing read: one row per (table, column).
+    Per column: in how many tables it has values, in how many it is declared, its
+    types, and its filled values. One aggregate per table, then a few rows per column.
     """
-    spark = next(iter(tables.values())).sparkSession
-    rows = [(t, c, kind) for t, df in sorted(tables.items()) for c, kind in df.dtypes]
-    listed = spark.createDataFrame(rows, "table_name string, column_name string, type string")
-    return listed.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("present_in"),
+    def filled(df: DataFrame) -> DataFrame:
+        counts = non_null_counts(df)
+        kinds = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])
+        return counts.select("column_name", "non_null", F.try_element_at(kinds, F.col("column_name")).alias("type"))
+
+    rows = reduce(DataFrame.unionByName, [filled(df) for df in tables.values()])
+    return rows.groupBy("column_name").agg(
+        F.count_if(F.col("non_null") > 0).alias("present_in"),
+        F.count(F.lit(1)).alias("declared_in"),
         F.array_join(F.array_sort(F.collect_set("type")), ",").alias("types"),
-        F.lit(len(tables)).alias("n_tables"),
+        F.sum("non_null").alias("filled"),
     )
 
 
