@@ -89,20 +89,25 @@ def random_split(df: DataFrame, train_share: float = 0.8, seed: int = 42) -> tup
 def stratified_split(
     df: DataFrame, key: str, label: str, train_share: float = 0.8, order: Sequence[Column] | None = None
 ) -> DataFrame:
-    """Mark exactly ``floor(share * n)`` rows of every class as train.
+    """Mark ``floor(share * n)`` rows of every class as train.
 
-    Keys are ranked inside their class by ``order`` (a hash by default) with the
-    two-level running total, so a class of any size uses all tasks. All rows of one
-    key land on the same side.
+    Rows are ranked inside their class by ``order`` (a hash of the key by default) with
+    the two-level running total, so a class of any size uses all tasks. Only the last
+    train position of each class comes back to the rows, which are not shuffled for it.
+    Rows equal in ``order`` land on the same side.
     """
     order = list(order) if order is not None else [F.xxhash64(key), F.col(key)]
-    keys = df.groupBy(label, key).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(keys, order, ["n"], [label])
+    names = [f"_o{i}" for i in range(len(order))]
+    position = [expr.alias(name) for expr, name in zip(order, names)]
+    places = df.groupBy(label, *position).agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(places, [F.col(c).asc() for c in names], ["n"], [label])
     sizes = df.groupBy(label).agg(F.floor(F.count(F.lit(1)) * F.lit(train_share)).alias("_train_n"))
-    marks = ranked.join(sizes, label).select(
-        label, key, F.when(F.col("n_through") <= F.col("_train_n"), "train").otherwise("test").alias("part")
+    inside = ranked.join(sizes, label).where(F.col("n_through") <= F.col("_train_n"))
+    cuts = sizes.select(label).join(inside.groupBy(label).agg(F.max(F.struct(*names)).alias("_cut")), label, "left")
+    marked = df.join(cuts, label).withColumn(
+        "part", F.when(F.struct(*position) <= F.col("_cut"), "train").otherwise("test")
     )
-    return df.join(marks, [label, key])
+    return marked.drop("_cut")
 
 
 def stratified_sample(df: DataFrame, label: str, fractions: Mapping, seed: int = 42) -> DataFrame:

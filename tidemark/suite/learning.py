@@ -1 +1,247 @@
-"""Later."""
+"""Label and feature stores, feature preparation, training, scoring."""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidemark import fixed_values as fv
+from tidemark.operators import features as feats, models, registry as runs
+from tidemark.operators.evaluation import averaged_metrics, class_report
+from tidemark.plans import gold, lifecycle, silver
+from tidemark.suite import views
+from tidemark.suite.registry import query, r6
+from tidemark.suite.views import sql, table
+
+
+# --- stores ------------------------------------------------------------------
+@query("m04_label_rates", sql(
+    """SELECT snapshot_date, label_def, count(*) AS loans, CAST(sum(label) AS BIGINT) AS defaults, round(avg(label), 6) AS default_rate
+    FROM label_store GROUP BY 1, 2""", "label_store"))
+def _(spark, sf):
+    return gold.label_store(views.lms(spark, sf)).groupBy("snapshot_date", "label_def").agg(
+        F.count(F.lit(1)).alias("loans"), F.sum("label").alias("defaults"), r6(F.avg("label")).alias("default_rate")
+    )
+
+
+@query("m04_label_store", sql("SELECT * FROM label_store", "label_store"))
+def _(spark, sf):
+    return gold.label_store(views.lms(spark, sf))
+
+
+def _main_store(spark: SparkSession, sf: str) -> DataFrame:
+    raw = views.raw_financials(spark, sf)
+    return gold.feature_store_main(
+        silver.attributes_main(views.raw_attributes(spark, sf)), silver.financials_main(raw, clip_method="exact"),
+        silver.loan_types(raw), silver.clickstream_main(views.raw_clicks(spark, sf)), views.lms(spark, sf),
+    )
+
+
+_NUM = "nullif(regexp_extract({}, '([-+]?\\d*\\.?\\d+)', 1), '')"
+_JOINED = f"""SELECT l.loan_id, l.customer_id, l.snapshot_date, l.dpd, l.mob, CASE WHEN a BETWEEN 0 AND 120 THEN a END AS age,
+    nullif(occupation, '_______') AS occupation, CAST({_NUM.format('monthly_balance')} AS FLOAT) AS monthly_balance,
+    nullif(credit_mix, '_') AS credit_mix, payment_of_min_amount,
+    CAST(nullif(regexp_extract(credit_history_age, '(\\d+)\\s+Year', 1), '') AS INTEGER) * 12
+    + CAST(nullif(regexp_extract(credit_history_age, '(\\d+)\\s+Month', 1), '') AS INTEGER) AS months
+    FROM lms l LEFT JOIN (SELECT *, CAST({_NUM.format('age')} AS INTEGER) AS a FROM raw_attr) t USING (customer_id)
+    LEFT JOIN raw_fin f USING (customer_id) WHERE l.mob = 6"""
+_OCCUPATIONS = ("automobile", "building", "furniture", "household")
+
+
+@query("m05_feature_store_main", sql(
+    """SELECT loan_id, snapshot_date, CAST(coalesce(dpd, (SELECT trunc(avg(dpd)) FROM joined)) AS INTEGER) AS dpd,
+    CAST(coalesce(age, (SELECT trunc(avg(age)) FROM joined)) AS INTEGER) AS age,
+    round(coalesce(monthly_balance, (SELECT avg(CAST(monthly_balance AS DOUBLE)) FROM joined)), 2) AS monthly_balance,
+    CAST(coalesce(months, (SELECT trunc(avg(months)) FROM joined)) AS INTEGER) AS credit_history_age_month,
+    """ + ", ".join(f"CASE WHEN lower(occupation) = '{o}' THEN 1 ELSE 0 END AS occupation_{o}" for o in _OCCUPATIONS) + ", "
+    + ", ".join(f"CASE WHEN payment_of_min_amount = '{v}' THEN 1 ELSE 0 END AS payment_of_min_amount_{v.lower()}" for v in ("Yes", "No", "NM"))
+    + """, round(c.m, 6) AS avg_fe_1 FROM joined j LEFT JOIN (SELECT customer_id, snapshot_date AS d, avg(fe_1) AS m FROM raw_click GROUP BY 1, 2) c
+    ON j.customer_id = c.customer_id""",
+    "lms", "raw_attr", "raw_fin", "raw_click", joined=_JOINED))
+def _(spark, sf):
+    return _main_store(spark, sf).select(
+        "loan_id", "snapshot_date", "dpd", "age", F.round(F.col("monthly_balance").cast("double"), 2).alias("monthly_balance"),
+        "credit_history_age_month", *[f"occupation_{o}" for o in _OCCUPATIONS],
+        *[f"payment_of_min_amount_{v}" for v in ("yes", "no", "nm")], r6("avg_fe_1").alias("avg_fe_1"),
+    )
+
+
+@query("m06_feature_store_retrofit", sql(
+    """SELECT l.loan_id, count(*) AS n, CAST(sum(c.fe_1) AS BIGINT) AS fe_1, max(CAST(f.total_emi_per_month AS INTEGER)) AS emi,
+    max(CASE WHEN contains(f.type_of_loan, 'Auto Loan') THEN 1 ELSE 0 END) AS auto_loan FROM lms l LEFT JOIN raw_fin f ON l.customer_id = f.customer_id
+    LEFT JOIN raw_click c ON l.customer_id = c.customer_id WHERE l.mob = 6 GROUP BY l.loan_id""", "lms", "raw_fin", "raw_click"))
+def _(spark, sf):
+    wide = gold.feature_store_retrofit(
+        silver.attributes_retrofit(views.raw_attributes(spark, sf)), silver.financials_retrofit(views.raw_financials(spark, sf)),
+        silver.clickstream_retrofit(views.raw_clicks(spark, sf)), views.lms(spark, sf),
+    )
+    return wide.groupBy("loan_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("fe_1").alias("fe_1"), F.max(F.col("total_emi_per_month").cast("int")).alias("emi"),
+        F.max("auto_loan").alias("auto_loan"),
+    )
+
+
+# --- preparation -------------------------------------------------------------
+@query("m01_mean_imputation", sql(
+    """SELECT customer_id, CAST(coalesce(fe_2, (SELECT trunc(avg(fe_2)) FROM raw_click)) AS INTEGER) AS fe_2,
+    CAST(coalesce(fe_3, (SELECT trunc(avg(fe_3)) FROM raw_click)) AS INTEGER) AS fe_3, CAST(NULL AS DOUBLE) AS never FROM raw_click""", "raw_click"))
+def _(spark, sf):
+    df = views.raw_clicks(spark, sf).select("customer_id", "fe_2", "fe_3", F.lit(None).cast("double").alias("never"))
+    return feats.impute_means(df)
+
+
+@query("m02_one_hot", sql(
+    "SELECT customer_id, " + ", ".join(f"CASE WHEN lower(nullif(occupation, '_______')) = '{o}' THEN 1 ELSE 0 END AS occupation_{o}" for o in _OCCUPATIONS)
+    + " FROM raw_attr", "raw_attr"))
+def _(spark, sf):
+    df = silver.attributes_main(views.raw_attributes(spark, sf)).select("customer_id", "occupation")
+    return feats.one_hot(df, feats.category_labels(df, ["occupation"]))
+
+
+_FIN_LABELS = {"credit_mix": ("Good", "Bad", "Standard"), "payment_of_min_amount": ("Yes", "No", "NM"),
+               "payment_behaviour_spent": ("High", "Low"), "payment_behaviour_value": ("Small", "Medium", "Large")}
+_FIN_COLUMNS = """SELECT customer_id, nullif(credit_mix, '_') AS credit_mix, payment_of_min_amount,
+    nullif(regexp_extract(payment_behaviour, '(Low|High)_spent_(Small|Medium|Large)_value', 1), '') AS payment_behaviour_spent,
+    nullif(regexp_extract(payment_behaviour, '(Low|High)_spent_(Small|Medium|Large)_value', 2), '') AS payment_behaviour_value FROM raw_fin"""
+
+
+@query("m03_one_hot_all", sql(
+    "SELECT customer_id, " + ", ".join(
+        f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS {c}_{v.lower()}" for c, vs in _FIN_LABELS.items() for v in vs) + " FROM cats",
+    "raw_fin", cats=_FIN_COLUMNS))
+def _(spark, sf):
+    df = silver.financials_main(views.raw_financials(spark, sf)).select("customer_id", *_FIN_LABELS)
+    return feats.one_hot(df, feats.category_labels(df, list(_FIN_LABELS)))
+
+
+@query("m09_split_by_key", """SELECT o_orderkey, CASE WHEN (o_orderkey * 7919) % 100 < 80 THEN 'train' ELSE 'test' END AS part FROM orders""")
+def _(spark, sf):
+    return feats.split_by_key(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey")
+
+
+@query("m10_stratified_split", """SELECT o_orderkey, o_orderpriority, CASE WHEN rn <= floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS part FROM
+    (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY (o_orderkey * 7919) % 1000003, o_orderkey) AS rn,
+    count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders)""")
+def _(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    order = [F.col("o_orderkey") * 7919 % 1000003, F.col("o_orderkey")]
+    return feats.stratified_split(orders, "o_orderkey", "o_orderpriority", 0.8, order)
+
+
+@query("m10_tuning_sample")
+def _(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    return feats.stratified_sample(orders, "o_orderpriority", {p: 0.1 for p in views.LOAN_NAMES}).groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@query("m11_random_sample")
+def _(spark, sf):
+    return feats.sample_rows(table(spark, sf, "orders"), 0.1, 42).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- training and scoring ----------------------------------------------------
+# Rounds are few here so that a check run stays short; the defaults are models.TREES.
+_ROUNDS = 10
+_MODEL_FEATURES = ("tenure", "loan_amt", "due_amt", "balance", "mob", "paid_amt")
+
+
+def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
+    lms = views.lms(spark, sf)
+    label = F.when(F.col("dpd") >= fv.LABEL_DPD, 1).otherwise(0).alias("label")
+    return lms.select("loan_id", "customer_id", "snapshot_date", *_MODEL_FEATURES, label)
+
+
+@lru_cache(maxsize=2)
+def _candidates(app: str, sf: str):
+    spark = SparkSession.getActiveSession()
+    return lifecycle.train_candidates(_training_rows(spark, sf), _MODEL_FEATURES, n_estimators=_ROUNDS)
+
+
+def _trained(spark: SparkSession, sf: str):
+    return _candidates(spark.sparkContext.applicationId, sf)
+
+
+@query("m12_boosted_trees")
+def _(spark, sf):
+    model = models.train_boosted(_training_rows(spark, sf), _MODEL_FEATURES, n_estimators=_ROUNDS)
+    return models.feature_importances(spark, model, _MODEL_FEATURES)
+
+
+@query("m13_boosted_early_stop")
+def _(spark, sf):
+    rows = _training_rows(spark, sf)
+    held_out = F.pmod(F.xxhash64("loan_id"), F.lit(5)) == 0
+    model = models.train_boosted_early_stop(rows, _MODEL_FEATURES, held_out, n_estimators=_ROUNDS)
+    return models.feature_importances(spark, model, _MODEL_FEATURES)
+
+
+@query("m14_tuned_boosted")
+def _(spark, sf):
+    ranges = {**models.SEARCH_RANGES, "n_estimators": (3, 5, 1), "max_depth": (3, 4)}
+    model, params, loss = models.tune_boosted(_training_rows(spark, sf), _MODEL_FEATURES, trials=2, ranges=ranges)
+    scored = models.score_rows(model, _training_rows(spark, sf), _MODEL_FEATURES, ["label"])
+    return averaged_metrics(class_report(scored)).withColumn("loss", F.lit(float(loss)))
+
+
+def _grade_rows(spark: SparkSession, sf: str) -> DataFrame:
+    joined = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice", "l_tax", "l_discount", "l_shipdate")
+    grade = F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 1.0).otherwise(2.0)
+    return joined.select("l_quantity", "l_extendedprice", "l_tax", "l_discount", F.unix_date(F.col("l_shipdate").cast("date")).alias("day"), grade.alias("label"))
+
+
+@query("m15_multiclass_search")
+def _(spark, sf):
+    names = ["l_quantity", "l_extendedprice", "l_tax", "l_discount", "day"]
+    grid = {**models.MULTICLASS_GRID, "max_depth": (3, 4), "n_estimators": (4, 6)}
+    model, params, best = models.tune_multiclass(_grade_rows(spark, sf), names, draws=2, grid=grid)
+    rows = models.assemble(_grade_rows(spark, sf), names, keep=["label"])
+    return averaged_metrics(class_report(model.transform(rows))).withColumn("cv_macro_f1", F.lit(float(best)))
+
+
+@query("m16_monthly_inference")
+def _(spark, sf):
+    fitted, _scores = _trained(spark, sf)
+    inference, _metrics = lifecycle.monthly_inference(
+        fitted["LightGBM"], _training_rows(spark, sf).where("snapshot_date = date '1998-03-01'"), _MODEL_FEATURES, "1998_03_01", "1", "run-1"
+    )
+    return inference.drop("inference_date")
+
+
+@query("m17_champion_version")
+def _(spark, sf):
+    _fitted, scores = _trained(spark, sf)
+    champion = runs.choose_champion(scores, "auc")
+    versions = table(spark, sf, "orders").select(
+        F.lit("credit_scoring_model").alias("name"), F.col("o_orderkey").cast("string").alias("version"), F.lit("Archived").alias("stage"),
+        F.col("o_orderkey").cast("string").alias("run_id"),
+    )
+    return runs.next_version(versions, "credit_scoring_model", champion)
+
+
+@query("t08_top_importances")
+def _(spark, sf):
+    fitted, _scores = _trained(spark, sf)
+    return models.feature_importances(spark, fitted["CatBoost"], _MODEL_FEATURES, 20)
+
+
+@query("x04_batch_scoring", """SELECT l_orderkey, l_linenumber, l_partkey, round(1 / (1 + exp(-(0.05 * l_quantity - 20 * l_discount + 3 * l_tax))), 6) AS score FROM lineitem""")
+def _(spark, sf):
+    def logistic(x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-(x @ np.array([0.05, -20.0, 3.0]))))
+
+    lines = table(spark, sf, "lineitem")
+    scored = models.score_with(lines, ["l_quantity", "l_discount", "l_tax"], ["l_orderkey", "l_linenumber", "l_partkey"], logistic)
+    return scored.withColumn("score", r6("score"))
+
+
+@query("x02_probability_vector", """SELECT vec_id, round(CAST(embedding[1] AS DOUBLE), 5) AS first, len(embedding) AS size FROM embeddings""")
+def _(spark, sf):
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    vectors = table(spark, sf, "embeddings").select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    unpacked = vectors.select("vec_id", vector_to_array("v").alias("a"))
+    return unpacked.select("vec_id", F.round(F.col("a")[0], 5).alias("first"), F.size("a").cast("long").alias("size"))
