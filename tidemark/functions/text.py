@@ -10,11 +10,11 @@ from tidemark import fixed_values as fv
 def whole_number(text: Column) -> Column:
     """Text to int; a fraction is cut off and anything else unreadable is NULL."""
     clean = F.trim(text.cast("string"))
-    whole = F.regexp_extract(clean, r"^([-+]?\d*)\.?\d*$", 1)
-    return F.when(
-        clean.rlike(r"^[-+]?(\d+\.?\d*|\.\d+)$"),
-        F.when(whole.rlike(r"\d"), whole.try_cast("int")).otherwise(F.lit(0)),
-    )
+    return F.when(clean.rlike(r"^[-+]?(\d+\.?\d*|\.\d+)$"), _cut(clean))
+
+
+def _cut(number: Column) -> Column:
+    return number.try_cast("double").try_cast("int")
 
 
 def parse(text: Column, kind: str) -> Column:
@@ -24,7 +24,8 @@ def parse(text: Column, kind: str) -> Column:
 
 def first_number(text: Column, kind: str = "float") -> Column:
     """First signed number found anywhere in the text."""
-    return parse(F.regexp_extract(text.cast("string"), fv.FIRST_NUMBER, 1), kind)
+    found = F.regexp_extract(text.cast("string"), fv.FIRST_NUMBER, 1)
+    return _cut(found) if kind == "int" else found.try_cast(kind)
 
 
 def digits_only(text: Column, kind: str = "float") -> Column:

@@ -6,42 +6,40 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-HEAVY = "_heavy"
 SALT = "_salt"
+COPIES = "_copies"
 
 
-def heavy_keys(df: DataFrame, key: str, share: float = 0.001, at_least: int = 100_000) -> DataFrame:
-    """Keys holding more than ``share`` of the rows: never more than ``1 / share`` of them."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n"))
-    bar = F.greatest(total.scalar() * F.lit(share), F.lit(float(at_least)))
-    return counts.where(F.col("_n") > bar).select(key)
+def heavy_keys(df: DataFrame, key: str, share: float = 0.001, at_least: int = 100_000) -> list:
+    """Key values (None included) holding more than ``share`` of the rows.
 
-
-def _mark(df: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
-    # heavy has at most 1/share rows, so this broadcast has a fixed bound
-    marks = F.broadcast(heavy.withColumn(HEAVY, F.lit(True)))
-    return df.join(marks, key, "left").withColumn(HEAVY, F.coalesce(HEAVY, F.lit(False)))
-
-
-def _salt_of(spread_on: Sequence[str], salts: int) -> Column:
-    return F.pmod(F.xxhash64(*spread_on), F.lit(salts)).cast("int")
+    There are never more than ``1 / share`` of them, so they fit in a plan as
+    literals. Keys below ``at_least`` rows are not worth splitting.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    bar = F.greatest(total * F.lit(share), F.lit(float(at_least)))
+    return [row[0] for row in counts.where(F.col("_n") > bar).select(key).collect()]
 
 
-def _every_salt(salts: int) -> Column:
-    return F.explode(F.when(F.col(HEAVY), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+def _is_heavy(key: str, heavy: Sequence) -> Column:
+    values = [v for v in heavy if v is not None]
+    return F.coalesce(F.col(key).isin(values), F.lit(False)) if values else F.lit(False)
 
 
-def spread(df: DataFrame, key: str, heavy: DataFrame, spread_on: Sequence[str], salts: int) -> DataFrame:
-    """Give rows of heavy keys (and rows without a key) a salt from their own values."""
-    marked = _mark(df, key, heavy)
-    hot = F.col(HEAVY) | F.col(key).isNull()
-    return marked.withColumn(SALT, F.when(hot, _salt_of(spread_on, salts)).otherwise(F.lit(0))).drop(HEAVY)
+def spread(df: DataFrame, key: str, heavy: Sequence, spread_on: Sequence[str], salts: int) -> DataFrame:
+    """Give rows of heavy keys a salt computed from their own values, others salt 0."""
+    hot = _is_heavy(key, heavy)
+    if None in heavy:
+        hot = hot | F.col(key).isNull()
+    salt = F.pmod(F.xxhash64(*spread_on), F.lit(salts)).cast("int")
+    return df.withColumn(SALT, F.when(hot, salt).otherwise(F.lit(0)))
 
 
-def replicate(df: DataFrame, key: str, heavy: DataFrame, salts: int) -> DataFrame:
+def replicate(df: DataFrame, key: str, heavy: Sequence, salts: int) -> DataFrame:
     """Repeat only the rows of heavy keys, once per salt."""
-    return _mark(df, key, heavy).withColumn(SALT, _every_salt(salts)).drop(HEAVY)
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    return df.withColumn(SALT, F.explode(F.when(_is_heavy(key, heavy), every).otherwise(F.array(F.lit(0)))))
 
 
 def left_join_chain(
@@ -49,15 +47,20 @@ def left_join_chain(
     sides: Sequence[DataFrame],
     key: str,
     spread_on: Sequence[str],
-    heavy: DataFrame | None = None,
+    heavy: Sequence | None = None,
     salts: int = 32,
 ) -> DataFrame:
     """Left-join ``sides`` one after the other on the same key.
 
-    All joins use (key, salt), so the anchor is shuffled once for the whole chain
-    and a hot anchor key is split over ``salts`` tasks.
+    With heavy anchor keys all joins use (key, salt): the anchor is shuffled once for
+    the whole chain and a heavy key is split over ``salts`` tasks. ``spread_on`` are
+    columns that differ between the anchor rows of one key.
     """
-    heavy = heavy if heavy is not None else heavy_keys(anchor, key)
+    heavy = heavy_keys(anchor, key) if heavy is None else heavy
+    if not heavy:
+        for side in sides:
+            anchor = anchor.join(side, key, "left")
+        return anchor
     out = spread(anchor, key, heavy, spread_on, salts)
     for side in sides:
         out = out.join(replicate(side, key, heavy, salts), [key, SALT], "left")
@@ -69,7 +72,7 @@ def left_join_hot_right(
     right: DataFrame,
     key: str,
     spread_on: Sequence[str],
-    heavy: DataFrame | None = None,
+    heavy: Sequence | None = None,
     salts: int = 32,
 ) -> DataFrame:
     """Left join whose right side has many rows per key, some keys very many.
@@ -78,8 +81,10 @@ def left_join_hot_right(
     heavy key is present on the right, so its left rows always match somewhere and
     the unmatched copies can be removed.
     """
-    heavy = heavy if heavy is not None else heavy_keys(right, key)
-    lefts = _mark(left, key, heavy).withColumn(SALT, _every_salt(salts))
-    rights = spread(right, key, heavy, spread_on, salts).withColumn("_hit", F.lit(True))
+    heavy = heavy_keys(right, key) if heavy is None else heavy
+    if not [v for v in heavy if v is not None]:
+        return left.join(right, key, "left")
+    lefts = replicate(left.withColumn(COPIES, _is_heavy(key, heavy)), key, heavy, salts)
+    rights = spread(right.where(F.col(key).isNotNull()), key, heavy, spread_on, salts).withColumn("_hit", F.lit(True))
     joined = lefts.join(rights, [key, SALT], "left")
-    return joined.where(~F.col(HEAVY) | F.col("_hit").isNotNull()).drop(HEAVY, SALT, "_hit")
+    return joined.where(~F.col(COPIES) | F.col("_hit").isNotNull()).drop(COPIES, SALT, "_hit")

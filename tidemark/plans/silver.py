@@ -68,8 +68,6 @@ def clip_caps(df: DataFrame, columns: Sequence[str], method: str = "approx", q:
 def financials_main(raw: DataFrame, clip_method: str = "approx") -> DataFrame:
     df = lower_names(raw)
     numbers = {c: text.first_number(F.col(c), kind) for c, kind in fv.FINANCIAL_TYPES.items()}
-    for c in fv.NON_NEGATIVE:
-        numbers[c] = text.keep_at_least(numbers[c])
     age, behaviour = F.col("credit_history_age"), F.col("payment_behaviour")
     derived = {
         "credit_history_age_year": text.duration_part(age, fv.YEARS_ANY),
@@ -78,7 +76,9 @@ def financials_main(raw: DataFrame, clip_method: str = "approx") -> DataFrame:
         "payment_behaviour_value": text.behaviour_value(behaviour),
         "credit_mix": text.null_if_in(F.col("credit_mix"), [fv.NO_CREDIT_MIX]),
     }
-    cleaned = df.withColumns({**numbers, **derived})
+    # the range check reads a parsed value twice, so parsing stays a projection of its own
+    kept = {c: text.keep_at_least(F.col(c)) for c in fv.NON_NEGATIVE}
+    cleaned = df.withColumns(numbers).withColumns({**derived, **kept})
     capped = cleaned.withColumn("_caps", clip_caps(cleaned, fv.CLIPPED, clip_method))
     clipped = {c: text.clip_above(F.col(c), F.col("_caps")[c]) for c in fv.CLIPPED}
     return capped.withColumns(clipped).drop("_caps", "payment_behaviour", "type_of_loan")
