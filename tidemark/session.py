@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # larger generated methods are never compiled by the JVM; run those stages unfused
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
