@@ -11,7 +11,7 @@ from conftest import rows
 from tidemark.operators import drift, evaluation as ev
 from tidemark.operators.ordered import exact_quantiles, row_numbers, running_totals
 
-SLOW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SLOW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def scored(spark, pairs):

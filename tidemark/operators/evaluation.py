@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.operators.ordered import running_totals
-from tidemark.session import staged
+from tidemark.session import broadcast_if_small, staged
 
 
 def ratio(top: Column, bottom: Column) -> Column:
@@ -189,6 +189,7 @@ def score_histogram(scored: DataFrame, bins: int = 50, label: str = "label", sco
         F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
     )
+    edges = broadcast_if_small(edges, "class-edges")
     counts = (
         # distinct scores first, so neither a hot class nor a hot score fills one task
         rows.groupBy("label", "score").agg(F.count(F.lit(1)).alias("n"))

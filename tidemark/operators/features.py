@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from tidemark.operators.columns import numeric_columns
-from tidemark.operators.ordered import running_totals
+from tidemark.operators.ordered import row_numbers, running_totals
+from tidemark.session import broadcast_if_small
 
 
 def _without_nan(df: DataFrame, name: str) -> Column:
@@ -104,7 +105,7 @@ def stratified_split(
     sizes = df.groupBy(label).agg(F.floor(F.count(F.lit(1)) * F.lit(train_share)).alias("_train_n"))
     inside = ranked.join(sizes, label).where(F.col("n_through") <= F.col("_train_n"))
     cuts = sizes.select(label).join(inside.groupBy(label).agg(F.max(F.struct(*names)).alias("_cut")), label, "left")
-    marked = df.join(cuts, label).withColumn(
+    marked = df.join(broadcast_if_small(cuts, "class-cuts"), label).withColumn(
         "part", F.when(F.struct(*position) <= F.col("_cut"), "train").otherwise("test")
     )
     return marked.drop("_cut")
@@ -120,8 +121,6 @@ def sample_rows(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFra
 
 def label_indexes(df: DataFrame, column: str) -> DataFrame:
     """Distinct values with their alphabetical index; the sort is over distinct values only."""
-    from tidemark.operators.ordered import row_numbers
-
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
     return row_numbers(values, [F.col(column).asc()], "_rn").select(
         column, (F.col("_rn") - 1).cast("int").alias(f"{column}_index")
@@ -129,12 +128,12 @@ def label_indexes(df: DataFrame, column: str) -> DataFrame:
 
 
 def encode_labels(df: DataFrame, column: str) -> DataFrame:
-    return df.join(label_indexes(df, column), column, "left")
+    return df.join(broadcast_if_small(label_indexes(df, column), "label-index"), column, "left")
 
 
 def decode_labels(df: DataFrame, index: str, mapping: DataFrame, column: str, unknown: str = "Unknown") -> DataFrame:
     """Index back to label; an index outside the mapping becomes ``unknown``."""
     names = mapping.select(F.col(f"{column}_index").alias(index), F.col(column).alias("_name"))
-    return df.join(names, index, "left").withColumn(
+    return df.join(broadcast_if_small(names, "label-names"), index, "left").withColumn(
         f"{index}_label", F.coalesce("_name", F.lit(unknown))
     ).drop("_name")

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.skew import left_join_chain
+
 
 
 # --- duplicates --------------------------------------------------------------
@@ -43,8 +45,6 @@ def shared_name_counts(df: DataFrame, name: str = "name") -> DataFrame:
     The counts are pre-aggregated and a name held by very many rows is split over
     several tasks in the join.
     """
-    from tidemark.operators.skew import left_join_chain
-
     counts = df.groupBy(name).agg(F.count(F.lit(1)).alias("name_shared_count")).where(F.col(name).isNotNull())
     spread_on = [c for c in df.columns if c != name]
     joined = left_join_chain(df, [counts], name, spread_on)
@@ -53,12 +53,15 @@ def shared_name_counts(df: DataFrame, name: str = "name") -> DataFrame:
 
 # --- keys on one side --------------------------------------------------------
 def key_difference(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys of left absent from right; NULL keys compare equal."""
-    return left.select(*keys).subtract(right.select(*keys))
+    """Distinct keys of left absent from right; NULL keys compare equal.
+
+    Both sides are made distinct before the shuffle, where a hot key is one row per task.
+    """
+    return left.select(*keys).distinct().subtract(right.select(*keys).distinct())
 
 
 def key_intersection(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return left.select(*keys).intersect(right.select(*keys))
+    return left.select(*keys).distinct().intersect(right.select(*keys).distinct())
 
 
 def rows_without_match(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -65,3 +65,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, label: str, limit: int = 10_000) -> DataFrame:
+    """Stage a reduced table and mark it for broadcast only when it has at most ``limit`` rows.
+
+    Beyond that the join is left to shuffle. Without the mark Spark would shuffle the
+    large side on a low-cardinality key before it learns that this side is tiny.
+    """
+    table = staged(df, label)
+    return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table

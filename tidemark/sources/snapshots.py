@@ -86,13 +86,16 @@ def in_trailing_weeks(df: DataFrame, end: str, weeks: int = 50, by: str = SNAPSH
 
 
 def semi_join_periods(df: DataFrame, periods: DataFrame, by: str = SNAPSHOT) -> DataFrame:
-    """Periods given as a table, one row each."""
-    return df.join(periods.select(by).distinct(), by, "left_semi")
+    """Periods given as a table; there is at most one row per calendar day to broadcast."""
+    return df.join(F.broadcast(periods.select(by).distinct()), by, "left_semi")
 
 
 def newest_layout(newer: DataFrame, older: DataFrame, by: str = SNAPSHOT) -> DataFrame:
-    """Two storage layouts of one table: a period comes from the newer if it is there, else the older."""
-    fallback = older.join(newer.select(by).distinct(), by, "left_anti")
+    """Two storage layouts of one table: a period comes from the newer if it is there, else the older.
+
+    The periods are dates, so the broadcast side has at most one row per calendar day.
+    """
+    fallback = older.join(F.broadcast(newer.select(by).distinct()), by, "left_anti")
     return newer.unionByName(fallback, allowMissingColumns=True)
 
 
