@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.operators.evaluation import loan_default_report
@@ -33,18 +33,18 @@ def psi_table(expected: DataFrame, actual: DataFrame, column: str, buckets: int
         value_counts(actual, column).withColumn("side", F.lit("a"))
     )
     values = staged(values, "psi")
-    breaks = _breaks(values.where("side = 'e'"), buckets) if exact else _sketched_breaks(expected, column, buckets)
-    bin_of = F.size(F.filter(F.col("breaks"), lambda b: b < F.col("value")))
+    found = _breaks(values.where("side = 'e'"), buckets) if exact else _sketched_breaks(expected, column, buckets)
+    breaks = (found.first() or [None])[0] or []  # at most buckets + 1 numbers
+    edges = F.array(*[F.lit(float(b)) for b in breaks]) if breaks else F.array().cast("array<double>")
     binned = (
-        values.withColumn("breaks", breaks.scalar())
-        .withColumn("bin", bin_of)
-        .where((F.col("bin") >= 1) & (F.col("bin") < F.size("breaks")))
+        values.withColumn("bin", F.size(F.filter(edges, lambda b: b < F.col("value"))))
+        .where(F.col("bin").between(1, len(breaks) - 1))
         .groupBy("bin")
         .agg(*[F.sum(F.when(F.col("side") == s, F.col("n"))).alias(s) for s in ("e", "a")])
     )
-    totals = binned.agg(F.struct(F.sum("e").alias("e"), F.sum("a").alias("a"))).scalar()
-    return binned.withColumn("t", totals).select(
-        "bin", *[_share(F.col(s), F.col("t")[s]).alias(name) for s, name in (("e", "expected"), ("a", "actual"))]
+    all_bins = Window.partitionBy()  # over at most ``buckets`` rows
+    return binned.select(
+        "bin", *[_share(F.col(s), F.sum(s).over(all_bins)).alias(name) for s, name in (("e", "expected"), ("a", "actual"))]
     )
 
 

@@ -61,8 +61,8 @@ def clip_caps(df: DataFrame, columns: Sequence[str], method: str = "approx", q:
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
     long = df.select(F.explode(pairs).alias("p")).select("p.name", "p.value")
     ranked = exact_quantiles(long, "value", [q], interpolate=False, within=["name"])
-    found = ranked.agg(F.map_from_entries(F.collect_list(F.struct("name", F.col("quantiles")[0]))).alias("m")).scalar()
-    return F.struct(*[F.try_element_at(found, F.lit(c)).alias(c) for c in columns])
+    found = {row.name: row.quantiles[0] for row in ranked.collect()}  # one row per clipped column
+    return F.struct(*[F.lit(found.get(c)).cast("double").alias(c) for c in columns])
 
 
 def financials_main(raw: DataFrame, clip_method: str = "approx") -> DataFrame:
