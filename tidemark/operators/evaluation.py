@@ -104,7 +104,9 @@ def top_rows(
     before = F.col("pos_before") + F.col("neg_before")
     through = F.col("pos_through") + F.col("neg_through")
     first = before == 0
-    at_cut = curve.select(
+    # whole percentiles that can end on this score, by plain arithmetic; few rows have one
+    may_end = F.floor(before * 100 / row_count - 1e-9) + 1 <= F.floor((through + 1) * 100 / row_count + 1e-9)
+    at_cut = curve.where(may_end | first).select(
         "score", "pos_before", "pos_through", "totals", before.alias("before"), through.alias("through"),
         F.explode(
             F.filter(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from tidemark.operators.columns import numeric_columns
-from tidemark.operators.ordered import row_numbers, running_totals
+from tidemark.operators.ordered import null_safe_join, row_numbers, running_totals
 from tidemark.session import broadcast_if_small
 
 
@@ -103,9 +103,11 @@ def stratified_split(
     places = df.groupBy(label, *position).agg(F.count(F.lit(1)).alias("n"))
     ranked = running_totals(places, [F.col(c).asc() for c in names], ["n"], [label])
     sizes = df.groupBy(label).agg(F.floor(F.count(F.lit(1)) * F.lit(train_share)).alias("_train_n"))
-    inside = ranked.join(sizes, label).where(F.col("n_through") <= F.col("_train_n"))
-    cuts = sizes.select(label).join(inside.groupBy(label).agg(F.max(F.struct(*names)).alias("_cut")), label, "left")
-    marked = df.join(broadcast_if_small(cuts, "class-cuts"), label).withColumn(
+    inside = null_safe_join(ranked, broadcast_if_small(sizes, "class-sizes"), [label]).where(
+        F.col("n_through") <= F.col("_train_n")
+    )
+    cuts = inside.groupBy(label).agg(F.max(F.struct(*names)).alias("_cut"))
+    marked = null_safe_join(df, broadcast_if_small(cuts, "class-cuts"), [label], "left").withColumn(
         "part", F.when(F.struct(*position) <= F.col("_cut"), "train").otherwise("test")
     )
     return marked.drop("_cut")

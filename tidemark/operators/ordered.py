@@ -1,54 +1,91 @@
 """Running totals and exact quantiles over a global order, without a
 single-task window.
 
-The rows are range-partitioned on the order once, each range is summed, the few
-range sums become start offsets, and every range then runs its own window.
+The rows are range-partitioned and sorted on the order once; each range adds up its
+own running sums while it is written, and the few range totals become start offsets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
-from tidemark.session import staged
+from tidemark.session import broadcast_if_small, staged
 
 RUN = "_run"
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match each other; the left key columns are kept."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def _sum_up(sums: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carried = dict.fromkeys(sums, 0)
+        for batch in batches:
+            added = []
+            for c in sums:
+                so_far = pc.add(pc.cumulative_sum(batch.column(c)), carried[c])
+                if len(so_far):
+                    carried[c] = so_far[len(so_far) - 1].as_py()
+                added.append(so_far)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, *[f"_{c}_sum" for c in sums]])
+
+    return run
+
+
 def running_totals(
     df: DataFrame,
     order: Sequence[Column],
     sums: Sequence[str],
     within: Sequence[str] = (),
 ) -> DataFrame:
-    """Add ``<c>_before`` and ``<c>_through`` for every column in ``sums``.
+    """Add ``<c>_before`` and ``<c>_through`` for every count column in ``sums``.
 
     ``df`` must already be reduced to one row per ``within`` + ``order`` key, so
-    that a hot value is one row and cannot fill a range by itself.
+    that a hot value is one row and cannot fill a range by itself. Counts are not
+    negative. The sums are added up in Arrow batches while the ranges are staged: a
+    window would need the rows shuffled and sorted a second time.
     """
     within = list(within)
-    ranged = df.repartitionByRange(*[F.col(c) for c in within], *order)
-    # staging freezes the range ids, so a lost executor cannot renumber them
-    runs = staged(ranged.withColumn(RUN, F.spark_partition_id()), "runs")
+    keys = [F.col(c) for c in within]
+    counted = df.withColumns({c: F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long")) for c in sums})
+    # staging also freezes the range ids, so a lost executor cannot renumber them
+    ranged = counted.repartitionByRange(*keys, *order).withColumn(RUN, F.spark_partition_id())
+    schema = StructType(counted.schema.fields).add(RUN, IntegerType())
+    for c in sums:
+        schema = schema.add(f"_{c}_sum", LongType())
+    runs = staged(ranged.sortWithinPartitions(*keys, *order).mapInArrow(_sum_up(sums), schema), "runs")
 
     earlier = Window.partitionBy(*within).orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        runs.groupBy(*within, RUN)
-        .agg(*[F.sum(c).alias(c) for c in sums])
-        .select(*within, RUN, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}_start") for c in sums])
+    totals = runs.groupBy(*within, RUN).agg(
+        *[F.sum(c).alias(c) for c in sums],
+        # a range may hold the end of one group and the start of the next
+        *[F.min(F.col(f"_{c}_sum") - F.col(c)).alias(f"_{c}_base") for c in sums],
+    )
+    starts = totals.select(
+        *within, RUN,
+        *[(F.coalesce(F.sum(c).over(earlier), F.lit(0)) - F.col(f"_{c}_base")).alias(f"_{c}_start") for c in sums],
     )
     if within:
-        runs = runs.join(starts, [*within, RUN])
+        placed = null_safe_join(runs, broadcast_if_small(starts, "starts"), [*within, RUN])
     else:
         # one row per range, at most spark.sql.shuffle.partitions of them
-        runs = runs.join(F.broadcast(starts), RUN)
-
-    so_far = Window.partitionBy(*within, RUN).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    through = runs.select(
-        *df.columns, *[(F.col(f"_{c}_start") + F.sum(c).over(so_far)).alias(f"{c}_through") for c in sums]
+        placed = runs.join(F.broadcast(starts), RUN)
+    through = {c: F.col(f"_{c}_sum") + F.col(f"_{c}_start") for c in sums}
+    return placed.select(
+        *df.columns,
+        *[through[c].alias(f"{c}_through") for c in sums],
+        *[(through[c] - F.col(c)).alias(f"{c}_before") for c in sums],
     )
-    return through.select("*", *[(F.col(f"{c}_through") - F.col(c)).alias(f"{c}_before") for c in sums])
 
 
 def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "rn", within: Sequence[str] = ()) -> DataFrame:
@@ -86,29 +123,31 @@ def quantiles_of_counts(
     """``exact_quantiles`` over rows already reduced by ``value_counts``."""
     within = list(within)
     ranked = running_totals(counts, [F.col("value").asc()], ["n"], within)
-    total = ranked.groupBy(*within).agg(F.max("n_through").alias("total"))
-    ranked = ranked.join(total, within) if within else ranked.withColumn("total", total.scalar())
+    total = ranked.groupBy(*within).agg(F.sum("n").alias("total"))
+    ranked = (
+        null_safe_join(ranked, broadcast_if_small(total, "totals"), within)
+        if within else ranked.withColumn("total", total.scalar())
+    )
 
     def position(p: float) -> Column:
         if interpolate:
             return F.lit(float(p)) * (F.col("total") - 1)
         return F.greatest(F.ceil(F.lit(float(p)) * F.col("total")) - 1, F.lit(0)).cast("double")
 
-    wanted = F.array(
-        *[
-            F.struct(F.lit(i).alias("slot"), position(p).alias("at"), rank(position(p)).cast("long").alias("rank"))
-            for i, p in enumerate(probabilities)
-            for rank in (F.floor, F.ceil)
-        ]
-    )
-    # a value row covers the 0-based ranks [before, through); few rows survive this
-    hits = ranked.select(
-        *within,
-        "value",
-        F.explode(
-            F.filter(wanted, lambda w: (w["rank"] >= F.col("n_before")) & (w["rank"] < F.col("n_through")))
-        ).alias("w"),
-    )
+    def covers(rank: Column) -> Column:
+        return (rank >= F.col("n_before")) & (rank < F.col("n_through"))
+
+    # a value row covers the 0-based ranks [before, through); plain comparisons leave
+    # at most two rows per probability
+    wanted = [
+        (slot, position(p), rank(position(p)).cast("long"))
+        for slot, p in enumerate(probabilities) for rank in (F.floor, F.ceil)
+    ]
+    near = ranked.where(reduce(lambda a, b: a | b, [covers(rank) for _, _, rank in wanted]))
+    listed = F.array(*[
+        F.when(covers(rank), F.struct(F.lit(slot).alias("slot"), at.alias("at"))) for slot, at, rank in wanted
+    ])
+    hits = near.select(*within, "value", F.explode(F.array_compact(listed)).alias("w"))
     low = F.min("value")
     per_slot = hits.groupBy(*within, F.col("w.slot").alias("slot")).agg(
         (low + (F.max("value") - low) * (F.max("w.at") - F.floor(F.max("w.at")))).alias("q")
