@@ -11,7 +11,8 @@ from conftest import rows
 from tidemark.operators import drift, evaluation as ev
 from tidemark.operators.ordered import exact_quantiles, row_numbers, running_totals
 
-SLOW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+BOTH = pytest.mark.parametrize("one_task_rows", [None, 0])  # plain window, ranges
+SLOW = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def scored(spark, pairs):
@@ -37,9 +38,14 @@ def brute_ks(pairs):
 PAIRS = st.lists(st.tuples(st.integers(0, 1), st.integers(0, 6).map(lambda v: v / 6)), min_size=2, max_size=60)
 
 
+@pytest.fixture(params=[500_000, 0], ids=["window", "ranges"])
+def way(request, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.ordered.ONE_TASK_ROWS", request.param)
+
+
 @SLOW
 @given(pairs=PAIRS)
-def test_ranking_matches_brute_force(spark, pairs):
+def test_ranking_matches_brute_force(spark, way, pairs):
     got = ev.ranking_metrics(scored(spark, pairs)).first()
     want = brute_auc(pairs)
     if want is None:
@@ -80,7 +86,7 @@ def brute_lift(pairs, p):
 
 @SLOW
 @given(pairs=PAIRS)
-def test_lift_matches_brute_force(spark, pairs):
+def test_lift_matches_brute_force(spark, way, pairs):
     got = {r.percentile: r.lift for r in ev.lift(scored(spark, pairs), (3, 10, 20, 50, 100)).collect()}
     assert len(got) == 5
     for p, value in got.items():
@@ -143,11 +149,12 @@ def test_histogram(spark):
 
 
 # --- running totals and quantiles --------------------------------------------
-def test_running_totals_over_many_ranges(spark):
+@BOTH
+def test_running_totals_over_many_ranges(spark, one_task_rows):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("v")).repartition(5)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = running_totals(df, [F.col("id").desc()], ["v"])
+        got = running_totals(df, [F.col("id").desc()], ["v"], one_task_rows=one_task_rows)
         assert got.count() == 1000
         table = {r.id: (r.v_before, r.v_through) for r in got.collect()}
     finally:
@@ -158,24 +165,26 @@ def test_running_totals_over_many_ranges(spark):
         total += i % 7
 
 
-def test_running_totals_within_groups(spark):
+@BOTH
+def test_running_totals_within_groups(spark, one_task_rows):
     df = spark.range(300).select(F.col("id"), (F.col("id") % 3).alias("g"), F.lit(1).alias("v"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = running_totals(df, [F.col("id").asc()], ["v"], ["g"]).collect()
+        got = running_totals(df, [F.col("id").asc()], ["v"], ["g"], one_task_rows=one_task_rows).collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert all(r.v_through == r.id // 3 + 1 for r in got) and len(got) == 300
 
 
-def test_row_numbers(spark):
-    got = row_numbers(spark.range(50), [F.col("id").desc()]).collect()
+@BOTH
+def test_row_numbers(spark, one_task_rows):
+    got = row_numbers(spark.range(50), [F.col("id").desc()], one_task_rows=one_task_rows).collect()
     assert {r.id: r.rn for r in got} == {i: 50 - i for i in range(50)}
 
 
 @SLOW
 @given(values=st.lists(st.integers(-5, 30), min_size=1, max_size=40))
-def test_quantiles_match_numpy(spark, values):
+def test_quantiles_match_numpy(spark, way, values):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     probs = [i / 10 for i in range(11)]
     got = exact_quantiles(df, "x", probs).first().quantiles
@@ -185,7 +194,7 @@ def test_quantiles_match_numpy(spark, values):
     assert reached == ordered[max(math.ceil(0.97 * len(values)) - 1, 0)]
 
 
-def test_quantiles_per_group(spark):
+def test_quantiles_per_group(spark, way):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 5.0), ("b", None)], "g string, x double")
     assert rows(exact_quantiles(df, "x", [0.5], within=["g"]), "g", "quantiles") == [("a", [2.0]), ("b", [5.0])]
 
@@ -209,7 +218,7 @@ def brute_psi(expected, actual, buckets=10):
     ([v % 4 for v in range(80)], [v % 3 for v in range(50)]),
     (list(range(20)), [-5, 99, 3, 4, 5, 0]),
 ])
-def test_psi(spark, expected, actual):
+def test_psi(spark, way, expected, actual):
     e = spark.createDataFrame([(float(v),) for v in expected], "x double")
     a = spark.createDataFrame([(float(v),) for v in actual], "x double")
     got = drift.psi(e, a, "x").first().psi

@@ -71,7 +71,9 @@ def test_one_hot(spark):
         feats.category_labels(df, ["occupation"], limit=2)
 
 
-def test_splits(spark):
+@pytest.mark.parametrize("one_task_rows", [500_000, 0])
+def test_splits(spark, monkeypatch, one_task_rows):
+    monkeypatch.setattr("tidemark.operators.ordered.ONE_TASK_ROWS", one_task_rows)
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 3 == 0).cast("int").alias("label"))
     train, test = feats.random_split(df)
     assert train.count() + test.count() == 1000 and 740 < train.count() < 860

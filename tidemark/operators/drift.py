@@ -15,7 +15,7 @@ def _steps(buckets: int) -> list[float]:
 
 
 def _breaks(counts: DataFrame, buckets: int) -> DataFrame:
-    return quantiles_of_counts(counts, _steps(buckets)).select(F.array_distinct("quantiles").alias("breaks"))
+    return quantiles_of_counts(counts, _steps(buckets), is_staged=True).select(F.array_distinct("quantiles").alias("breaks"))
 
 
 def _sketched_breaks(expected: DataFrame, column: str, buckets: int) -> DataFrame:

@@ -1,8 +1,9 @@
-"""Running totals and exact quantiles over a global order, without a
-single-task window.
+"""Running totals and exact quantiles over a global order.
 
-The rows are range-partitioned and sorted on the order once; each range adds up its
-own running sums while it is written, and the few range totals become start offsets.
+The input is already reduced to distinct keys and is staged once. A table that one task
+handles at ease gets a plain window. A larger one is range-partitioned and sorted on the
+order once; each range adds up its own running sums while it is written, and the few
+range totals become start offsets. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql.types import IntegerType, LongType, StructType
 from tidemark.session import broadcast_if_small, staged
 
 RUN = "_run"
+ONE_TASK_ROWS = 500_000
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -47,17 +49,32 @@ def running_totals(
     order: Sequence[Column],
     sums: Sequence[str],
     within: Sequence[str] = (),
+    is_staged: bool = False,
+    one_task_rows: int | None = None,
 ) -> DataFrame:
     """Add ``<c>_before`` and ``<c>_through`` for every count column in ``sums``.
 
     ``df`` must already be reduced to one row per ``within`` + ``order`` key, so
     that a hot value is one row and cannot fill a range by itself. Counts are not
-    negative. The sums are added up in Arrow batches while the ranges are staged: a
-    window would need the rows shuffled and sorted a second time.
+    negative. ``is_staged`` says that ``df`` is read from a staged table already.
     """
     within = list(within)
-    keys = [F.col(c) for c in within]
     counted = df.withColumns({c: F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long")) for c in sums})
+    counted = counted if is_staged else staged(counted, "counts")
+    if counted.count() <= (ONE_TASK_ROWS if one_task_rows is None else one_task_rows):
+        so_far = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        summed = counted.select("*", *[F.sum(c).over(so_far).alias(f"{c}_through") for c in sums])
+        return summed.select("*", *[(F.col(f"{c}_through") - F.col(c)).alias(f"{c}_before") for c in sums])
+    return _ranged_totals(counted, order, sums, within)
+
+
+def _ranged_totals(counted: DataFrame, order: Sequence[Column], sums: Sequence[str], within: list[str]) -> DataFrame:
+    """Running totals by ranges.
+
+    The sums are added up in Arrow batches while the ranges are staged: a window would
+    need the rows shuffled and sorted a second time.
+    """
+    keys = [F.col(c) for c in within]
     # staging also freezes the range ids, so a lost executor cannot renumber them
     ranged = counted.repartitionByRange(*keys, *order).withColumn(RUN, F.spark_partition_id())
     schema = StructType(counted.schema.fields).add(RUN, IntegerType())
@@ -82,15 +99,15 @@ def running_totals(
         placed = runs.join(F.broadcast(starts), RUN)
     through = {c: F.col(f"_{c}_sum") + F.col(f"_{c}_start") for c in sums}
     return placed.select(
-        *df.columns,
+        *counted.columns,
         *[through[c].alias(f"{c}_through") for c in sums],
         *[(through[c] - F.col(c)).alias(f"{c}_before") for c in sums],
     )
 
 
-def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "rn", within: Sequence[str] = ()) -> DataFrame:
-    """``row_number()`` over a unique order, spread over all tasks."""
-    ranked = running_totals(df.withColumn("_one", F.lit(1).cast("long")), order, ["_one"], within)
+def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "rn", within: Sequence[str] = (), **options) -> DataFrame:
+    """``row_number()`` over a unique order."""
+    ranked = running_totals(df.withColumn("_one", F.lit(1).cast("long")), order, ["_one"], within, **options)
     return ranked.withColumn(name, F.col("_one_through")).drop("_one", "_one_through", "_one_before")
 
 
@@ -108,21 +125,22 @@ def exact_quantiles(
     probabilities: Sequence[float],
     interpolate: bool = True,
     within: Sequence[str] = (),
+    **options,
 ) -> DataFrame:
     """One row (per ``within`` group) with the array ``quantiles``.
 
     ``interpolate=True`` follows the linear rule at rank ``p * (n - 1)``;
     ``False`` returns the smallest value whose share of rows reaches ``p``.
     """
-    return quantiles_of_counts(value_counts(df, column, within), probabilities, interpolate, within)
+    return quantiles_of_counts(value_counts(df, column, within), probabilities, interpolate, within, **options)
 
 
 def quantiles_of_counts(
-    counts: DataFrame, probabilities: Sequence[float], interpolate: bool = True, within: Sequence[str] = ()
+    counts: DataFrame, probabilities: Sequence[float], interpolate: bool = True, within: Sequence[str] = (), **options
 ) -> DataFrame:
     """``exact_quantiles`` over rows already reduced by ``value_counts``."""
     within = list(within)
-    ranked = running_totals(counts, [F.col("value").asc()], ["n"], within)
+    ranked = running_totals(counts, [F.col("value").asc()], ["n"], within, **options)
     total = ranked.groupBy(*within).agg(F.sum("n").alias("total"))
     ranked = (
         null_safe_join(ranked, broadcast_if_small(total, "totals"), within)

@@ -74,4 +74,4 @@ def broadcast_if_small(df: DataFrame, label: str, limit: int = 10_000) -> DataFr
     large side on a low-cardinality key before it learns that this side is tiny.
     """
     table = staged(df, label)
-    return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table
+    return F.broadcast(table) if table.count() <= limit else table
