@@ -160,6 +160,25 @@ def test_training_scoring_and_report(spark, loans):
     assert top.feature == "a"
 
 
+def test_retrain_prepares_the_registry_rows(spark, loans):
+    features = loans.drop("label", "customer_id")
+    labels = loans.select("loan_id", "label", "snapshot_date")
+    versions = spark.createDataFrame([("credit_scoring_model", "3", "Production", "r")], "name string, version string, stage string, run_id string")
+    out = lifecycle.retrain(features, labels, versions, "2024_06_01", n_estimators=2)
+    assert out["features"] == ["a", "b"] and out["scores"].count() == 2
+    assert out["version"].first().version == "4" and out["version"].first().stage == "Production"
+    tracker = out["tracker"].first()
+    assert (tracker.last_retraining_date, tracker.model_version) == ("2024-06-01", "4")
+    assert tracker.macro_f1_score > 0.9
+
+
+def test_bronze_month_from_text(spark, tmp_path):
+    source, target = str(tmp_path / "csv"), str(tmp_path / "bronze")
+    snapshots.write_csv(months(spark, ("007", "2024-01-01"), ("8", "2024-02-01")).withColumnRenamed("k", "K"), source)
+    bronze.bronze_table(spark, source, target, "2024-01-01", static=False)
+    assert rows(snapshots.read_table(spark, target), "k", "snapshot_date") == [("007", date(2024, 1, 1))]
+
+
 def test_draws_are_reproducible_and_in_range():
     draws = models.draw_settings(20)
     assert draws == models.draw_settings(20) and len(draws) == 20

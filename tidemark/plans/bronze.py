@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators.columns import lower_names
 from tidemark.sources import snapshots
@@ -25,8 +26,11 @@ def ingest_static(raw: DataFrame, target: str) -> None:
     snapshots.write_once(lower_names(raw), target)
 
 
-def bronze_table(spark: SparkSession, source: str, target: str, day: str, static: bool) -> None:
-    raw = snapshots.read_csv(spark, source)
+def bronze_table(
+    spark: SparkSession, source: str, target: str, day: str, static: bool, schema: StructType | str | None = None
+) -> None:
+    """One source file set to its bronze table, by month or once."""
+    raw = snapshots.read_csv(spark, source, schema)
     if static:
         ingest_static(raw, target)
     else:

@@ -8,9 +8,10 @@ from pyspark.ml import Model
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark import fixed_values as fv
-from tidemark.operators import features as feats, models
+from tidemark.operators import features as feats, models, registry
 from tidemark.operators.columns import feature_columns, numeric_columns
 from tidemark.operators.evaluation import monthly_report, ranking_metrics
+from tidemark.session import staged
 from tidemark.sources import snapshots
 
 
@@ -54,6 +55,30 @@ def train_candidates(rows: DataFrame, features: Sequence[str], seed: int = 42, *
     return fitted, scores
 
 
+def retrain(
+    features: DataFrame, labels: DataFrame, versions: DataFrame, day: str, model_name: str = "credit_scoring_model",
+    seed: int = 42, **settings,
+) -> dict:
+    """Train on the window that belongs to ``day`` and prepare the registry rows.
+
+    The first training date uses its fixed window, later dates the 12 months before.
+    Returns the winning ``model``, its ``features``, and the ``scores``, ``version``
+    and ``tracker`` tables; nothing is written.
+    """
+    first = day.replace("_", "-") == fv.INITIAL_TRAINING_DATE
+    rows = initial_rows(features, labels) if first else window_rows(features, labels, day)
+    names = training_features(rows)
+    fitted, scores = train_candidates(rows, names, seed, **settings)
+    scores = staged(scores, "scores")
+    champion = registry.choose_champion(scores, "auc")
+    version = staged(registry.next_version(versions, model_name, champion), "version")
+    when = F.lit(day.replace("_", "-")).cast("date")
+    return {
+        "model": fitted[champion.first()["model_type"]], "features": names, "scores": scores, "version": version,
+        "tracker": registry.tracker_row(champion, version.select("version").scalar(), when, "auc", model_name),
+    }
+
+
 def monthly_inference(
     model: Model, rows: DataFrame, features: Sequence[str], month: str, version: str, run_id: str,
     model_name: str = "credit_scoring_model",

@@ -15,10 +15,15 @@ SNAPSHOT = "snapshot_date"
 STATIC_TABLES = ("attributes", "financials")
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header. A schema saves the extra pass that inference takes."""
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, infer: bool = False
+) -> DataFrame:
+    """CSV with a header; without a schema all columns are text, which the silver recipes read.
+
+    ``infer`` costs one extra pass over the files.
+    """
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    return reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", True).csv(path)
+    return reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", infer).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -49,7 +49,7 @@ def _(spark, sf):
         ).select(F.lit(name).alias("schema_from"), "*")
 
     return totals(snapshots.read_csv(spark, path, _LMS_DDL), "given").unionByName(
-        totals(snapshots.read_csv(spark, path), "inferred")
+        totals(snapshots.read_csv(spark, path, infer=True), "inferred")
     )
 
 
