@@ -1 +1,8 @@
 """Operators for training-data pipelines: documents, pages and embeddings."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in tasks travel with them, so executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.ngram_join import ngram_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +45,21 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs, min_docs=10, keep_first=False).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+
+
+@query("op7_ngram_join", f"""
+    WITH RECURSIVE words AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
+    sets AS (SELECT r, doc_id, CASE WHEN len(w) >= 4
+            THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS grams FROM words),
+    each AS (SELECT r, len(grams) AS n, unnest(grams) AS gram FROM sets),
+    links AS (SELECT a.r AS a, b.r AS b FROM each a JOIN each b ON a.gram = b.gram AND a.r <> b.r
+            GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+    reach AS (SELECT r AS a, r AS b FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+    SELECT s.doc_id, len(s.grams) AS n_shingles, min(o.doc_id) AS component_id
+    FROM reach JOIN sets s ON reach.a = s.r JOIN sets o ON reach.b = o.r GROUP BY s.r, s.doc_id, s.grams""")
+def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents").select("doc_id", "text"), n=4, similarity=85)
