@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.language_id import fit_network, identify_language
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +65,18 @@ WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
     FROM reach JOIN sets s ON reach.a = s.r JOIN sets o ON reach.b = o.r GROUP BY s.r, s.doc_id, s.grams""")
 def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents").select("doc_id", "text"), n=4, similarity=85)
+
+
+@query("op3_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 5
+    network = fit_network(docs.where(remainder != 0).select("lang", "text"))
+    predicted = identify_language(docs.select("doc_id", "text"), network)
+    return predicted.select("doc_id", F.coalesce(remainder == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_mix_sources")
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
