@@ -11,6 +11,9 @@ from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_components
 
+from tidemark.llm import secret_scan
+from tidemark.llm.secret_scan import listed, scan_secrets
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -80,3 +83,50 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _spans_sql(kind: str, rank: int, pattern: str, kept: str = "true", group: int = 0) -> str:
+    """Positions from the pieces between the matches and the matches, as in the query."""
+    return f"""SELECT r, {rank} AS rank, '{kind}' AS kind, start, start + length(hit) AS stop FROM (
+        SELECT r, hits[i] AS hit, inners[i] AS inner_hit, coalesce(list_sum(list_transform(pieces[:i], lambda p: length(p))), 0)::BIGINT
+            + coalesce(list_sum(list_transform(hits[:i - 1], lambda h: length(h))), 0)::BIGINT AS start
+        FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (
+            SELECT r, string_split_regex(text, {_quoted(pattern)}) AS pieces, regexp_extract_all(text, {_quoted(pattern)}, 0) AS hits,
+                regexp_extract_all(text, {_quoted(pattern)}, {group}) AS inners FROM docs))) WHERE {kept}"""
+
+
+_MATERIAL_SQL = " AND ".join(f"regexp_matches(hit, '{p}')" for p in ("^[A-Za-z0-9+/]+={0,2}$", "[0-9]", "[A-Z]", "[a-z]"))
+_ROLE_SQL = "CASE " + " ".join(f"WHEN kind = '{k}' THEN '{v}'" for k, v in secret_scan.ROLES.items()) + " END"
+_LIST_SQL = "coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop){}, '')"
+SECRETS_SQL = f"""
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    base AS ({_spans_sql("assign", 0, secret_scan.ASSIGN, "length(inner_hit) >= 12", 2)}
+        UNION ALL {_spans_sql("access", 1, secret_scan.ACCESS)} UNION ALL {_spans_sql("hex", 2, secret_scan.HEX)}),
+    weak AS (SELECT * FROM ({_spans_sql("endpoint", 3, secret_scan.ENDPOINT)} UNION ALL {_spans_sql("identifier", 4, secret_scan.IDENTIFIER)}
+        UNION ALL {_spans_sql("material", 5, secret_scan.MATERIAL, _MATERIAL_SQL)}) w
+        WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = w.r AND b.start < w.stop AND w.start < b.stop)),
+    parts AS (SELECT *, {_ROLE_SQL} AS role FROM (SELECT * FROM base UNION ALL SELECT * FROM weak)),
+    linked AS (SELECT * FROM parts w WHERE rank > 2 AND EXISTS (SELECT 1 FROM parts p WHERE p.r = w.r AND p.role <> w.role
+        AND p.start <= w.stop + {secret_scan.SCOPE} AND p.stop + {secret_scan.SCOPE} >= w.start)),
+    every AS (SELECT r, rank, kind, start, stop FROM base UNION ALL SELECT r, rank, kind, start, stop FROM linked)
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+        count(*) FILTER (kind = 'hex') AS n_hex, sha256({_LIST_SQL.format(" FILTER (rank <= 2)")}) AS base_sha256,
+        {_LIST_SQL.format(" FILTER (kind IS NOT NULL)")} AS spans
+    FROM docs LEFT JOIN every USING (r) GROUP BY r, doc_id"""
+
+
+@query("op9_secret_scan", SECRETS_SQL)
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, ("assign", "access", "hex")), F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.concat("base", "linked")).alias("spans"),
+    )
