@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.html_extract import extract_main_text
 from tidemark.llm.language_id import fit_network, identify_language
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_components
 
-from tidemark.llm import secret_scan
+from tidemark.llm import decontaminate, secret_scan
 from tidemark.llm.secret_scan import listed, scan_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +131,47 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *map(count, ("assign", "access", "hex")), F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
         listed(F.concat("base", "linked")).alias("spans"),
     )
+
+
+def _tokens_sql(text: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower(regexp_replace({text}, {_quoted(decontaminate.JUNK)}, '', 'g')), '\\s+'), lambda x: x <> '')"
+
+
+def _template_sql(names: bool) -> str:
+    out = f"regexp_replace(coalesce(text, ''), {_quoted(decontaminate.NUMBERS)}, chr(1), 'g')"
+    for _ in range(2 if names else 0):
+        out = f"regexp_replace({out}, {_quoted(decontaminate.NAMES)}, '\\1' || chr(2), 'g')"
+    return f"regexp_replace({out}, {_quoted(decontaminate.UNITS_AFTER)}, '\\1' || chr(3), 'g')"
+
+
+def _windows_sql(source: str, names: bool) -> str:
+    return f"""SELECT r, id, i - 1 AS pos, c[i:i + 7] AS win, list_filter(list_transform(range(i, i + 8), lambda k: CASE WHEN regexp_matches(c[k], '[\\x01-\\x03]') THEN o[k] END),
+        lambda v: v IS NOT NULL) AS slots FROM (SELECT *, unnest(range(1, len(c) - 6)) AS i FROM (
+            SELECT r, id, {_tokens_sql(_template_sql(names))} AS c, {_tokens_sql("coalesce(text, '')")} AS o FROM {source}) WHERE len(c) >= 8)"""
+
+
+LEAKS_SQL = f"""
+    WITH docs AS (SELECT row_number() OVER () AS r, doc_id AS id, text FROM documents),
+    items AS (SELECT row_number() OVER () AS r, item_id AS id, text FROM benchmark),
+    index AS (SELECT DISTINCT *, max(pos) OVER (PARTITION BY r) + 1 AS n FROM ({_windows_sql("items", True)} UNION ALL {_windows_sql("items", False)})),
+    met AS (SELECT d.r, i.r AS ir, i.id AS item, i.n, d.pos - i.pos AS shift, i.pos AS ipos, i.slots AS a, d.slots AS b
+        FROM ({_windows_sql("docs", True)}) d JOIN index i ON d.win = i.win WHERE len(i.slots) <= 4),
+    aligned AS (SELECT r, ir, item, n, shift, count(DISTINCT ipos) AS hits, flatten(list(list_zip(a, b))) AS pairs FROM met GROUP BY ALL),
+    leaked AS (SELECT r, item, max(hits) AS hits FROM aligned WHERE hits >= least(n, 6)
+        AND len(list_distinct(pairs)) = len(list_distinct(list_transform(pairs, lambda p: p[1]))) GROUP BY r, item)
+    SELECT d.id AS doc_id, count(l.item) > 0 AS contaminated, coalesce(list(l.item ORDER BY l.item) FILTER (l.item IS NOT NULL), []) AS items,
+        coalesce(sum(l.hits), 0)::BIGINT AS n_windows
+    FROM docs d LEFT JOIN leaked l USING (r) GROUP BY d.r, d.id"""
+
+
+@query("op4_decontaminate", LEAKS_SQL)
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.mark_leaks(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text")
+    )
+
+
+@query("op6_html_text")
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
