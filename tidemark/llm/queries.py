@@ -14,6 +14,7 @@ from tidemark.llm.ngram_join import ngram_components
 
 from tidemark.llm import decontaminate, secret_scan
 from tidemark.llm.secret_scan import listed, scan_secrets
+from tidemark.llm.topk_search import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -175,3 +176,15 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op2_top_k", """
+    WITH whole AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+        FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""")
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
