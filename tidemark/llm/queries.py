@@ -14,6 +14,7 @@ from tidemark.llm.ngram_join import ngram_components
 
 from tidemark.llm import decontaminate, secret_scan
 from tidemark.llm.secret_scan import listed, scan_secrets
+from tidemark.llm.substring_dedup import repeated_passages
 from tidemark.llm.topk_search import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +189,8 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+@query("op5_repeated_passages")
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
