@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.html_extract import extract_main_text
 from tidemark.llm.language_id import fit_network, identify_language
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.lm_score import fit_lm, score_texts
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_components
 
@@ -194,3 +195,9 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_repeated_passages")
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op10_lm_score")
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_texts(docs, fit_lm(docs)).select("doc_id", "n_tokens", "log_prob", "mean_log_prob")
