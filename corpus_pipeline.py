@@ -6,26 +6,58 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm import language_id as languages
 from tidemark.llm.common import Scratch
+from tidemark.llm.decontaminate import drop_leaks
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.mixing import mix_sources
+from tidemark.llm.ngram_join import drop_near_duplicates
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: a text whose best language is less likely than this is rejected, like one without letters
+LEAST_SCORE = 0.3
+#: a line of so many documents is boilerplate; its first occurrence stays
+LINE_DOCS = 10
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the network knows; trained on the labelled rows whose crc32 of the id is not 0 mod 5."""
+    labelled = docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).select("lang", "text")
+    told = languages.identify_language(docs, languages.fit_network(labelled))
+    return told.where((F.col("lang_pred") != languages.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents or more stay in the first of them; documents left without text go."""
-    cleaned = dedup_lines(docs, min_docs=10, keep_first=True)
-    emptied = (F.col("n_dropped") > 0) & (F.trim("text") == "")
+    """Lines found in ``LINE_DOCS`` documents or more stay in the first of them; documents that this leaves without text go."""
+    cleaned = dedup_lines(docs, min_docs=LINE_DOCS, keep_first=True)
+    emptied = (F.col("n_dropped") > 0) & ~F.col("text").rlike(r"\S")
     return cleaned.where(~emptied).select(*docs.columns)
 
 
-#: what the stages gather is None in SQL: the language network cannot be expressed there
-ORACLE_SQL = None
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at a Jaccard similarity of 0.8 or more: the smallest id."""
+    return drop_near_duplicates(docs, n=5, similarity=80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of ``benchmark``, re-parameterised items included."""
+    return drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mix with the words it takes of each: ``size``, ``source_size``, ``target`` and ``taken`` follow the columns of documents."""
+    return mix_sources(docs, keep=docs.columns).where("taken > 0")
+
 
 STAGES: list[tuple[str, Stage]] = [
-    ("line_dedup", line_dedup),
+    ("language_id", language_id), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+    ("mixing", mixing),
 ]
 
+#: SQL cannot train the network of the first stage; the tests hold the stages against brute force instead
+ORACLE_SQL = None
+
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the ``documents`` of ``sf_dir``."""

@@ -18,6 +18,7 @@ from tidemark.llm.common import Scratch
 BLOCK_WORDS = 64
 SHARD_DOCS = 20_000
 MOST_SHARDS = 4096
+NEW = ("size", "source_size", "target", "taken")
 
 
 def apportion(shares: np.ndarray, seats: int, most: np.ndarray) -> np.ndarray:
@@ -104,9 +105,9 @@ def words(text: Column) -> Column:
 
 def mix_sources(
     docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most_times: int = 3, seed: int = 17, id_col: str = "doc_id",
-    text_col: str = "text", source_col: str = "source", block: int = BLOCK_WORDS,
+    text_col: str = "text", source_col: str = "source", block: int = BLOCK_WORDS, keep: list[str] | None = None,
 ) -> DataFrame:
-    """Per row of ``docs``: its id and source, ``size``, ``source_size``, ``target`` and ``taken`` words.
+    """Per row of ``docs``: the columns of ``keep`` (the id alone by default), ``size``, ``source_size``, ``target`` and ``taken`` words.
 
     ``taken`` counts repeats and is never above ``most_times`` * ``size``; a document may be taken in part where a quota
     ends in it. The words taken of a source are within a block of its target, and of the whole mix
@@ -114,14 +115,15 @@ def mix_sources(
     are exchangeable.
 
     A null or empty text has size 0 and takes 0. A null source is a source of its own, the last one. All-empty or
-    empty tables give targets of 0 and no error. Other columns take no part. Runs jobs when called.
+    empty tables give targets of 0 and no error. Columns named like the new ones are replaced; others take no part. Runs jobs when called.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
-    sized = docs.select(
-        F.col(id_col).alias("_mx_id"), F.col(source_col).cast("string").alias("source"), words(F.col(text_col)).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(id_col)).alias("_mx_h"),
-    )
-    sized = scratch.write(sized, "sized")
+    keep = [c for c in keep or [id_col] if c.lower() not in NEW]
+    made = {
+        "_mx_source": F.col(source_col).cast("string"), "_mx_size": words(F.col(text_col)), "_mx_h": F.xxhash64(F.lit(seed), F.col(id_col)),
+    }
+    sized = docs.select(*[c.alias(name) for name, c in made.items()])
+    sized = scratch.write(sized, "sized").select(*[F.col(f"_mx_{c}").alias(c) for c in ("source", "size", "h")])
     stats = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
     targets = source_targets(stats.select("source", "source_size"), weights, most_times)
     # one row per source: the quotients of all sources meet in one task
@@ -131,23 +133,26 @@ def mix_sources(
     shards = F.least(F.lit(MOST_SHARDS), F.ceil(F.col("docs") / SHARD_DOCS)).cast("long").alias("shards")
     counts = stats.select(F.col("source").alias("_mx_source"), shards)
     plan = scratch.write(seats.join(counts, F.col("source").eqNullSafe(F.col("_mx_source"))).drop("_mx_source"), "plan")
+    own = plan.select(F.col("source").alias("_mx_own"), *[F.col(c).alias(f"_mx_{c}") for c in ("source_size", "target", "blocks", "shards")])
 
-    same = F.col("source").eqNullSafe(F.col("_mx_source"))
-    sharded = sized.join(plan.select(F.col("source").alias("_mx_source"), "shards"), same).drop("_mx_source")
-    sharded = sharded.withColumn("shard", F.pmod(F.xxhash64("_mx_h"), F.col("shards"))).drop("shards")
-    shard_sizes = sharded.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"))
-    joined = shard_sizes.join(plan.select(F.col("source").alias("_mx_source"), "blocks"), same).drop("_mx_source")
-    quotas = scratch.write(
-        joined.groupBy("source").applyInPandas(_shard_blocks(block, most_times), "source string, shard long, shard_size long, quota long"), "quotas"
-    )
+    def sharded(rows: DataFrame, source: str, h: str) -> DataFrame:
+        return rows.join(own, F.col(source).eqNullSafe(F.col("_mx_own"))).withColumn("_mx_shard", F.pmod(F.xxhash64(h), F.col("_mx_shards")))
 
-    line = Window.partitionBy("source", "shard").orderBy("_mx_h", "size").rowsBetween(Window.unboundedPreceding, -1)
-    laid = sharded.withColumn("start", F.coalesce(F.sum("size").over(line), F.lit(0)))
-    own = quotas.select(F.col("source").alias("_mx_source"), F.col("shard").alias("_mx_shard"), "shard_size", "quota")
-    laid = laid.join(own, same & (F.col("shard") == F.col("_mx_shard"))).drop("_mx_source", "_mx_shard")
-    quota = F.least(F.col("quota") * block, most_times * F.col("shard_size"))
-    passes = F.when(F.col("shard_size") > 0, F.floor(quota / F.col("shard_size"))).otherwise(F.lit(0))
-    last = F.greatest(F.lit(0), F.least(F.col("size"), quota - passes * F.col("shard_size") - F.col("start")))
-    taken = laid.withColumn("taken", (passes * F.col("size") + last).cast("long"))
-    ends = plan.select(F.col("source").alias("_mx_source"), "source_size", "target")
-    return taken.join(ends, same).select(F.col("_mx_id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "taken")
+    shard_sizes = sharded(sized, "source", "h").groupBy("source", F.col("_mx_shard").alias("shard"), F.col("_mx_blocks").alias("blocks")).agg(
+        F.sum("size").alias("shard_size")
+    )
+    quotas = shard_sizes.groupBy("source").applyInPandas(_shard_blocks(block, most_times), "source string, shard long, shard_size long, quota long")
+    quotas = scratch.write(quotas, "quotas").select(*[F.col(c).alias(f"_mx_q_{c}") for c in ("source", "shard", "shard_size", "quota")])
+
+    line = Window.partitionBy("_mx_source", "_mx_shard").orderBy("_mx_h", "_mx_size").rowsBetween(Window.unboundedPreceding, -1)
+    laid = sharded(docs.select(*keep, *[c.alias(name) for name, c in made.items()]), "_mx_source", "_mx_h")
+    laid = laid.withColumn("_mx_start", F.coalesce(F.sum("_mx_size").over(line), F.lit(0)))
+    laid = laid.join(quotas, F.col("_mx_source").eqNullSafe(F.col("_mx_q_source")) & (F.col("_mx_shard") == F.col("_mx_q_shard")))
+    whole = F.col("_mx_q_shard_size")
+    quota = F.least(F.col("_mx_q_quota") * block, most_times * whole)
+    passes = F.when(whole > 0, F.floor(quota / whole)).otherwise(F.lit(0))
+    last = F.greatest(F.lit(0), F.least(F.col("_mx_size"), quota - passes * whole - F.col("_mx_start")))
+    return laid.select(
+        *keep, F.col("_mx_size").alias("size"), F.col("_mx_source_size").alias("source_size"), F.col("_mx_target").alias("target"),
+        (passes * F.col("_mx_size") + last).cast("long").alias("taken"),
+    )
