@@ -143,21 +143,19 @@ class Network:
         d_out = np.einsum("tlb,tkb->lk", p, states, optimize=True)
         return loss, [*grads_ahead, *grads_back, d_out, p.sum(axis=(0, 2))[:, None]]
 
-    def fit(self, codes: np.ndarray, weight: np.ndarray, target: np.ndarray, epochs: int, batch: int, rate: float, seed: int = 11) -> None:
-        """Adam over shuffled batches of lanes."""
-        rng, step = np.random.default_rng(seed), 0
+    def fit(self, codes: np.ndarray, weight: np.ndarray, target: np.ndarray, steps: int, batch: int, rate: float, seed: int = 11) -> None:
+        """Adam, with a falling rate, over batches in which the labels take equal parts."""
+        rng = np.random.default_rng(seed)
         moments = [(np.zeros_like(w), np.zeros_like(w)) for w in self.weights()]
-        for epoch in range(epochs):
-            order = rng.permutation(codes.shape[1])
-            for at in range(0, len(order), batch):
-                own = order[at : at + batch]
-                _, grads = self.gradients(np.ascontiguousarray(codes[:, own]), weight[:, own], target[own])
-                step += 1
-                slower = rate * (1 - 0.8 * epoch / max(1, epochs - 1))
-                for w, g, (m, v) in zip(self.weights(), grads, moments):
-                    m += 0.1 * (g - m)
-                    v += 0.01 * (g * g - v)
-                    w -= slower * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
+        lanes = [np.flatnonzero(target == i) for i in range(len(self.labels))]
+        for step in range(1, steps + 1):
+            own = np.concatenate([rng.choice(x, -(-batch // len(lanes))) for x in lanes])
+            _, grads = self.gradients(np.ascontiguousarray(codes[:, own]), weight[:, own], target[own])
+            slower = rate * (1 - 0.9 * step / steps)
+            for w, g, (m, v) in zip(self.weights(), grads, moments):
+                m += 0.1 * (g - m)
+                v += 0.01 * (g * g - v)
+                w -= slower * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
 
 
 def lanes_of(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -218,8 +216,8 @@ def training_windows(labelled: DataFrame, lang_col: str, text_col: str, windows:
 
 
 def fit_network(
-    labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", windows: int = 256, chars: int = 288, epochs: int = 6,
-    batch: int = 256, rate: float = 0.02,
+    labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", windows: int = 256, chars: int = 288, steps: int = 300,
+    batch: int = 64, rate: float = 0.03,
 ) -> Network | None:
     """Train on at most ``windows`` windows of ``chars`` characters per language; the bound is the sample's only limit.
 
@@ -234,7 +232,7 @@ def fit_network(
     codes, weight = _block(flat, starts, offsets[row + 1])
     target = np.array([labels.index(r[0]) for r in sample])[row]
     network = Network.new(labels)
-    network.fit(codes, weight, target, epochs, batch, rate)
+    network.fit(codes, weight, target, steps, batch, rate)
     return network
 
 
