@@ -6,7 +6,8 @@ prefixes, so only prefixes are joined, under length, positional and suffix filte
 pair that is left is verified once on the whole sets.
 
 Equal sets are one class from the start. A prefix shingle links its classes to one of them
-first; pairs inside a component that these links prove need no check of their own. Then the pairs between
+first, to the one with the most common shingles, as edited copies link to their original rather than to each other; pairs inside a
+component that these links prove need no check of their own. Then the pairs between
 different components that still share a prefix shingle are checked, all of them, so that no
 link between components is lost and no group is ever expanded into all of its pairs.
 """
@@ -89,7 +90,7 @@ def _prefixes(n: int, similarity: int, levels):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
         for batch in batches:
-            sizes, signatures, prefixes, parts = [], [], [], []
+            sizes, signatures, prefixes, parts, ranks = [], [], [], [], []
             for distinct in _distinct(batch.column("_nj_text"), n):
                 size = len(distinct)
                 sizes.append(size)
@@ -97,6 +98,8 @@ def _prefixes(n: int, similarity: int, levels):
                 # sets of the threshold share at least one of the first size - ceil(t * size) + 1
                 wanted = size - -(-similarity * size // 100) + 1 if size else 0
                 keys = level[_slot(distinct)]
+                # how common its shingles are, then its signature: an order of classes by how central they are
+                ranks.append(int(64 * keys.mean()) << 48 | int(signatures[-1]) >> 16 if size else 0)
                 order = np.lexsort((distinct, keys))[:wanted]
                 prefixes.append(distinct[order])
                 parts.append(np.bincount((distinct >> np.uint64(60)).astype(np.int64), minlength=PARTS))
@@ -105,10 +108,10 @@ def _prefixes(n: int, similarity: int, levels):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_nj_id"), batch.column("_nj_row"), pa.array(sizes, pa.int32()),
-                    pa.array(np.array(signatures, np.uint64).view(np.int64)), list_array(flat.view(np.int64), ends),
+                    pa.array(np.array(signatures, np.uint64).view(np.int64)), pa.array(ranks, pa.int64()), list_array(flat.view(np.int64), ends),
                     list_array(np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32), np.arange(len(parts) + 1, dtype=np.int32) * PARTS),
                 ],
-                names=["_nj_id", "row", "n", "sig", "prefix", "parts"],
+                names=["_nj_id", "row", "n", "sig", "rank", "prefix", "parts"],
             )
 
     return run
@@ -178,6 +181,15 @@ def _needed(similarity: int, size_a: Column, size_b: Column) -> Column:
     return F.ceil(F.lit(similarity) * (size_a + size_b) / F.lit(100 + similarity) - F.lit(1e-9))
 
 
+def _ordered(met: DataFrame) -> DataFrame:
+    """Pairs with the smaller signature as ``a``."""
+    sides = [
+        F.when(F.col("a") < F.col("b"), F.col(f"{own}_{what}")).otherwise(F.col(f"{other}_{what}")).alias(f"{own}_{what}")
+        for own, other in ("ab", "ba") for what in ("n", "pos")
+    ]
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *sides)
+
+
 class _Join:
     def __init__(self, docs: DataFrame, n: int, similarity: int, id_col: str, text_col: str) -> None:
         spark = docs.sparkSession
@@ -189,16 +201,17 @@ class _Join:
         levels = spark.sparkContext.broadcast(frequency_levels(self.texts.select("_nj_text"), n))
         schema = StructType([
             StructField("_nj_id", docs.schema[id_col].dataType), StructField("row", LongType()), StructField("n", IntegerType()),
-            StructField("sig", LongType()), StructField("prefix", ArrayType(LongType())), StructField("parts", ArrayType(IntegerType())),
+            StructField("sig", LongType()), StructField("rank", LongType()), StructField("prefix", ArrayType(LongType())), StructField("parts", ArrayType(IntegerType())),
         ])
         self.rows = self.scratch.write(self.texts.mapInArrow(_prefixes(n, similarity, levels), schema), "rows")
 
     def shared_prefixes(self) -> DataFrame:
         """(shingle, sig, n, pos, and the pivot of the shingle) for prefix shingles of two classes or more."""
-        exploded = self.rows.select("sig", "n", F.posexplode("prefix").alias("pos", "shingle"))
+        exploded = self.rows.select("sig", "n", "rank", F.posexplode("prefix").alias("pos", "shingle"))
         pivots = exploded.groupBy("shingle").agg(
-            F.min("sig").alias("pivot"), F.max("sig").alias("_last"), F.min_by("n", "sig").alias("pivot_n"), F.min_by("pos", "sig").alias("pivot_pos")
-        ).where("pivot <> _last").drop("_last")
+            F.min("sig").alias("_first"), F.max("sig").alias("_last"), F.max_by("sig", "rank").alias("pivot"),
+            F.max_by("n", "rank").alias("pivot_n"), F.max_by("pos", "rank").alias("pivot_pos"),
+        ).where("_first <> _last").drop("_first", "_last")
         pivots = self.scratch.write(pivots, "pivots")
         shared = self.spark.sparkContext.broadcast(bitmap(pivots.select("shingle")))
         rows = self.rows.select("sig", "n", "prefix").mapInArrow(_shared_rows(shared), "shingle long, sig long, n int, pos int")
@@ -263,17 +276,14 @@ class _Join:
             & ((F.col("b_component") == F.col("largest")) | (F.col("a") < F.col("b")))
             & (F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos")) >= least)
         )
-        return met.select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-            *[F.when(F.col("a") < F.col("b"), F.col(f"{p}_{q}")).otherwise(F.col(f"{o}_{q}")).alias(f"{p}_{q}") for p, o in ("ab", "ba") for q in ("n", "pos")],
-        )
+        return _ordered(met)
 
     def run(self) -> DataFrame:
         shared = self.shared_prefixes()
-        star = shared.where("sig <> pivot").select(
+        star = _ordered(shared.where("sig <> pivot").select(
             F.col("pivot").alias("a"), F.col("sig").alias("b"), F.col("pivot_n").alias("a_n"), F.col("n").alias("b_n"),
             F.col("pivot_pos").alias("a_pos"), F.col("pos").alias("b_pos"),
-        )
+        ))
         links = self.verified(self.filtered(star), "star")
         found = self.scratch.write(components(links, self.scratch), "found")
         more = self.verified(self.filtered(self.across(shared, found)), "across")
@@ -283,7 +293,8 @@ class _Join:
         found = self.scratch.write(components(tree.unionAll(more), self.scratch), "found")
         members = self.rows.select("_nj_id", "n", "sig").join(found.withColumnRenamed("node", "sig"), "sig", "left")
         members = members.withColumn("component", F.coalesce("component", "sig"))
-        least = members.where("n > 0").groupBy("component").agg(F.min("_nj_id").alias("least"))
+        # written first, so that the join can split a component that holds many rows
+        least = self.scratch.write(members.where("n > 0").groupBy("component").agg(F.min("_nj_id").alias("least")), "least")
         joined = members.join(least, "component", "left")
         return joined.select(
             "_nj_id", F.col("n").cast("long").alias("n_shingles"),
@@ -304,3 +315,20 @@ def ngram_components(docs: DataFrame, n: int = 5, similarity: int = 80, id_col:
     Words, shingles and sets are compared by 64-bit hashes. Runs jobs when called.
     """
     return _Join(docs, n, similarity, id_col, text_col).run().withColumnRenamed("_nj_id", id_col)
+
+
+def drop_near_duplicates(docs: DataFrame, n: int = 5, similarity: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component of ``ngram_components``: the one with the smallest id (ties: by a hash of the row).
+
+    Of rows equal in id and text one stays. Rows without words link with nothing and stay, but for such repetitions. Columns are as they were.
+    """
+    scratch = Scratch(docs.sparkSession, "survivors")
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("h"))
+    found = ngram_components(docs.select(key.alias("key"), text_col), n, similarity, "key", text_col)
+    fates = found.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min(F.col("key").eqNullSafe(F.col("component_id"))).alias("stays"))
+    fates = scratch.write(fates.where("rows > 1 or not stays").select(F.col("key").alias("_nj_key"), "rows", "stays"), "fates")
+    named = docs.withColumn("_nj_own", key)
+    same = F.col("_nj_own").eqNullSafe(F.col("_nj_key"))
+    single = named.join(fates, same, "left_anti")
+    again = named.join(fates.where("rows > 1 and stays"), same, "left_semi").dropDuplicates(["_nj_own"])
+    return single.unionAll(again).select(*docs.columns)
