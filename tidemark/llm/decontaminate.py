@@ -127,8 +127,8 @@ def mark_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; all columns as they were."""
     scratch = Scratch(docs.sparkSession, "decontaminated")
-    found = scratch.write(leaks(docs, items, id_col, text_col, item_id, item_text).select("r1", "r2").distinct(), "leaks")
+    found = scratch.write(leaks(docs, items, id_col, text_col, item_id, item_text).select(F.col("r1").alias("_bd_x1"), F.col("r2").alias("_bd_x2")).distinct(), "leaks")
     r1, r2 = row_identity(F.col(id_col), F.col(text_col))
     named = docs.withColumns({"_bd_r1": r1, "_bd_r2": r2})
-    same = (F.col("_bd_r1") == F.col("r1")) & (F.col("_bd_r2") == F.col("r2"))
+    same = (F.col("_bd_r1") == F.col("_bd_x1")) & (F.col("_bd_r2") == F.col("_bd_x2"))
     return named.join(found, same, "left_anti").select(*docs.columns)
