@@ -1,0 +1,21 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from edge_rows import CLASHING, EDGE, SCHEMA  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(EDGE, SCHEMA)
+    return df.withColumns({c: F.lit(f"kept-{c}") for c in CLASHING})
+
+
+@pytest.fixture(scope="session")
+def none(edge):
+    return edge.limit(0)

@@ -24,13 +24,13 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
         self.root = f"{scratch_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
-        self.paths: dict[int, str] = {}
+        self.written = 0
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}-{len(self.paths)}"
+        path = f"{self.root}/{name}-{self.written}"
+        self.written += 1
         df.write.parquet(path)
         table = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(table)] = path
         table._scratch_path = path
         return table
 
@@ -39,11 +39,6 @@ class Scratch:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(table._scratch_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
-    def bytes_of(self, table: DataFrame) -> int:
-        """Size of a written table's files."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(table._scratch_path)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
-
 
 def row_identity(*values: Column) -> list[Column]:
     """Two 64-bit hashes that name a row by the values it holds.
