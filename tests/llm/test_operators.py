@@ -172,7 +172,7 @@ ITEM = "A train leaves Paris at 40 km per hour and meets Anna after 3 hours on t
     (f"Some words before. {ITEM}. And after that others follow here.", True),
     (ITEM.lower(), True),
     (ITEM.replace("40", "75").replace("3 hours", "9 hours").replace("Anna", "Peter"), True),
-    (ITEM.replace("meets", "sees"), False),  # 12 tokens and less to either side
+    (ITEM.replace("Anna", "cousins"), False),  # 12 tokens and less to either side
     (ITEM.replace("way", "road"), True),
     ("A train leaves Paris at 40 km per hour and that is all there is to say about it", False),
     ("nothing of the kind", False),
