@@ -11,7 +11,6 @@ from conftest import rows
 from tidemark.operators import drift, evaluation as ev
 from tidemark.operators.ordered import exact_quantiles, row_numbers, running_totals
 
-BOTH = pytest.mark.parametrize("one_task_rows", [None, 0])  # plain window, ranges
 SLOW = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
@@ -38,14 +37,9 @@ def brute_ks(pairs):
 PAIRS = st.lists(st.tuples(st.integers(0, 1), st.integers(0, 6).map(lambda v: v / 6)), min_size=2, max_size=60)
 
 
-@pytest.fixture(params=[500_000, 0], ids=["window", "ranges"])
-def way(request, monkeypatch):
-    monkeypatch.setattr("tidemark.operators.ordered.ONE_TASK_ROWS", request.param)
-
-
 @SLOW
 @given(pairs=PAIRS)
-def test_ranking_matches_brute_force(spark, way, pairs):
+def test_ranking_matches_brute_force(spark, pairs):
     got = ev.ranking_metrics(scored(spark, pairs)).first()
     want = brute_auc(pairs)
     if want is None:
@@ -86,7 +80,7 @@ def brute_lift(pairs, p):
 
 @SLOW
 @given(pairs=PAIRS)
-def test_lift_matches_brute_force(spark, way, pairs):
+def test_lift_matches_brute_force(spark, pairs):
     got = {r.percentile: r.lift for r in ev.lift(scored(spark, pairs), (3, 10, 20, 50, 100)).collect()}
     assert len(got) == 5
     for p, value in got.items():
@@ -149,12 +143,11 @@ def test_histogram(spark):
 
 
 # --- running totals and quantiles --------------------------------------------
-@BOTH
-def test_running_totals_over_many_ranges(spark, one_task_rows):
+def test_running_totals_over_many_ranges(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("v")).repartition(5)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = running_totals(df, [F.col("id").desc()], ["v"], one_task_rows=one_task_rows)
+        got = running_totals(df, [F.col("id").desc()], ["v"])
         assert got.count() == 1000
         table = {r.id: (r.v_before, r.v_through) for r in got.collect()}
     finally:
@@ -165,26 +158,24 @@ def test_running_totals_over_many_ranges(spark, one_task_rows):
         total += i % 7
 
 
-@BOTH
-def test_running_totals_within_groups(spark, one_task_rows):
+def test_running_totals_within_groups(spark):
     df = spark.range(300).select(F.col("id"), (F.col("id") % 3).alias("g"), F.lit(1).alias("v"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = running_totals(df, [F.col("id").asc()], ["v"], ["g"], one_task_rows=one_task_rows).collect()
+        got = running_totals(df, [F.col("id").asc()], ["v"], ["g"]).collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert all(r.v_through == r.id // 3 + 1 for r in got) and len(got) == 300
 
 
-@BOTH
-def test_row_numbers(spark, one_task_rows):
-    got = row_numbers(spark.range(50), [F.col("id").desc()], one_task_rows=one_task_rows).collect()
+def test_row_numbers(spark):
+    got = row_numbers(spark.range(50), [F.col("id").desc()]).collect()
     assert {r.id: r.rn for r in got} == {i: 50 - i for i in range(50)}
 
 
 @SLOW
 @given(values=st.lists(st.integers(-5, 30), min_size=1, max_size=40))
-def test_quantiles_match_numpy(spark, way, values):
+def test_quantiles_match_numpy(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     probs = [i / 10 for i in range(11)]
     got = exact_quantiles(df, "x", probs).first().quantiles
@@ -194,7 +185,7 @@ def test_quantiles_match_numpy(spark, way, values):
     assert reached == ordered[max(math.ceil(0.97 * len(values)) - 1, 0)]
 
 
-def test_quantiles_per_group(spark, way):
+def test_quantiles_per_group(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 5.0), ("b", None)], "g string, x double")
     assert rows(exact_quantiles(df, "x", [0.5], within=["g"]), "g", "quantiles") == [("a", [2.0]), ("b", [5.0])]
 
@@ -218,7 +209,7 @@ def brute_psi(expected, actual, buckets=10):
     ([v % 4 for v in range(80)], [v % 3 for v in range(50)]),
     (list(range(20)), [-5, 99, 3, 4, 5, 0]),
 ])
-def test_psi(spark, way, expected, actual):
+def test_psi(spark, expected, actual):
     e = spark.createDataFrame([(float(v),) for v in expected], "x double")
     a = spark.createDataFrame([(float(v),) for v in actual], "x double")
     got = drift.psi(e, a, "x").first().psi
@@ -237,3 +228,31 @@ def test_out_of_time_keys(spark):
         "oot_roc_auc", "oot_ks_statistic", "oot_gini_coefficient", "oot_lift_at_10", "oot_score_psi",
     ]
     assert drift.out_of_time_report(df, df).first().oot_score_psi == pytest.approx(0)
+
+
+def test_fractional_percentiles(spark):
+    df = scored(spark, [(i % 4 == 0, 1 - i / 400) for i in range(400)])
+    got = {r.percentile: (r.n_top, r.lift) for r in ev.lift(df, (0.5, 2.5, 10)).collect()}
+    assert got[0.5] == (2, pytest.approx(2.0)) and got[2.5] == (10, pytest.approx(1.2)) and got[10.0][0] == 40
+    assert [r.percentile for r in ev.lift(df, (10, 20)).orderBy("percentile").collect()] == [10, 20]
+
+
+def test_labels_must_be_binary(spark):
+    with pytest.raises(Exception, match="not a binary label"):
+        ev.ranking_metrics(spark.createDataFrame([(1, 2, 0.5), (2, 0, 0.1)], "key long, label int, score double")).collect()
+
+
+def test_rows_without_score_are_counted(spark):
+    df = spark.createDataFrame([(1, 1, 0.9), (2, 0, None), (3, None, 0.2), (4, 0, 0.1)], "key long, label int, score double")
+    got = ev.loan_default_report(df).first()
+    assert (got.total_loans, got.unscored_loans, got.roc_auc) == (2, 2, 1.0)
+
+
+def test_one_vs_rest_auc(spark):
+    rng = np.random.default_rng(3)
+    data = [(int(y), (np.round(rng.dirichlet(np.ones(3)) + 0.3 * np.eye(3)[y], 1)).tolist()) for y in rng.integers(0, 3, 60)]
+    df = spark.createDataFrame([(y, int(np.argmax(p)), p) for y, p in data], "label int, prediction int, scores array<double>")
+    want = {c: brute_auc([(int(y == c), p[c]) for y, p in data]) for c in range(3)}
+    got = {r["class"]: r.roc_auc for r in ev.one_vs_rest_auc(df).collect()}
+    assert got == {c: pytest.approx(v) for c, v in want.items()}
+    assert ev.monthly_report(df, score="scores").first().auc == pytest.approx(sum(want.values()) / 3)

@@ -28,24 +28,24 @@ def hot(spark):
 
 def test_heavy_keys_are_found_and_bounded(hot):
     left, right = hot
-    assert set(heavy_keys(left, "k", share=0.1, at_least=10)) == {"hot", None}
-    assert heavy_keys(left, "k") == []
-    assert len(heavy_keys(right, "k", share=0.05, at_least=1)) <= 20
+    assert set(heavy_keys(left, "k", share=0.1, rows_per_task=10)) == {"hot", None}
+    assert heavy_keys(left, "k") == {}
+    assert len(heavy_keys(right, "k", share=0.05, rows_per_task=1)) <= 20
 
 
 def test_salted_chain_equals_plain_left_joins(hot):
     left, right = hot
     other = right.select("k", (F.col("m") * 2).alias("o")).where("m % 2 = 0 or k is null")
     plain = left.join(right, "k", "left").join(other, "k", "left")
-    heavy = heavy_keys(left, "k", share=0.1, at_least=10)
-    salted = left_join_chain(left, [right, other], "k", ["n"], heavy, salts=7)
+    heavy = heavy_keys(left, "k", share=0.1, rows_per_task=10)
+    salted = left_join_chain(left, [right, other], "k", ["n"], heavy)
     assert rows(salted, "k", "n", "m", "o") == rows(plain, "k", "n", "m", "o")
 
 
 def test_hot_right_equals_plain_left_join(hot):
     left, right = hot
-    heavy = heavy_keys(right, "k", share=0.05, at_least=5)
-    salted = left_join_hot_right(left, right, "k", ["k", "m"], heavy, salts=5)
+    heavy = heavy_keys(right, "k", share=0.05, rows_per_task=5)
+    salted = left_join_hot_right(left, right, "k", ["k", "m"], heavy)
     assert None in heavy and rows(salted, "k", "n", "m") == rows(left.join(right, "k", "left"), "k", "n", "m")
 
 
@@ -71,9 +71,7 @@ def test_one_hot(spark):
         feats.category_labels(df, ["occupation"], limit=2)
 
 
-@pytest.mark.parametrize("one_task_rows", [500_000, 0])
-def test_splits(spark, monkeypatch, one_task_rows):
-    monkeypatch.setattr("tidemark.operators.ordered.ONE_TASK_ROWS", one_task_rows)
+def test_splits(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 3 == 0).cast("int").alias("label"))
     train, test = feats.random_split(df)
     assert train.count() + test.count() == 1000 and 740 < train.count() < 860
@@ -92,6 +90,17 @@ def test_codes(spark):
     assert rows(feats.decode_labels(coded, "p", feats.label_indexes(df, "grade"), "grade"), "p", "p_label") == [(0, "A"), (9, "Unknown")]
 
 
+def test_splits_and_samples_by_hash(spark):
+    keys = spark.createDataFrame([("L1",), (None,), (str(2**62),)], "loan_id string")
+    assert {r.loan_id: r.part for r in feats.split_by_key(keys, "loan_id").collect()}[None] == "test"
+    longs = spark.range(2**62, 2**62 + 2000)
+    assert 1500 < feats.split_by_key(longs, "id").where("part = 'train'").count() < 1700
+    one, two = feats.sample_rows(longs, "id"), feats.sample_rows(longs.repartition(7), "id")
+    assert 130 < one.count() < 270 and rows(one, "id") == rows(two, "id")
+    strata = longs.withColumn("g", F.when(F.col("id") % 2 == 0, "a").otherwise("b"))
+    assert {r.g for r in feats.stratified_sample(strata, "g", {"a": 0.2}, "id").select("g").distinct().collect()} == {"a"}
+
+
 # --- gold --------------------------------------------------------------------
 def test_retrofit_fan_out_and_dedupe(spark):
     d = date(2024, 1, 1)

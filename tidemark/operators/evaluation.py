@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType
 
 from tidemark import fixed_values as fv
 from tidemark.operators.ordered import running_totals
-from tidemark.session import broadcast_if_small, staged
+from tidemark.session import staged
 
 
 def ratio(top: Column, bottom: Column) -> Column:
@@ -25,9 +26,15 @@ def predict(score: Column, threshold: float = 0.5) -> Column:
 
 
 def score_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Distinct scores, best first, with positives and negatives before and through each."""
+    """Distinct scores, best first, with positives and negatives before and through each.
+
+    Labels are 0 or 1; any other value is an error. Rows without a label or score are left out.
+    """
+    zero_one = F.when(F.col(label).isNull() | F.col(label).isin(0, 1), F.col(label).cast("long")).otherwise(
+        F.raise_error(F.concat(F.lit("not a binary label: "), F.col(label).cast("string"))).cast("long")
+    )
     counts = (
-        scored.select(F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("label"))
+        scored.select(F.col(score).cast("double").alias("score"), zero_one.alias("label"))
         .where(F.col("score").isNotNull() & F.col("label").isNotNull())
         .groupBy("score")
         .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
@@ -79,9 +86,15 @@ def _ranking(rates: DataFrame) -> DataFrame:
     )
 
 
+def _plain(percentiles: Sequence[float]) -> list[int] | list[float]:
+    """All whole or all doubles, so that they make one column."""
+    numbers = list(percentiles)
+    return [int(p) for p in numbers] if all(float(p).is_integer() for p in numbers) else [float(p) for p in numbers]
+
+
 def top_rows(
     scored: DataFrame,
-    percentiles: Sequence[int],
+    percentiles: Sequence[float],
     key: str = "key",
     label: str = "label",
     score: str = "score",
@@ -89,7 +102,7 @@ def top_rows(
 ) -> DataFrame:
     """Size of the top p % of rows by score, its positives, and the totals, per percentile.
 
-    Ties at the cut are taken in key order. Only the scores at a cut, at most one per
+    A percentile may be any number; ``floor(n * p / 100)`` rows are the top. Ties at the cut are taken in key order. Only the scores at a cut, at most one per
     percentile, are looked at row by row, and those rows are first reduced to keys.
     """
     curve = curve if curve is not None else score_curve(scored, label, score)
@@ -97,16 +110,16 @@ def top_rows(
     row_count = total["pos"] + total["neg"]
     cuts = F.array(
         *[
-            F.struct(F.lit(int(p)).alias("percentile"), F.floor(row_count * F.lit(int(p)) / 100).alias("n_top"))
-            for p in percentiles
+            F.struct(F.lit(p).alias("percentile"), F.floor(row_count * F.lit(p) / 100).alias("n_top"))
+            for p in _plain(percentiles)
         ]
     )
     before = F.col("pos_before") + F.col("neg_before")
     through = F.col("pos_through") + F.col("neg_through")
     first = before == 0
-    # whole percentiles that can end on this score, by plain arithmetic; few rows have one
-    may_end = F.floor(before * 100 / row_count - 1e-9) + 1 <= F.floor((through + 1) * 100 / row_count + 1e-9)
-    at_cut = curve.where(may_end | first).select(
+    # few scores are at a cut: those where the number of tops that fit grows
+    ends = F.exists(cuts, lambda c: (c["n_top"] > before) & (c["n_top"] <= through))
+    at_cut = curve.where(ends | first).select(
         "score", "pos_before", "pos_through", "totals", before.alias("before"), through.alias("through"),
         F.explode(
             F.filter(
@@ -155,7 +168,7 @@ def top_rows(
 
 def lift(
     scored: DataFrame,
-    percentiles: Sequence[int] = (10, 20),
+    percentiles: Sequence[float] = (10, 20),
     empty_is_zero: bool = False,
     curve: DataFrame | None = None,
     **names: str,
@@ -191,7 +204,7 @@ def score_histogram(scored: DataFrame, bins: int = 50, label: str = "label", sco
         F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
     )
-    edges = broadcast_if_small(edges, "class-edges")
+    edges = staged(edges, "class-edges")
     counts = (
         # distinct scores first, so neither a hot class nor a hot score fills one task
         rows.groupBy("label", "score").agg(F.count(F.lit(1)).alias("n"))
@@ -313,7 +326,8 @@ def loan_default_report(
     """The full metric row of a binary default model.
 
     Without an own prediction column the confusion cells follow from the score
-    table, so the rows are read once for it and once for ties at the lift cuts.
+    table, so the rows are read once for it and once for ties at the lift cuts. Rows without
+    a label or score take no part; ``unscored_loans`` counts them.
     """
     curve = score_curve(scored, label, score)
     ranking = _ranking(_rates(curve))
@@ -341,7 +355,8 @@ def loan_default_report(
     def one(frame: DataFrame) -> Column:
         return frame.select(F.struct("*").alias("s")).scalar()
 
-    row = cells.withColumn("_r", one(ranking)).withColumn("_l", one(lift_row))
+    unscored = scored.agg(F.count_if(F.col(label).isNull() | F.col(score).isNull()).alias("n"))
+    row = cells.withColumns({"_r": one(ranking), "_l": one(lift_row), "_u": one(unscored)})
     rates = binary_rates(row, "*")
     total = tn + fp + fn + tp
     return rates.select(
@@ -350,17 +365,44 @@ def loan_default_report(
         "true_negatives", "false_positives", "false_negatives", "true_positives",
         total.alias("total_loans"), ((tp + fn) / total).alias("default_rate"), ((tp + fp) / total).alias("approval_rate"),
         (fp * fv.FALSE_POSITIVE_COST + fn * fv.FALSE_NEGATIVE_COST).alias("total_cost"),
-        F.lit(float(threshold)).alias("threshold"),
+        F.lit(float(threshold)).alias("threshold"), F.col("_u.n").alias("unscored_loans"),
     )
 
 
+def one_vs_rest_auc(rows: DataFrame, label: str = "label", scores: str = "scores") -> DataFrame:
+    """(class, roc_auc) for rows with a class number and the array of class probabilities.
+
+    Each class against all others, ties exact; NULL for a class that has no rows or all of them.
+    The mean over the classes is the macro one-vs-rest AUC.
+    """
+    each = rows.where(F.col(label).isNotNull() & F.col(scores).isNotNull()).select(
+        F.col(label).cast("int").alias("label"), F.posexplode(scores).alias("class", "score")
+    )
+    hit = (F.col("label") == F.col("class")).cast("long")
+    counts = each.groupBy("class", F.col("score").cast("double").alias("score")).agg(F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg"))
+    curve = running_totals(counts, [F.col("score").desc()], ["pos", "neg"], ["class"])
+    area = F.sum(F.col("neg") * (F.col("pos_before") + F.col("pos_through")) / 2)
+    return curve.groupBy("class").agg(F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc"))
+
+
 def monthly_report(
     rows: DataFrame, label: str = "label", prediction: str = "prediction", score: str | None = "score"
 ) -> DataFrame:
-    """One metric row: averages, AUC when there is a score, F1 per class and prediction counts."""
+    """One metric row: averages, AUC when there is a score, F1 per class and prediction counts.
+
+    ``score`` is the probability of class 1, or the array of the probabilities of all classes; more than two of them
+    give the mean one-vs-rest AUC. The two maps have an entry per class.
+    """
     report = staged(class_report(rows, label, prediction), "classes")
     out = averaged_metrics(report)
-    auc = ranking_metrics(rows, label, score).select("roc_auc").scalar() if score else F.lit(None).cast("double")
+    if score is None:
+        auc = F.lit(None).cast("double")
+    elif isinstance(rows.schema[score].dataType, ArrayType):
+        # classes that never occur have no AUC and make the mean undefined, as it is for a single class
+        each = one_vs_rest_auc(rows, label, score)
+        auc = each.agg(F.when(F.count_if(F.col("roc_auc").isNull()) == 0, F.avg("roc_auc")).alias("auc")).scalar()
+    else:
+        auc = ranking_metrics(rows, label, score).select("roc_auc").scalar()
     return out.select(
         "accuracy", "precision", "recall", "macro_f1", "weighted_f1", auc.alias("auc"), "total_samples",
         as_map(report.where("support > 0 or predicted > 0"), "class", "f1_score", "m").scalar().alias("f1_by_grade"),

@@ -9,7 +9,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from tidemark.operators.columns import numeric_columns
 from tidemark.operators.ordered import null_safe_join, row_numbers, running_totals
-from tidemark.session import broadcast_if_small
+from tidemark.session import staged
 
 
 def _without_nan(df: DataFrame, name: str) -> Column:
@@ -73,12 +73,13 @@ def one_hot(df: DataFrame, labels: Mapping[str, Sequence[str]]) -> DataFrame:
     return df.select(*kept, *[expr.alias(name) for name, expr in out.items()])
 
 
-def hash_bucket(key: Column, buckets: int = 100, multiplier: int = 7919) -> Column:
-    return F.pmod(key * multiplier, F.lit(buckets))
+def hash_bucket(key: Column, buckets: int = 100) -> Column:
+    """A bucket from the first 32 bits of the key's MD5: any type of key, and the same in other engines."""
+    return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("long") % buckets
 
 
 def split_by_key(df: DataFrame, key: str, train_share: int = 80) -> DataFrame:
-    """Reproducible train / test mark from a numeric key, without a shuffle."""
+    """Reproducible train / test mark from a key of any type, without a shuffle; a NULL key is test."""
     return df.withColumn("part", F.when(hash_bucket(F.col(key)) < train_share, "train").otherwise("test"))
 
 
@@ -103,22 +104,33 @@ def stratified_split(
     places = df.groupBy(label, *position).agg(F.count(F.lit(1)).alias("n"))
     ranked = running_totals(places, [F.col(c).asc() for c in names], ["n"], [label])
     sizes = df.groupBy(label).agg(F.floor(F.count(F.lit(1)) * F.lit(train_share)).alias("_train_n"))
-    inside = null_safe_join(ranked, broadcast_if_small(sizes, "class-sizes"), [label]).where(
+    inside = null_safe_join(ranked, staged(sizes, "class-sizes"), [label]).where(
         F.col("n_through") <= F.col("_train_n")
     )
     cuts = inside.groupBy(label).agg(F.max(F.struct(*names)).alias("_cut"))
-    marked = null_safe_join(df, broadcast_if_small(cuts, "class-cuts"), [label], "left").withColumn(
+    marked = null_safe_join(df, staged(cuts, "class-cuts"), [label], "left").withColumn(
         "part", F.when(F.struct(*position) <= F.col("_cut"), "train").otherwise("test")
     )
     return marked.drop("_cut")
 
 
-def stratified_sample(df: DataFrame, label: str, fractions: Mapping, seed: int = 42) -> DataFrame:
-    return df.sampleBy(label, dict(fractions), seed)
+SAMPLE_PARTS = 1_000_000
 
 
-def sample_rows(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    return df.sample(fraction=fraction, seed=seed)
+def _in_sample(key: str, fraction: Column, seed: int) -> Column:
+    part = hash_bucket(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), SAMPLE_PARTS)
+    return part < F.round(fraction * SAMPLE_PARTS)
+
+
+def stratified_sample(df: DataFrame, label: str, fractions: Mapping, key: str, seed: int = 42) -> DataFrame:
+    """About ``fractions[label]`` of each class, by a hash of the key: the same rows whatever the partitions. Other classes go."""
+    share = F.try_element_at(F.create_map(*[F.lit(x) for k, v in fractions.items() for x in (k, float(v))]), F.col(label))
+    return df.where(F.coalesce(_in_sample(key, share, seed), F.lit(False)))
+
+
+def sample_rows(df: DataFrame, key: str, fraction: float = 0.1, seed: int = 42) -> DataFrame:
+    """About ``fraction`` of the rows, by a hash of the key: the same rows whatever the partitions."""
+    return df.where(_in_sample(key, F.lit(float(fraction)), seed))
 
 
 def label_indexes(df: DataFrame, column: str) -> DataFrame:
@@ -130,12 +142,12 @@ def label_indexes(df: DataFrame, column: str) -> DataFrame:
 
 
 def encode_labels(df: DataFrame, column: str) -> DataFrame:
-    return df.join(broadcast_if_small(label_indexes(df, column), "label-index"), column, "left")
+    return df.join(staged(label_indexes(df, column), "label-index"), column, "left")
 
 
 def decode_labels(df: DataFrame, index: str, mapping: DataFrame, column: str, unknown: str = "Unknown") -> DataFrame:
     """Index back to label; an index outside the mapping becomes ``unknown``."""
     names = mapping.select(F.col(f"{column}_index").alias(index), F.col(column).alias("_name"))
-    return df.join(broadcast_if_small(names, "label-names"), index, "left").withColumn(
+    return df.join(staged(names, "label-names"), index, "left").withColumn(
         f"{index}_label", F.coalesce("_name", F.lit(unknown))
     ).drop("_name")

@@ -63,11 +63,19 @@ def train_boosted(train: DataFrame, features: Sequence[str], label: str = "label
 def train_boosted_early_stop(
     rows: DataFrame, features: Sequence[str], validation: Column, label: str = "label", **settings
 ) -> Model:
-    """Family B: rounds end when the validation rows stop improving; all features per split."""
+    """Family B: keeps the rounds up to the best one on the validation rows; all features per split.
+
+    All rounds are fitted first. The same seed grows the same trees, so a second fit of the best number of rounds is
+    the first model cut off there.
+    """
     ensure_checkpoint_dir(rows.sparkSession)
     marked = assemble(rows.withColumn("_validate", validation), features, keep=[label, "_validate"])
+    train, held = (marked.where(F.col("_validate") == side).drop("_validate") for side in (False, True))
     booster = _booster(label, {**TREES, "subsample": 1.0, "colsample": "all", **settings})
-    return booster.setValidationIndicatorCol("_validate").fit(marked)
+    model = booster.fit(train)
+    losses = model.evaluateEachIteration(held)
+    best = min(range(len(losses)), key=losses.__getitem__) + 1
+    return model if best == len(losses) else booster.setMaxIter(best).fit(train)
 
 
 def score_rows(model: Model, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:

@@ -1,9 +1,10 @@
 """Running totals and exact quantiles over a global order.
 
-The input is already reduced to distinct keys and is staged once. A table that one task
-handles at ease gets a plain window. A larger one is range-partitioned and sorted on the
-order once; each range adds up its own running sums while it is written, and the few
-range totals become start offsets. Both ways give the same rows.
+The input is already reduced to distinct keys and is staged once. It is range-partitioned
+and sorted on the order; each range adds up its own running sums while it is written, and
+the few range totals become start offsets. There is one path for tables of any size.
+
+Staging runs jobs when the operator is called, not when its result is read.
 """
 
 from __future__ import annotations
@@ -16,10 +17,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
-from tidemark.session import broadcast_if_small, staged
+from tidemark.session import staged
 
 RUN = "_run"
-ONE_TASK_ROWS = 500_000
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -50,7 +50,6 @@ def running_totals(
     sums: Sequence[str],
     within: Sequence[str] = (),
     is_staged: bool = False,
-    one_task_rows: int | None = None,
 ) -> DataFrame:
     """Add ``<c>_before`` and ``<c>_through`` for every count column in ``sums``.
 
@@ -61,19 +60,8 @@ def running_totals(
     within = list(within)
     counted = df.withColumns({c: F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long")) for c in sums})
     counted = counted if is_staged else staged(counted, "counts")
-    if counted.count() <= (ONE_TASK_ROWS if one_task_rows is None else one_task_rows):
-        so_far = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        summed = counted.select("*", *[F.sum(c).over(so_far).alias(f"{c}_through") for c in sums])
-        return summed.select("*", *[(F.col(f"{c}_through") - F.col(c)).alias(f"{c}_before") for c in sums])
-    return _ranged_totals(counted, order, sums, within)
-
-
-def _ranged_totals(counted: DataFrame, order: Sequence[Column], sums: Sequence[str], within: list[str]) -> DataFrame:
-    """Running totals by ranges.
-
-    The sums are added up in Arrow batches while the ranges are staged: a window would
-    need the rows shuffled and sorted a second time.
-    """
+    # the sums are added up in Arrow batches while the ranges are staged: a window would
+    # need the rows shuffled and sorted a second time
     keys = [F.col(c) for c in within]
     # staging also freezes the range ids, so a lost executor cannot renumber them
     ranged = counted.repartitionByRange(*keys, *order).withColumn(RUN, F.spark_partition_id())
@@ -93,7 +81,7 @@ def _ranged_totals(counted: DataFrame, order: Sequence[Column], sums: Sequence[s
         *[(F.coalesce(F.sum(c).over(earlier), F.lit(0)) - F.col(f"_{c}_base")).alias(f"_{c}_start") for c in sums],
     )
     if within:
-        placed = null_safe_join(runs, broadcast_if_small(starts, "starts"), [*within, RUN])
+        placed = null_safe_join(runs, staged(starts, "starts"), [*within, RUN])
     else:
         # one row per range, at most spark.sql.shuffle.partitions of them
         placed = runs.join(F.broadcast(starts), RUN)
@@ -105,9 +93,9 @@ def _ranged_totals(counted: DataFrame, order: Sequence[Column], sums: Sequence[s
     )
 
 
-def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "rn", within: Sequence[str] = (), **options) -> DataFrame:
+def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "rn", within: Sequence[str] = ()) -> DataFrame:
     """``row_number()`` over a unique order."""
-    ranked = running_totals(df.withColumn("_one", F.lit(1).cast("long")), order, ["_one"], within, **options)
+    ranked = running_totals(df.withColumn("_one", F.lit(1).cast("long")), order, ["_one"], within)
     return ranked.withColumn(name, F.col("_one_through")).drop("_one", "_one_through", "_one_before")
 
 
@@ -125,25 +113,25 @@ def exact_quantiles(
     probabilities: Sequence[float],
     interpolate: bool = True,
     within: Sequence[str] = (),
-    **options,
 ) -> DataFrame:
     """One row (per ``within`` group) with the array ``quantiles``.
 
     ``interpolate=True`` follows the linear rule at rank ``p * (n - 1)``;
     ``False`` returns the smallest value whose share of rows reaches ``p``.
     """
-    return quantiles_of_counts(value_counts(df, column, within), probabilities, interpolate, within, **options)
+    return quantiles_of_counts(value_counts(df, column, within), probabilities, interpolate, within)
 
 
 def quantiles_of_counts(
-    counts: DataFrame, probabilities: Sequence[float], interpolate: bool = True, within: Sequence[str] = (), **options
+    counts: DataFrame, probabilities: Sequence[float], interpolate: bool = True, within: Sequence[str] = (),
+    is_staged: bool = False,
 ) -> DataFrame:
     """``exact_quantiles`` over rows already reduced by ``value_counts``."""
     within = list(within)
-    ranked = running_totals(counts, [F.col("value").asc()], ["n"], within, **options)
+    ranked = running_totals(counts, [F.col("value").asc()], ["n"], within, is_staged)
     total = ranked.groupBy(*within).agg(F.sum("n").alias("total"))
     ranked = (
-        null_safe_join(ranked, broadcast_if_small(total, "totals"), within)
+        null_safe_join(ranked, staged(total, "totals"), within)
         if within else ranked.withColumn("total", total.scalar())
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -10,36 +10,43 @@ SALT = "_salt"
 COPIES = "_copies"
 
 
-def heavy_keys(df: DataFrame, key: str, share: float = 0.001, at_least: int = 100_000) -> list:
-    """Key values (None included) holding more than ``share`` of the rows.
+#: rows of one key that a task should have to handle
+ROWS_PER_TASK = 1_000_000
 
-    There are never more than ``1 / share`` of them, so they fit in a plan as
-    literals. Keys below ``at_least`` rows are not worth splitting.
+
+def heavy_keys(df: DataFrame, key: str, share: float = 0.001, rows_per_task: int = ROWS_PER_TASK) -> dict:
+    """Key values (None included) with more than ``rows_per_task`` rows, and the tasks each should be split over.
+
+    Only keys above ``share`` of all rows count, so there are never more than ``1 / share`` of them and they fit in a plan
+    as literals. This runs a job over the key column alone, when it is called.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    bar = F.greatest(total * F.lit(share), F.lit(float(at_least)))
-    return [row[0] for row in counts.where(F.col("_n") > bar).select(key).collect()]
+    counts = df.select(key).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    bar = F.greatest(counts.agg(F.sum("_n")).scalar() * F.lit(share), F.lit(float(rows_per_task)))
+    return {row[0]: -(-row[1] // rows_per_task) for row in counts.where(F.col("_n") > bar).select(key, "_n").collect()}
 
 
-def _is_heavy(key: str, heavy: Sequence) -> Column:
+def _is_heavy(key: str, heavy: Mapping) -> Column:
     values = [v for v in heavy if v is not None]
     return F.coalesce(F.col(key).isin(values), F.lit(False)) if values else F.lit(False)
 
 
-def spread(df: DataFrame, key: str, heavy: Sequence, spread_on: Sequence[str], salts: int) -> DataFrame:
-    """Give rows of heavy keys a salt computed from their own values, others salt 0."""
-    hot = _is_heavy(key, heavy)
-    if None in heavy:
-        hot = hot | F.col(key).isNull()
-    salt = F.pmod(F.xxhash64(*spread_on), F.lit(salts)).cast("int")
-    return df.withColumn(SALT, F.when(hot, salt).otherwise(F.lit(0)))
+def _salts(key: str, heavy: Mapping) -> Column:
+    """The number of salts of the row's key; looked up for heavy keys only."""
+    known = [F.lit(x) for k, n in heavy.items() if k is not None for x in (k, int(n))]
+    salts = F.when(_is_heavy(key, heavy), F.try_element_at(F.create_map(*known), F.col(key))) if known else F.lit(None)
+    null = F.when(F.col(key).isNull(), F.lit(int(heavy.get(None, 1))))
+    return F.coalesce(salts, null, F.lit(1)).cast("int")
+
+
+def spread(df: DataFrame, key: str, heavy: Mapping, spread_on: Sequence[str]) -> DataFrame:
+    """Give rows of heavy keys one of their key's salts, computed from their own values; others get salt 0."""
+    return df.withColumn(SALT, F.pmod(F.xxhash64(*spread_on), _salts(key, heavy).cast("long")).cast("int"))
 
 
-def replicate(df: DataFrame, key: str, heavy: Sequence, salts: int) -> DataFrame:
-    """Repeat only the rows of heavy keys, once per salt."""
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    return df.withColumn(SALT, F.explode(F.when(_is_heavy(key, heavy), every).otherwise(F.array(F.lit(0)))))
+def replicate(df: DataFrame, key: str, heavy: Mapping) -> DataFrame:
+    """Repeat only the rows of heavy keys, once per salt of their key."""
+    every = F.when(_is_heavy(key, heavy), _salts(key, heavy)).otherwise(F.lit(1))
+    return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), every - 1)))
 
 
 def left_join_chain(
@@ -47,13 +54,12 @@ def left_join_chain(
     sides: Sequence[DataFrame],
     key: str,
     spread_on: Sequence[str],
-    heavy: Sequence | None = None,
-    salts: int = 32,
+    heavy: Mapping | None = None,
 ) -> DataFrame:
     """Left-join ``sides`` one after the other on the same key.
 
     With heavy anchor keys all joins use (key, salt): the anchor is shuffled once for
-    the whole chain and a heavy key is split over ``salts`` tasks. ``spread_on`` are
+    the whole chain and a heavy key is split by its own count. ``spread_on`` are
     columns that differ between the anchor rows of one key.
     """
     heavy = heavy_keys(anchor, key) if heavy is None else heavy
@@ -61,9 +67,9 @@ def left_join_chain(
         for side in sides:
             anchor = anchor.join(side, key, "left")
         return anchor
-    out = spread(anchor, key, heavy, spread_on, salts)
+    out = spread(anchor, key, heavy, spread_on)
     for side in sides:
-        out = out.join(replicate(side, key, heavy, salts), [key, SALT], "left")
+        out = out.join(replicate(side, key, heavy), [key, SALT], "left")
     return out.drop(SALT)
 
 
@@ -72,8 +78,7 @@ def left_join_hot_right(
     right: DataFrame,
     key: str,
     spread_on: Sequence[str],
-    heavy: Sequence | None = None,
-    salts: int = 32,
+    heavy: Mapping | None = None,
 ) -> DataFrame:
     """Left join whose right side has many rows per key, some keys very many.
 
@@ -84,7 +89,7 @@ def left_join_hot_right(
     heavy = heavy_keys(right, key) if heavy is None else heavy
     if not [v for v in heavy if v is not None]:
         return left.join(right, key, "left")
-    lefts = replicate(left.withColumn(COPIES, _is_heavy(key, heavy)), key, heavy, salts)
-    rights = spread(right.where(F.col(key).isNotNull()), key, heavy, spread_on, salts).withColumn("_hit", F.lit(True))
+    lefts = replicate(left.withColumn(COPIES, _is_heavy(key, heavy)), key, heavy)
+    rights = spread(right.where(F.col(key).isNotNull()), key, heavy, spread_on).withColumn("_hit", F.lit(True))
     joined = lefts.join(rights, [key, SALT], "left")
     return joined.where(~F.col(COPIES) | F.col("_hit").isNotNull()).drop(COPIES, SALT, "_hit")

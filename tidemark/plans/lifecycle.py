@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.operators import features as feats, models, registry
-from tidemark.operators.columns import feature_columns, numeric_columns
+from tidemark.operators.columns import align_features, feature_columns, numeric_columns
 from tidemark.operators.evaluation import monthly_report, ranking_metrics
 from tidemark.session import staged
 from tidemark.sources import snapshots
@@ -35,9 +35,15 @@ def training_features(rows: DataFrame) -> list[str]:
     return [c for c in feature_columns(rows, fv.TRAINING_EXCLUDES) if c in numeric]
 
 
-def train_candidates(rows: DataFrame, features: Sequence[str], seed: int = 42, **settings) -> tuple[dict[str, Model], DataFrame]:
-    """Both families on the same 80/20 split, with their validation AUC as a table."""
-    train, valid = feats.random_split(rows, 0.8, seed)
+def train_candidates(
+    rows: DataFrame, features: Sequence[str], seed: int = 42, key: str = "loan_id", **settings
+) -> tuple[dict[str, Model], DataFrame]:
+    """Both families on the same 80/20 split, with their validation AUC as a table.
+
+    The split follows a hash of the key and its rows are staged once, so no row can be on both sides.
+    """
+    marked = staged(feats.split_by_key(rows, key, 80), "split")
+    train, valid = (marked.where(F.col("part") == part).drop("part") for part in ("train", "test"))
     fitted = {
         "LightGBM": models.train_boosted(train, features, seed=seed, **settings),
         "CatBoost": models.train_boosted_early_stop(
@@ -83,9 +89,12 @@ def monthly_inference(
     model: Model, rows: DataFrame, features: Sequence[str], month: str, version: str, run_id: str,
     model_name: str = "credit_scoring_model",
 ) -> tuple[DataFrame, DataFrame]:
-    """Stored prediction rows and the month's metric row."""
+    """Stored prediction rows and the month's metric row.
+
+    Features the month does not have count as 0 and columns the model does not know are left out.
+    """
     keep = [c for c in ("loan_id", "customer_id", "snapshot_date", "label") if c in rows.columns]
-    scored = models.score_rows(model, rows, features, keep)
+    scored = models.score_rows(model, align_features(rows, features, keep), features, keep)
     table = models.inference_table(scored, model_name, version, run_id, month)
     metrics = monthly_report(scored).withColumns({
         "month_date": F.lit(month), "model_name": F.lit(model_name), "mlflow_run_id": F.lit(run_id),

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions import loans, text
 from tidemark.operators.columns import cast_columns, drop_null_keys, lower_names, vocabulary
 from tidemark.operators.ordered import exact_quantiles
 from tidemark.operators.quality import shared_name_counts
+from tidemark.sources import snapshots
 
 
 # --- loans, both variants ----------------------------------------------------
@@ -172,3 +173,21 @@ def silver_table(table: str, raw: DataFrame, variant: str = "retrofit", **option
     except KeyError:
         raise ValueError(f"unknown table {table!r} for variant {variant!r}") from None
     return recipe(raw, **options)
+
+
+def write_silver(spark: SparkSession, bronze: str, silver: str, table: str, day: str, variant: str = "retrofit", **options) -> bool:
+    """One table of one month from bronze to stored silver; False when bronze has no rows for it.
+
+    Static tables are loaded once, whatever the day. In the main variant the financials also store the derived ``loan_type`` table.
+    """
+    name = table.lower()
+    raw = snapshots.read_silver(spark, bronze, name, day)
+    if raw is None or raw.isEmpty():
+        return False
+    if name not in snapshots.STATIC_TABLES:
+        snapshots.write_snapshot(silver_table(name, raw, variant, **options), f"{silver}/{name}", day)
+        return True
+    snapshots.write_once(silver_table(name, raw, variant, **options), f"{silver}/{name}")
+    if name == "financials" and "loan_type" in RECIPES[variant]:
+        snapshots.write_once(silver_table("loan_type", raw, variant), f"{silver}/loan_type")
+    return True

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -30,19 +29,19 @@ def get_spark(app: str = "tidemark", master: str | None = None, **conf: str) ->
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share, named by ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a folder of its own; on a cluster a
-    machine-local folder would lose data with its executor.
-    """
+    """The folder all executors share: ``spark.checkpoint.dir``, else one under the configured warehouse directory."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="tidemark-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the tables that this application has staged; for when their readers have run."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tidemark/{spark.sparkContext.applicationId}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -52,26 +51,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once in the shared folder and scan it from there.
 
     Used where one plan reads the same reduced table several times: the inputs
-    are scanned once, lineage is cut, and each later pass prunes its columns.
+    are scanned once, lineage is cut, and each later pass prunes its columns. Spark knows the size
+    of the files, so a join broadcasts the table if it is below ``spark.sql.autoBroadcastJoinThreshold``
+    and shuffles beyond. The write is a job of its own; ``clear_scratch`` removes the files.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, label: str, limit: int = 10_000) -> DataFrame:
-    """Stage a reduced table and mark it for broadcast only when it has at most ``limit`` rows.
-
-    Beyond that the join is left to shuffle. Without the mark Spark would shuffle the
-    large side on a low-cardinality key before it learns that this side is tiny.
-    """
-    table = staged(df, label)
-    return F.broadcast(table) if table.count() <= limit else table

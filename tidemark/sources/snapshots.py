@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from tidemark.functions import calendar
 
 SNAPSHOT = "snapshot_date"
-STATIC_TABLES = ("attributes", "financials")
+STATIC_TABLES = ("attributes", "financials", "loan_type")
 
 
 def read_csv(
@@ -48,12 +48,22 @@ def write_snapshot(df: DataFrame, path: str, day: str, by: str = SNAPSHOT) -> No
 
 
 def write_once(df: DataFrame, path: str) -> None:
-    """Load-once table: a second call changes nothing."""
-    df.write.mode("ignore").parquet(path)
+    """Load-once table: a second call changes nothing.
 
+    Only a write that was committed counts; what a failed first load has left is replaced.
+    """
+    spark = df.sparkSession
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
+        df.write.mode("overwrite").parquet(path)
+
+
+def read_table(spark: SparkSession, path: str, merge: bool = True) -> DataFrame | None:
+    """A Parquet table, or None when it does not exist.
 
-def read_table(spark: SparkSession, path: str, merge: bool = False) -> DataFrame | None:
-    """A Parquet table, or None when it does not exist. ``merge`` unites drifting schemas."""
+    The schemas of all files are united, as months may differ in their columns; a column that a month does not have is
+    NULL there. Spark reads the footers in a job of its own; ``merge=False`` saves it where the schema is fixed.
+    """
     try:
         return spark.read.option("mergeSchema", merge).parquet(path)
     except AnalysisException as error:
@@ -91,16 +101,13 @@ def in_trailing_weeks(df: DataFrame, end: str, weeks: int = 50, by: str = SNAPSH
 
 
 def semi_join_periods(df: DataFrame, periods: DataFrame, by: str = SNAPSHOT) -> DataFrame:
-    """Periods given as a table; there is at most one row per calendar day to broadcast."""
-    return df.join(F.broadcast(periods.select(by).distinct()), by, "left_semi")
+    """Periods given as a table."""
+    return df.join(periods.select(by).distinct(), by, "left_semi")
 
 
 def newest_layout(newer: DataFrame, older: DataFrame, by: str = SNAPSHOT) -> DataFrame:
-    """Two storage layouts of one table: a period comes from the newer if it is there, else the older.
-
-    The periods are dates, so the broadcast side has at most one row per calendar day.
-    """
-    fallback = older.join(F.broadcast(newer.select(by).distinct()), by, "left_anti")
+    """Two storage layouts of one table: a period comes from the newer if it is there, else the older."""
+    fallback = older.join(newer.select(by).distinct(), by, "left_anti")
     return newer.unionByName(fallback, allowMissingColumns=True)
 
 

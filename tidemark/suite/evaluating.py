@@ -86,6 +86,11 @@ def _(spark, sf):
     return _lift_rows(ev.lift(views.scored(spark, sf), (10, 20)))
 
 
+@query("e06_lift_fractional", _lift_sql("[CAST(0.5 AS DOUBLE), 2.5, 33.3]", "score"))
+def _(spark, sf):
+    return _lift_rows(ev.lift(views.scored(spark, sf), (0.5, 2.5, 33.3)))
+
+
 @query("e06_lift_ties", _lift_sql("[10, 20]", "tied"))
 def _(spark, sf):
     return _lift_rows(ev.lift(_tied(spark, sf), (10, 20)))
@@ -182,7 +187,8 @@ _LIFT_AT = """(SELECT round((SELECT sum(label) FROM ranked WHERE rn <= n_top) /
     true_negatives + false_positives + false_negatives + true_positives AS total_loans,
     (SELECT round(avg(label), 6) FROM scored) AS default_rate,
     (SELECT round(avg(CASE WHEN score >= 0.5 THEN 1 ELSE 0 END), 6) FROM scored) AS approval_rate,
-    false_positives * 100 + false_negatives * 1000 AS total_cost, CAST(0.5 AS DOUBLE) AS threshold
+    false_positives * 100 + false_negatives * 1000 AS total_cost, CAST(0.5 AS DOUBLE) AS threshold,
+    (SELECT count(*) FROM scored WHERE score IS NULL OR label IS NULL) AS unscored_loans
     FROM cells, (SELECT round({_AUC}, 6) AS roc_auc, round({_PR}, 6) AS pr_auc, round({_KS}, 6) AS ks_statistic,
     round(2 * {_AUC} - 1, 6) AS gini_coefficient FROM curve)""",
     "scored", cells=_CELLS, tops=_TOP.format(ps="[10, 20]"), ranked=_RANKED.format(s="score"), **_curve()))

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.operators import features as feats, models, registry as runs
-from tidemark.operators.evaluation import averaged_metrics, class_report
 from tidemark.plans import gold, lifecycle, silver
+from tidemark.session import staged
 from tidemark.suite import views
 from tidemark.suite.registry import query, r6
 from tidemark.suite.views import sql, table
@@ -116,11 +114,20 @@ def _(spark, sf):
     return feats.one_hot(df, feats.category_labels(df, list(_FIN_LABELS)))
 
 
-@query("m09_split_by_key", """SELECT o_orderkey, CASE WHEN (o_orderkey * 7919) % 100 < 80 THEN 'train' ELSE 'test' END AS part FROM orders""")
+_BUCKET = "CAST('0x' || substr(md5({}), 1, 8) AS BIGINT) % {}"
+
+
+@query("m09_split_by_key", f"""SELECT o_orderkey, CASE WHEN {_BUCKET.format("CAST(o_orderkey AS VARCHAR)", 100)} < 80 THEN 'train' ELSE 'test' END AS part FROM orders""")
 def _(spark, sf):
     return feats.split_by_key(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey")
 
 
+@query("m09_split_by_text_key", sql(
+    f"SELECT loan_id, CASE WHEN {_BUCKET.format('loan_id', 100)} < 80 THEN 'train' ELSE 'test' END AS part FROM lms", "lms"))
+def _(spark, sf):
+    return feats.split_by_key(views.lms(spark, sf).select("loan_id"), "loan_id")
+
+
 @query("m10_stratified_split", """SELECT o_orderkey, o_orderpriority, CASE WHEN rn <= floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS part FROM
     (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY (o_orderkey * 7919) % 1000003, o_orderkey) AS rn,
     count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders)""")
@@ -130,22 +137,23 @@ def _(spark, sf):
     return feats.stratified_split(orders, "o_orderkey", "o_orderpriority", 0.8, order)
 
 
-@query("m10_tuning_sample")
+_SAMPLED = _BUCKET.format("'42:' || CAST(o_orderkey AS VARCHAR)", feats.SAMPLE_PARTS)
+
+
+@query("m10_tuning_sample", f"""SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN {tuple(views.LOAN_NAMES)} AND {_SAMPLED} < {feats.SAMPLE_PARTS // 10}""")
 def _(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
-    return feats.stratified_sample(orders, "o_orderpriority", {p: 0.1 for p in views.LOAN_NAMES}).groupBy("o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return feats.stratified_sample(orders, "o_orderpriority", {p: 0.1 for p in views.LOAN_NAMES}, "o_orderkey")
 
 
-@query("m11_random_sample")
+@query("m11_random_sample", f"SELECT o_orderkey, o_custkey FROM orders WHERE {_SAMPLED} < {feats.SAMPLE_PARTS // 10}")
 def _(spark, sf):
-    return feats.sample_rows(table(spark, sf, "orders"), 0.1, 42).agg(F.count(F.lit(1)).alias("n"))
+    return feats.sample_rows(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 0.1, 42)
 
 
 # --- training and scoring ----------------------------------------------------
-# Rounds are few here so that a check run stays short; the defaults are models.TREES.
-_ROUNDS = 10
+#: labelled rows that a fit reads at most, drawn by a hash of the key; scoring covers all rows
+FIT_ROWS = 5_000
 _MODEL_FEATURES = ("tenure", "loan_amt", "due_amt", "balance", "mob", "paid_amt")
 
 
@@ -155,77 +163,114 @@ def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
     return lms.select("loan_id", "customer_id", "snapshot_date", *_MODEL_FEATURES, label)
 
 
-@lru_cache(maxsize=2)
-def _candidates(app: str, sf: str):
-    spark = SparkSession.getActiveSession()
-    return lifecycle.train_candidates(_training_rows(spark, sf), _MODEL_FEATURES, n_estimators=_ROUNDS)
+def _fit_rows(rows: DataFrame, key: str = "loan_id") -> DataFrame:
+    return staged(feats.sample_rows(rows, key, min(1.0, FIT_ROWS / max(1, rows.count()))), "fit")
+
 
+_SCORED = sql("""SELECT loan_id, true AS prediction_fits, true AS score_in_range FROM lms""", "lms")
 
-def _trained(spark: SparkSession, sf: str):
-    return _candidates(spark.sparkContext.applicationId, sf)
+
+def _checked(model, rows: DataFrame) -> DataFrame:
+    """Every row scored; the threshold and the range of the score hold for any model."""
+    scored = models.score_rows(model, rows, _MODEL_FEATURES, ["loan_id"])
+    return scored.select(
+        "loan_id", (F.col("prediction") == (F.col("score") > 0.5).cast("int")).alias("prediction_fits"), F.col("score").between(0, 1).alias("score_in_range")
+    )
 
 
-@query("m12_boosted_trees")
+@query("m12_boosted_trees", _SCORED)
 def _(spark, sf):
-    model = models.train_boosted(_training_rows(spark, sf), _MODEL_FEATURES, n_estimators=_ROUNDS)
-    return models.feature_importances(spark, model, _MODEL_FEATURES)
+    rows = _training_rows(spark, sf)
+    return _checked(models.train_boosted(_fit_rows(rows), _MODEL_FEATURES), rows)
 
 
-@query("m13_boosted_early_stop")
+@query("m13_boosted_early_stop", _SCORED)
 def _(spark, sf):
     rows = _training_rows(spark, sf)
-    held_out = F.pmod(F.xxhash64("loan_id"), F.lit(5)) == 0
-    model = models.train_boosted_early_stop(rows, _MODEL_FEATURES, held_out, n_estimators=_ROUNDS)
-    return models.feature_importances(spark, model, _MODEL_FEATURES)
+    held_out = feats.hash_bucket(F.col("loan_id"), 5) == 0
+    return _checked(models.train_boosted_early_stop(_fit_rows(rows), _MODEL_FEATURES, held_out), rows)
 
 
-@query("m14_tuned_boosted")
+# The search draws all of its 20 trials, over the reference depths, rates and samples, but over rounds divided by 50: boosting rounds follow one another, so
+# that even a tiny sample needs a quarter of a second each.
+_SHORT_ROUNDS = (2, 20, 1)
+
+
+@query("m14_tuned_boosted", "SELECT 20 AS trials, true AS loss_fits, true AS best_is_drawn")
 def _(spark, sf):
-    ranges = {**models.SEARCH_RANGES, "n_estimators": (3, 5, 1), "max_depth": (3, 4)}
-    model, params, loss = models.tune_boosted(_training_rows(spark, sf), _MODEL_FEATURES, trials=2, ranges=ranges)
-    scored = models.score_rows(model, _training_rows(spark, sf), _MODEL_FEATURES, ["label"])
-    return averaged_metrics(class_report(scored)).withColumn("loss", F.lit(float(loss)))
+    ranges = {**models.SEARCH_RANGES, "n_estimators": _SHORT_ROUNDS}
+    rows = _fit_rows(_training_rows(spark, sf))
+    model, params, loss = models.tune_boosted(rows, _MODEL_FEATURES, trials=20, ranges=ranges)
+    drawn = [(d["n_estimators"], d["max_depth"]) for d in models.draw_settings(20, ranges=ranges)]
+    best = (params["maxIter"], params["maxDepth"])
+    scored = models.score_rows(model, rows, _MODEL_FEATURES, ["label"])
+    return scored.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(len(drawn)).alias("trials"), (F.lit(float(loss)).between(0, 1) & (F.col("n") > 0)).alias("loss_fits"), F.lit(best in drawn).alias("best_is_drawn")
+    )
 
 
 def _grade_rows(spark: SparkSession, sf: str) -> DataFrame:
-    joined = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice", "l_tax", "l_discount", "l_shipdate")
+    joined = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice", "l_tax", "l_discount", "l_shipdate")
     grade = F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 1.0).otherwise(2.0)
-    return joined.select("l_quantity", "l_extendedprice", "l_tax", "l_discount", F.unix_date(F.col("l_shipdate").cast("date")).alias("day"), grade.alias("label"))
+    return joined.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax", "l_discount", F.unix_date(F.col("l_shipdate").cast("date")).alias("day"), grade.alias("label"))
 
 
-@query("m15_multiclass_search")
+@query("m15_multiclass_search", """SELECT l_orderkey, l_linenumber, true AS known_class FROM lineitem""")
 def _(spark, sf):
     names = ["l_quantity", "l_extendedprice", "l_tax", "l_discount", "day"]
-    grid = {**models.MULTICLASS_GRID, "max_depth": (3, 4), "n_estimators": (4, 6)}
-    model, params, best = models.tune_multiclass(_grade_rows(spark, sf), names, draws=2, grid=grid)
-    rows = models.assemble(_grade_rows(spark, sf), names, keep=["label"])
-    return averaged_metrics(class_report(model.transform(rows))).withColumn("cv_macro_f1", F.lit(float(best)))
+    rows = _grade_rows(spark, sf)
+    keyed = rows.withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    model, _params, _best = models.tune_multiclass(_fit_rows(keyed, "key"), names)
+    said = model.transform(models.assemble(rows, names, keep=["l_orderkey", "l_linenumber"]))
+    return said.select("l_orderkey", "l_linenumber", F.col("prediction").isin(0.0, 1.0, 2.0).alias("known_class"))
+
+
+_MONTH_ROWS = """SELECT loan_id, customer_id, snapshot_date, 'credit_scoring_model' AS model_name, '1' AS model_version, 'run-1' AS mlflow_run_id,
+    '1998_03_01' AS month_partition, 'monthly_inference' AS execution_context, true AS default_fits FROM lms WHERE snapshot_date = DATE '1998-03-01'"""
+
 
+def _month(spark: SparkSession, sf: str, model, features) -> DataFrame:
+    rows = _training_rows(spark, sf).where("snapshot_date = date '1998-03-01'")
+    inference, _metrics = lifecycle.monthly_inference(model, rows, features, "1998_03_01", "1", "run-1")
+    fits = F.col("predicted_default") == (F.col("default_probability") > 0.5).cast("int")
+    return inference.withColumn("default_fits", fits).drop("inference_date", "predicted_default", "default_probability")
 
-@query("m16_monthly_inference")
+
+@query("m16_monthly_inference", sql(_MONTH_ROWS, "lms"))
 def _(spark, sf):
-    fitted, _scores = _trained(spark, sf)
-    inference, _metrics = lifecycle.monthly_inference(
-        fitted["LightGBM"], _training_rows(spark, sf).where("snapshot_date = date '1998-03-01'"), _MODEL_FEATURES, "1998_03_01", "1", "run-1"
-    )
-    return inference.drop("inference_date")
+    model = models.train_boosted(_fit_rows(_training_rows(spark, sf)), _MODEL_FEATURES)
+    return _month(spark, sf, model, _MODEL_FEATURES)
+
+
+@query("m16_inference_after_drift", sql(_MONTH_ROWS, "lms"))
+def _(spark, sf):
+    """Trained with an indicator column that the scored month does not have."""
+    rows = _fit_rows(_training_rows(spark, sf)).withColumn("loan_type_auto", (F.col("loan_amt") > 30_000).cast("int"))
+    features = [*_MODEL_FEATURES, "loan_type_auto"]
+    return _month(spark, sf, models.train_boosted(rows, features, n_estimators=20), features)
 
 
-@query("m17_champion_version")
+@query("m17_champion_version", """SELECT 'credit_scoring_model' AS name, CAST(max(o_orderkey) + 1 AS VARCHAR) AS version, true AS known_run FROM orders""")
 def _(spark, sf):
-    _fitted, scores = _trained(spark, sf)
+    _fitted, scores = lifecycle.train_candidates(_fit_rows(_training_rows(spark, sf)), _MODEL_FEATURES)
     champion = runs.choose_champion(scores, "auc")
     versions = table(spark, sf, "orders").select(
         F.lit("credit_scoring_model").alias("name"), F.col("o_orderkey").cast("string").alias("version"), F.lit("Archived").alias("stage"),
         F.col("o_orderkey").cast("string").alias("run_id"),
     )
-    return runs.next_version(versions, "credit_scoring_model", champion)
+    made = runs.next_version(versions, "credit_scoring_model", champion)
+    return made.select("name", F.col("version").cast("string").alias("version"), F.col("run_id").isin("lightgbm-42", "catboost-42").alias("known_run"))
 
 
-@query("t08_top_importances")
+@query("t08_top_importances", "SELECT 6 AS features, CAST(1 AS DOUBLE) AS total, true AS ordered")
 def _(spark, sf):
-    fitted, _scores = _trained(spark, sf)
-    return models.feature_importances(spark, fitted["CatBoost"], _MODEL_FEATURES, 20)
+    model = models.train_boosted(_fit_rows(_training_rows(spark, sf)), _MODEL_FEATURES)
+    top = models.feature_importances(spark, model, _MODEL_FEATURES, 20)
+    listed = top.agg(F.collect_list("importance").alias("w"))
+    return listed.select(
+        F.size("w").alias("features"), F.round(F.aggregate("w", F.lit(0.0), lambda s, x: s + x), 6).alias("total"),
+        (F.col("w") == F.sort_array("w", asc=False)).alias("ordered"),
+    )
 
 
 @query("x04_batch_scoring", """SELECT l_orderkey, l_linenumber, l_partkey, round(1 / (1 + exp(-(0.05 * l_quantity - 20 * l_discount + 3 * l_tax))), 6) AS score FROM lineitem""")
