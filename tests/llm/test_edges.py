@@ -3,7 +3,7 @@
 import hashlib
 
 import pytest
-from edge_rows import CLASHING, EDGE, LONG
+from edge_rows import CLASHING, EDGE, LONG, edge, none  # noqa: F401
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, html_extract, language_id, line_dedup, lm_score, mixing, ngram_join, secret_scan, substring_dedup, topk_search

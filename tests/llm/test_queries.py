@@ -5,6 +5,7 @@ import sys
 
 import duckdb
 import pytest
+from edge_rows import edge  # noqa: F401
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
