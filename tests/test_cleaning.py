@@ -215,9 +215,9 @@ def test_substring_indicator_marks_longer_names(spark):
 
 def test_vocabulary_is_never_cut(spark):
     df = spark.range(20).select(C("id").cast("string").alias("v"))
-    assert len(cols.vocabulary(df, C("v"))) == 20
-    with pytest.raises(ValueError):
-        cols.vocabulary(df, C("v"), limit=19)
+    assert len(cols.vocabulary(df, F.array(C("v")))) == 20
+    both = cols.vocabularies(df, {"v": F.array(C("v")), "w": F.array(F.lit("b"), F.lit("a"), F.lit(None))})
+    assert len(both["v"]) == 20 and both["w"] == ["a", "b"]
 
 
 def test_clickstream_drops_null_keys_only_in_retrofit(spark):

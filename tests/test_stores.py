@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tidemark import session
 from tidemark.operators import models
-from tidemark.plans import bronze, gold, lifecycle
+from tidemark.plans import bronze, gold, lifecycle, silver
 from tidemark.sources import metrics, snapshots
 from tidemark.streaming.ingest import ingest_available
 
@@ -188,3 +188,44 @@ def test_draws_are_reproducible_and_in_range():
 def test_external_model_scores_every_row(spark, loans):
     got = models.score_with(loans, ["a"], ["loan_id"], lambda x: x[:, 0] * 2)
     assert got.count() == 2000 and got.agg(F.sum("score")).first()[0] == 18000.0
+
+
+def test_load_once_repairs_a_failed_first_load(spark, tmp_path):
+    path = tmp_path / "static"
+    path.mkdir()  # what a failed write leaves: a folder without a commit marker
+    one = spark.range(1).select(F.col("id"))
+    snapshots.write_once(one, str(path))
+    snapshots.write_once(one.withColumn("id", F.lit(9).cast("long")), str(path))
+    assert rows(snapshots.read_table(spark, str(path)), "id") == [(0,)]
+
+
+def test_months_with_different_columns_are_read_together(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = F.lit("2024-01-01").cast("date")
+    snapshots.write_snapshot(spark.range(1).select(F.col("id"), day.alias("snapshot_date")), path, "2024-01-01")
+    later = F.lit("2024-02-01").cast("date")
+    snapshots.write_snapshot(spark.range(1).select(F.col("id"), F.lit(5).alias("y"), later.alias("snapshot_date")), path, "2024-02-01")
+    assert rows(snapshots.read_table(spark, path), "snapshot_date", "y") == [(date(2024, 1, 1), None), (date(2024, 2, 1), 5)]
+
+
+def test_silver_is_written_by_month_and_once(spark, tmp_path):
+    root = str(tmp_path)
+    fin = spark.createDataFrame([("C1", "Auto Loan", "2024-01-01")], "customer_id string, type_of_loan string, snapshot_date string")
+    columns = {c: F.lit(None).cast("string") for c in (*silver.fv.FINANCIAL_TYPES, "credit_history_age", "payment_behaviour", "credit_mix", "payment_of_min_amount")}
+    snapshots.write_once(fin.withColumns(columns), f"{root}/b/financials")
+    assert silver.write_silver(spark, f"{root}/b", f"{root}/s", "financials", "2024-01-01", "main") is True
+    assert silver.write_silver(spark, f"{root}/b", f"{root}/s", "lms", "2024-01-01", "main") is False
+    assert snapshots.read_table(spark, f"{root}/s/financials").count() == 1
+    assert "auto_loan" in snapshots.read_table(spark, f"{root}/s/loan_type").columns
+    assert gold.write_gold(spark, f"{root}/s", f"{root}/g", "2024-01-01", "main") is False
+
+
+def test_scoring_a_month_without_a_feature(spark, loans):
+    model = models.train_boosted(loans.withColumn("extra", F.col("a") * 0 + 1), ["a", "b", "extra"], n_estimators=2)
+    table, metrics = lifecycle.monthly_inference(model, loans, ["a", "b", "extra"], "2024_01_01", "1", "r")
+    assert table.count() == loans.count() and metrics.first().total_samples == loans.count()
+
+
+def test_skipped_rounds_are_not_kept(spark, loans):
+    model = models.train_boosted_early_stop(loans, ["a", "b"], F.col("b") % 5 == 0, n_estimators=4)
+    assert 1 <= model.getNumTrees <= 4

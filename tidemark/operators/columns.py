@@ -61,13 +61,22 @@ def lookup(df: DataFrame, customer_id: str) -> DataFrame:
     return df.where(F.col("customer_id") == customer_id)
 
 
-def vocabulary(df: DataFrame, value: Column, limit: int = 5_000) -> list[str]:
-    """Sorted distinct values that are to become columns.
+def vocabularies(df: DataFrame, values: Mapping[str, Column]) -> dict[str, list[str]]:
+    """Sorted distinct values of each (array of) column that is to become columns, in one pass.
 
-    Raises when there are more than a table can have columns for; it never drops any.
+    The values are reduced where the rows are. They become a plan with a column for each, so they have to fit the driver;
+    for open sets of values use the long form instead of columns.
     """
-    found = df.select(value.alias("v")).where(F.col("v").isNotNull()).distinct().limit(limit + 1)
-    values = sorted(row.v for row in found.collect())
-    if len(values) > limit:
-        raise ValueError(f"more than {limit} distinct values; give the vocabulary explicitly")
-    return values
+    each = F.explode(F.concat(*[
+        F.transform(F.coalesce(v, F.array().cast("array<string>")), lambda x: F.struct(F.lit(name).alias("c"), x.alias("v")))
+        for name, v in values.items()
+    ]))
+    found: dict[str, list[str]] = {name: [] for name in values}
+    for row in df.select(each.alias("p")).where("p.v is not null").select("p.*").distinct().collect():
+        found[row.c].append(row.v)
+    return {name: sorted(listed) for name, listed in found.items()}
+
+
+def vocabulary(df: DataFrame, value: Column) -> list[str]:
+    """``vocabularies`` of one array column."""
+    return vocabularies(df, {"v": value})["v"]

@@ -48,17 +48,18 @@ def usable_columns(df: DataFrame) -> DataFrame:
     return long.withColumn("imputable", (F.col("non_null") > 0).cast("int"))
 
 
-def category_labels(df: DataFrame, columns: Sequence[str], limit: int = 5_000) -> dict[str, list[str]]:
-    """Labels of each column, most frequent first, then by name; one job for all columns."""
+def category_labels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Labels of each column, most frequent first, then by name; one job for all columns.
+
+    Each label becomes a column of the plan, so all of them have to fit the driver; give ``labels`` for open sets.
+    """
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
     )
     counted = (
         df.select(pairs.alias("p")).where(F.col("p.v").isNotNull())
-        .groupBy("p.c", "p.v").count().limit(limit * len(columns) + 1).collect()
+        .groupBy("p.c", "p.v").count().collect()
     )
-    if len(counted) > limit * len(columns):
-        raise ValueError(f"more than {limit} categories per column; give the labels explicitly")
     ranked = sorted(counted, key=lambda r: (-r["count"], r["v"]))
     return {c: [r["v"] for r in ranked if r["c"] == c] for c in columns}
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.skew import left_join_chain
+from tidemark.session import staged
 
 
 
@@ -22,9 +23,14 @@ def duplicate_report(df: DataFrame, key: str) -> DataFrame:
     """For every duplicated key, which columns differ between its rows.
 
     A column differs when its extremes differ or when it is NULL on some rows only;
-    both are plain partial aggregates, so a hot key costs no more than others.
+    both are plain partial aggregates, so a hot key costs no more than others. The key column
+    alone is counted first, and only rows of repeated keys are read with all their columns.
     """
     others = [c for c in df.columns if c != key]
+    # staged, so that the join knows its size: few keys are repeated as a rule
+    counts = df.select(key).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = staged(counts.select(F.col(key).alias("_repeated")), "repeated")
+    df = df.join(repeated, F.col(key).eqNullSafe(F.col("_repeated")), "left_semi")
 
     def differs(c: str) -> Column:
         partly_null = (F.count(c) > 0) & (F.count(c) < F.count(F.lit(1)))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions import loans, text
-from tidemark.operators.columns import cast_columns, drop_null_keys, lower_names, vocabulary
+from tidemark.operators.columns import cast_columns, drop_null_keys, lower_names, vocabularies, vocabulary
 from tidemark.operators.ordered import exact_quantiles
 from tidemark.operators.quality import shared_name_counts
 from tidemark.sources import snapshots
@@ -89,7 +89,7 @@ def loan_types(raw: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """One count column per loan type. ``names`` fixes the columns; else they come from the data."""
     df = lower_names(raw).select("customer_id", "snapshot_date", "type_of_loan")
     if names is None:
-        names = vocabulary(df, F.explode(text.loan_type_names(F.col("type_of_loan"))))
+        names = vocabulary(df, text.loan_type_names(F.col("type_of_loan")))
     counted = df.withColumn("_counts", text.loan_type_counts(F.col("type_of_loan")))
     return counted.select(
         "customer_id", "snapshot_date", "type_of_loan", *[text.count_of(F.col("_counts"), n).alias(n) for n in names]
@@ -115,23 +115,28 @@ def attributes_retrofit(raw: DataFrame) -> DataFrame:
     return shared_name_counts(flagged, "name").drop("name", "ssn")
 
 
+def _loan_pieces() -> Column:
+    """List pieces that do not begin with "and"."""
+    return F.filter(text.listed_loans(F.col("type_of_loan")), lambda p: ~p.rlike(fv.LEADING_AND) & (p != ""))
+
+
 def retrofit_loan_names(raw: DataFrame) -> list[str]:
-    """Loan names used as indicator columns: list pieces that do not begin with "and"."""
-    piece = F.explode(text.listed_loans(F.col("type_of_loan")))
-    pieces = lower_names(raw).where(F.col("type_of_loan").isNotNull()).select(piece.alias("p"))
-    return vocabulary(pieces.where(~F.col("p").rlike(fv.LEADING_AND) & (F.col("p") != "")), F.col("p"))
+    """Loan names used as indicator columns."""
+    return vocabulary(lower_names(raw), _loan_pieces())
 
 
 def retrofit_behaviours(raw: DataFrame) -> list[str]:
-    return vocabulary(lower_names(raw), text.behaviour_code(F.col("payment_behaviour")))
+    return vocabulary(lower_names(raw), F.array(text.behaviour_code(F.col("payment_behaviour"))))
 
 
 def financials_retrofit(
     raw: DataFrame, loan_names: Sequence[str] | None = None, behaviours: Sequence[str] | None = None
 ) -> DataFrame:
     df = lower_names(raw)
-    loan_names = list(loan_names) if loan_names is not None else retrofit_loan_names(df)
-    behaviours = list(behaviours) if behaviours is not None else retrofit_behaviours(df)
+    if loan_names is None or behaviours is None:
+        found = vocabularies(df, {"loans": _loan_pieces(), "behaviours": F.array(text.behaviour_code(F.col("payment_behaviour")))})
+        loan_names = found["loans"] if loan_names is None else loan_names
+        behaviours = found["behaviours"] if behaviours is None else behaviours
     listed, age = F.col("type_of_loan"), F.col("credit_history_age")
     years, months = text.duration_part(age, fv.YEARS_PLURAL), text.duration_part(age, fv.MONTHS_PLURAL)
     mix = text.null_if_in(F.col("credit_mix"), [fv.NO_CREDIT_MIX])

@@ -30,18 +30,24 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def write_snapshots(df: DataFrame, path: str, by: str = SNAPSHOT) -> None:
-    """Replace exactly the periods present in ``df``.
+def write_snapshots(df: DataFrame, path: str, by: str = SNAPSHOT, *then: str) -> None:
+    """Replace exactly the periods present in ``df`` (by further columns inside them, with ``then``).
 
     The rebalance hint gathers each period into few files and lets adaptive
     execution split a period that is much larger than the others.
     """
     (
         df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by).parquet(path)
+        .partitionBy(by, *then).parquet(path)
     )
 
 
+def drop_snapshot(spark: SparkSession, path: str, day: str, by: str = SNAPSHOT) -> None:
+    """Remove one period."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={day}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_snapshot(df: DataFrame, path: str, day: str, by: str = SNAPSHOT) -> None:
     """Replace one period, also when ``df`` has no rows for it any more."""
     df.where(F.col(by) == F.lit(day).cast("date")).drop(by).write.mode("overwrite").parquet(f"{path}/{by}={day}")

@@ -1,18 +1,20 @@
 """File arrival to bronze and silver months with Structured Streaming.
 
-Each file is taken once (checkpoint). A micro-batch is stored under its own batch
-number, so a replay overwrites itself, and the months it touches are rebuilt from
+Each file is taken once (checkpoint). A micro-batch is stored under the months it touches and
+its own batch number, so a replay overwrites itself, and those months are rebuilt from
 all their bronze rows, so late rows are merged in and nothing is appended twice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidemark.session import staged
 from tidemark.sources import snapshots
 
 BATCH = "ingest_batch"
@@ -25,19 +27,29 @@ def arriving(spark: SparkSession, path: str, schema: StructType | str, fmt: str
     return reader.format(fmt).load(path)
 
 
-def _store_batch(batch: DataFrame, number: int, bronze: str) -> None:
-    rows = batch.withColumn("snapshot_date", F.col("snapshot_date").try_cast("date"))
-    rows.hint("rebalance", "snapshot_date").write.mode("overwrite").partitionBy("snapshot_date").parquet(
-        f"{bronze}/{BATCH}={number}"
+def _store_batch(batch: DataFrame, number: int, bronze: str, rejects: str) -> list[date]:
+    """Store the rows by month and batch, those without a readable date apart; returns the months, one row each.
+
+    Both folders carry the batch number, so a replay replaces its own files.
+    """
+    rows = staged(batch.withColumn("_day", F.col("snapshot_date").try_cast("date")), "batch")
+    snapshots.write_snapshots(
+        rows.where("_day is not null").withColumns({"snapshot_date": F.col("_day"), BATCH: F.lit(number)}).drop("_day"), bronze, "snapshot_date", BATCH
     )
+    bad = rows.where("_day is null").drop("_day").withColumn(BATCH, F.lit(number))
+    snapshots.write_snapshots(bad, rejects, BATCH)
+    return [r._day for r in rows.select("_day").where("_day is not null").distinct().collect()]
 
 
-def _touched(spark: SparkSession, number: int, bronze: str) -> list:
-    """Months of one batch: a distinct over the partition column only, at most one row per month."""
-    stored = snapshots.read_table(spark, f"{bronze}/{BATCH}={number}")
-    if stored is None:
-        return []
-    return [r.snapshot_date for r in stored.select("snapshot_date").where("snapshot_date is not null").distinct().collect()]
+def _rebuild(spark: SparkSession, months: list[date], bronze: str, silver: str, recipe: Callable[[DataFrame], DataFrame]) -> None:
+    """Silver of the given months from all their bronze rows; no other month is listed or read."""
+    paths = [f"{bronze}/snapshot_date={m}" for m in months]
+    rows = spark.read.option("basePath", bronze).option("mergeSchema", True).parquet(*paths).drop(BATCH)
+    made = staged(recipe(rows), "silver")
+    snapshots.write_snapshots(made, silver)
+    left = {r.snapshot_date for r in made.select("snapshot_date").distinct().collect()}
+    for month in set(months) - left:  # the recipe keeps nothing of it any more
+        snapshots.drop_snapshot(spark, silver, str(month))
 
 
 def ingest_available(
@@ -50,17 +62,18 @@ def ingest_available(
     recipe: Callable[[DataFrame], DataFrame],
     fmt: str = "csv",
     files_per_batch: int | None = None,
+    rejects: str | None = None,
 ) -> StreamingQuery:
-    """Process everything that has arrived since the last run, then stop."""
+    """Process everything that has arrived since the last run, then stop.
+
+    Rows whose ``snapshot_date`` cannot be read are kept as they came in ``rejects`` (``<bronze>_rejects`` by default).
+    """
+    apart = rejects or f"{bronze}_rejects"
 
     def on_batch(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        _store_batch(batch, number, bronze)
-        months = _touched(session, number, bronze)
-        if not months:
-            return
-        rows = session.read.parquet(bronze).where(F.col("snapshot_date").isin(*months)).drop(BATCH)
-        snapshots.write_snapshots(recipe(rows), silver)
+        months = _store_batch(batch, number, bronze, apart)
+        if months:
+            _rebuild(batch.sparkSession, months, bronze, silver, recipe)
 
     return (
         arriving(spark, source, schema, fmt, files_per_batch)

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.operators import features as feats, models, registry as runs
-from tidemark.plans import gold, lifecycle, silver
-from tidemark.session import staged
+from tidemark.plans import bronze, gold, lifecycle, silver
+from tidemark.session import scratch_path, staged
+from tidemark.sources import snapshots
 from tidemark.suite import views
 from tidemark.suite.registry import query, r6
 from tidemark.suite.views import sql, table
@@ -81,6 +82,45 @@ def _(spark, sf):
     )
 
 
+_FLOW_DAYS = ("1997-07-01", "1997-08-01")
+_FLOW = " UNION ALL ".join(
+    f"""SELECT '{variant}' AS variant, snapshot_date, count(*) AS loans, CAST(sum(label) AS BIGINT) AS defaults, count(*) AS feature_rows,
+    count({column}) AS filled, CAST(sum({column}) AS BIGINT) AS total FROM (SELECT l.snapshot_date, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS label,
+    CASE WHEN contains(f.type_of_loan, 'Auto Loan') THEN 1 WHEN f.type_of_loan IS NOT NULL THEN 0 END AS auto_loan, l.mob FROM lms l LEFT JOIN raw_fin f USING (customer_id)
+    WHERE l.mob = 6 AND l.snapshot_date IN (DATE '1997-07-01', DATE '1997-08-01')) GROUP BY snapshot_date"""
+    for variant, column in (("main", "mob"), ("retrofit", "auto_loan"))
+)
+
+
+@query("m05_bronze_to_gold", sql(_FLOW, "lms", "raw_fin"))
+def _(spark, sf):
+    """Two months of all tables from bronze through silver to both gold tables, in both variants."""
+    root = scratch_path(spark, "flow")
+    bronze.ingest_all(views.raw_lms(spark, sf).where(F.col("snapshot_date").isin(*[F.lit(d).cast("date") for d in _FLOW_DAYS])), f"{root}/bronze/lms")
+    clicks = views.raw_clicks(spark, sf)
+    click_day = str(clicks.agg(F.min("snapshot_date")).first()[0])
+    bronze.ingest_month(clicks, f"{root}/bronze/clickstream", click_day)
+    bronze.ingest_static(views.raw_attributes(spark, sf), f"{root}/bronze/attributes")
+    bronze.ingest_static(views.raw_financials(spark, sf), f"{root}/bronze/financials")
+    out = None
+    for variant, column in (("main", "mob"), ("retrofit", "auto_loan")):
+        here = f"{root}/{variant}"
+        silver.write_silver(spark, f"{root}/bronze", f"{here}/silver", "clickstream", click_day, variant)
+        for day in _FLOW_DAYS:
+            for name in ("attributes", "financials", "lms"):
+                silver.write_silver(spark, f"{root}/bronze", f"{here}/silver", name, day, variant)
+            gold.write_gold(spark, f"{here}/silver", f"{here}/gold", day, variant)
+        labels = snapshots.read_table(spark, f"{here}/gold/label_store").groupBy("snapshot_date").agg(
+            F.count(F.lit(1)).alias("loans"), F.sum("label").alias("defaults")
+        )
+        features = snapshots.read_table(spark, f"{here}/gold/feature_store").groupBy("snapshot_date").agg(
+            F.count(F.lit(1)).alias("feature_rows"), F.count(column).alias("filled"), F.sum(F.col(column).cast("long")).alias("total")
+        )
+        part = labels.join(features, "snapshot_date").select(F.lit(variant).alias("variant"), "snapshot_date", "loans", "defaults", "feature_rows", "filled", "total")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # --- preparation -------------------------------------------------------------
 @query("m01_mean_imputation", sql(
     """SELECT customer_id, CAST(coalesce(fe_2, (SELECT trunc(avg(fe_2)) FROM raw_click)) AS INTEGER) AS fe_2,

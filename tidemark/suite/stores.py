@@ -237,17 +237,21 @@ def _(spark, sf):
     return snapshots.bundle_counts(spark, found)
 
 
+_PROFILE_MONTHS = ("1997-07-01", "1997-08-01", "1997-09-01")
+_PROFILE_TYPES = {
+    "loan_id": "string", "customer_id": "string", "loan_start_date": "date", "tenure": "int", "installment_num": "int", "loan_amt": "double",
+    "due_amt": "double", "paid_amt": "double", "overdue_amt": "double", "balance": "double",
+}
+
+
 @query("s19_schema_profile", sql(
-    """SELECT column_name, count(*) FILTER (WHERE n > 0) AS present_in, CAST(sum(n) AS BIGINT) AS filled FROM (
-    SELECT unnest(['loan_id', 'dpd', 'snapshot_date']) AS column_name, unnest([count(loan_id), count(dpd), count(snapshot_date)]) AS n FROM lms
-    UNION ALL SELECT unnest(['loan_id', 'label', 'snapshot_date']), unnest([count(loan_id), count(label), count(snapshot_date)]) FROM label_store)
-    GROUP BY 1""", "label_store"))
+    "SELECT column_name, count(*) FILTER (WHERE n > 0) AS present_in, count(*) AS declared_in, types, CAST(sum(n) AS BIGINT) AS filled FROM (SELECT "
+    + f"unnest({list(_PROFILE_TYPES)}) AS column_name, unnest({list(_PROFILE_TYPES.values())}) AS types, unnest([{', '.join(f'count({c})' for c in _PROFILE_TYPES)}]) AS n"
+    + f" FROM raw_lms WHERE snapshot_date IN ({', '.join(f'DATE {m!r}' for m in _PROFILE_MONTHS)}) GROUP BY snapshot_date) GROUP BY ALL", "raw_lms"))
 def _(spark, sf):
-    lms = views.lms(spark, sf)
-    return quality.column_profile({
-        "lms": lms.select("loan_id", "dpd", "snapshot_date"),
-        "labels": gold.label_store(lms).select("loan_id", "label", "snapshot_date"),
-    }).select("column_name", "present_in", "filled")
+    path = scratch_path(spark, "profile")
+    snapshots.write_snapshots(views.raw_lms(spark, sf), path)
+    return quality.column_profile({m: spark.read.parquet(f"{path}/snapshot_date={m}") for m in _PROFILE_MONTHS})
 
 
 # --- file arrival ------------------------------------------------------------
@@ -275,3 +279,24 @@ def _(spark, sf):
     return snapshots.read_table(spark, f"{root}/silver").groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("n"), F.sum("installment_num").alias("installments"), F.sum("dpd").alias("dpd")
     )
+
+
+@query("st02_rejected_rows", sql(
+    """SELECT 'silver' AS place, count(*) AS n, count(DISTINCT snapshot_date) AS months FROM raw_lms WHERE installment_num <> 7 AND NOT (
+    installment_num = 6 OR snapshot_date = DATE '1997-07-01')
+    UNION ALL SELECT 'rejects', count(*) FILTER (WHERE installment_num = 7), 0 FROM raw_lms""", "raw_lms"))
+def _(spark, sf):
+    """Rows with unreadable dates are set apart; a month that the recipe empties leaves silver."""
+    root, source = scratch_path(spark, "rejects"), scratch_path(spark, "rejects-csv")
+    raw = views.raw_lms(spark, sf).withColumn("installment_num", F.col("installment_num").cast("string"))
+    day = F.when(F.col("installment_num") == "7", F.lit("not a date")).otherwise(F.col("snapshot_date").cast("string"))
+    kept = (F.col("installment_num") != "6") & (F.col("snapshot_date") != F.lit("1997-07-01").cast("date"))
+    for part, recipe in ((raw.where("installment_num = 6"), lambda df: df), (raw.where("installment_num <> 6"), lambda df: df.where(kept))):
+        snapshots.write_csv(part.withColumn("snapshot_date", F.when(F.lit(True), day)), source, mode="append")
+        ingest_available(
+            spark, source, _LMS_DDL, f"{root}/bronze", f"{root}/silver", f"{root}/checkpoint", recipe, rejects=f"{root}/rejects"
+        ).awaitTermination()
+    silver_rows = snapshots.read_table(spark, f"{root}/silver").where("installment_num <> '6'")
+    counts = silver_rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("snapshot_date").alias("months"))
+    bad = snapshots.read_table(spark, f"{root}/rejects").agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("months"))
+    return counts.select(F.lit("silver").alias("place"), "n", "months").unionByName(bad.select(F.lit("rejects").alias("place"), "n", "months"))
