@@ -7,10 +7,11 @@ one alignment the values in the slots must then agree: one value of the item sta
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType
 
-from tidemark.llm.common import Scratch, row_identity
+from tidemark.llm.common import Scratch, next_power_of_two, row_identity
 
 WINDOW = 8
 #: a window counts if so many of its tokens are no placeholders
@@ -20,7 +21,7 @@ LEAK_TOKENS = 13
 #: fixed patterns and placeholders
 NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
 NUMBERS = r"[0-9]+(?:[.,:/][0-9]+)*%?"
-NAMES = r"([^.!?:\s]\x20)\p{Lu}\p{Ll}+"
+NAMES = r"\p{Lu}(?<=[^.!?:\s]\x20\p{Lu})\p{Ll}+"
 UNITS = (
     "kg g mg lb lbs oz ton tons km m cm mm mile miles ft feet foot inch inches yard yards l ml liter liters litre litres gallon gallons "
     "s sec seconds second min minutes minute h hr hrs hours hour days day weeks week months month years year "
@@ -34,8 +35,7 @@ SLOT = r"[\x01-\x03]"
 def template(text: Column, names: bool = True) -> Column:
     """Text with placeholders, still one token for each token of the text."""
     out = F.regexp_replace(text, NUMBERS, NUMBER)
-    for _ in range(2 if names else 0):  # a match takes the end of the token before it, which may be a name itself
-        out = F.regexp_replace(out, NAMES, rf"$1{NAME}")
+    out = F.regexp_replace(out, NAMES, NAME) if names else out
     return F.regexp_replace(out, UNITS_AFTER, rf"$1{UNIT}")
 
 
@@ -44,8 +44,23 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.regexp_replace(text, JUNK, "")), r"\s+"), lambda x: x != "")
 
 
-def windows(df: DataFrame, text_col: str, keep: list[Column], names: bool = True) -> DataFrame:
-    """(kept columns, pos, h, slots): one row for every window of ``WINDOW`` template tokens; ``slots`` holds the values behind its placeholders."""
+def window_bits(index: DataFrame, most_bits: int = 1 << 23) -> list[int]:
+    """Bits of the window hashes as 64-bit words, for a test that only false positives pass; at most ``most_bits`` whatever the benchmark."""
+    bits = min(most_bits, max(1 << 12, next_power_of_two(32 * index.count())))
+    word = F.shiftrightunsigned("h", 64 - (bits // 64).bit_length() + 1).cast("int")
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
+    rows = index.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("mask")).collect()
+    out = [0] * (bits // 64)
+    for row in rows:
+        out[row["word"]] = row["mask"]
+    return out
+
+
+def windows(df: DataFrame, text_col: str, keep: list[Column], names: bool = True, bits: list[int] | None = None) -> DataFrame:
+    """(kept columns, pos, h, slots): one row for every window of ``WINDOW`` template tokens; ``slots`` holds the values behind its placeholders.
+
+    With ``bits``, windows that are surely none of ``window_bits`` are left out where they are made.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     parts = df.select(*keep, text.alias("_bd_text"), template(text, names).alias("_bd_template"))
     kept = [c for c in parts.columns if not c.startswith("_bd_")]
@@ -57,15 +72,22 @@ def windows(df: DataFrame, text_col: str, keep: list[Column], names: bool = True
     values = F.transform(F.arrays_zip(F.col("_bd_c").alias("c"), own.alias("o")), lambda x: F.when(x["c"].rlike(SLOT), x["o"]))
     parts = parts.where(F.size("_bd_c") >= WINDOW).withColumn("_bd_v", F.when(F.col("_bd_has"), values)).drop("_bd_text")
 
-    def window(i: Column) -> Column:
-        return F.struct(
-            F.xxhash64(F.slice("_bd_c", i, F.lit(WINDOW))).alias("h"),
-            F.when(F.col("_bd_has"), F.filter(F.slice("_bd_v", i, F.lit(WINDOW)), lambda x: x.isNotNull())).alias("slots"),
-        )
+    hashed = F.transform(
+        F.sequence(F.lit(1), F.size("_bd_c") - (WINDOW - 1)),
+        lambda i: F.struct(i.alias("i"), F.xxhash64(F.slice("_bd_c", i, F.lit(WINDOW))).alias("h")),
+    )
+    if bits is not None:
+        held = F.lit(np.array(bits, np.int64))
+
+        def known(w: Column) -> Column:
+            word = F.shiftrightunsigned(w["h"], 64 - len(bits).bit_length() + 1).cast("int")
+            return F.getbit(held[word], w["h"].bitwiseAND(F.lit(63)).cast("int")) == 1
 
-    each = F.transform(F.sequence(F.lit(1), F.size("_bd_c") - (WINDOW - 1)), window)
-    out = parts.select(*kept, F.posexplode(each).alias("pos", "w"))
-    return out.select(*kept, "pos", "w.h", F.coalesce("w.slots", F.array().cast("array<string>")).alias("slots"))
+        hashed = F.filter(hashed, known)
+    slots = lambda w: F.when(F.col("_bd_has"), F.filter(F.slice("_bd_v", w["i"], F.lit(WINDOW)), lambda x: x.isNotNull()))
+    each = F.transform(hashed, lambda w: F.struct((w["i"] - 1).alias("pos"), w["h"].alias("h"), slots(w).alias("slots")))
+    out = parts.select(*kept, F.explode(each).alias("w"))
+    return out.select(*kept, "w.pos", "w.h", F.coalesce("w.slots", F.array().cast("array<string>")).alias("slots"))
 
 
 def benchmark_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -94,9 +116,10 @@ def leaks(
     """
     scratch = Scratch(docs.sparkSession, "leaks")
     index = scratch.write(benchmark_windows(items, item_id, item_text), "windows")
+    bits = window_bits(index)
     index = F.broadcast(index) if index.count() <= broadcast_rows else index
     r1, r2 = row_identity(F.col(id_col), F.col(text_col))
-    met = windows(docs, text_col, [r1.alias("r1"), r2.alias("r2")]).join(index, "h")
+    met = windows(docs, text_col, [r1.alias("r1"), r2.alias("r2")], bits=bits).join(index, "h")
     pairs = F.arrays_zip(F.col("islots").alias("a"), F.col("slots").alias("b"))
     aligned = met.groupBy("r1", "r2", "item", "n", (F.col("pos") - F.col("ipos")).alias("shift")).agg(
         F.collect_set("ipos").alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")

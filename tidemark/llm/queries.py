@@ -142,8 +142,8 @@ def _tokens_sql(text: str) -> str:
 
 def _template_sql(names: bool) -> str:
     out = f"regexp_replace(coalesce(text, ''), {_quoted(decontaminate.NUMBERS)}, chr(1), 'g')"
-    for _ in range(2 if names else 0):
-        out = f"regexp_replace({out}, {_quoted(decontaminate.NAMES)}, '\\1' || chr(2), 'g')"
+    for _ in range(2 if names else 0):  # without lookbehind a match takes the end of the token before it, which may be a name itself
+        out = f"regexp_replace({out}, '([^.!?:\\s]\\x20)\\p{{Lu}}\\p{{Ll}}+', '\\1' || chr(2), 'g')"
     return f"regexp_replace({out}, {_quoted(decontaminate.UNITS_AFTER)}, '\\1' || chr(3), 'g')"
 
 
