@@ -15,8 +15,8 @@ from tidemark.llm.ngram_join import drop_near_duplicates
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: a text whose best language is less likely than this is rejected, like one without letters
-LEAST_SCORE = 0.3
+#: a text whose best language is less likely than this many times chance is rejected, like one without letters
+LEAST_GAIN = 1.1
 #: a line of so many documents is boilerplate; its first occurrence stays
 LINE_DOCS = 10
 
@@ -24,8 +24,10 @@ LINE_DOCS = 10
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network knows; trained on the labelled rows whose crc32 of the id is not 0 mod 5."""
     labelled = docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).select("lang", "text")
-    told = languages.identify_language(docs, languages.fit_network(labelled))
-    return told.where((F.col("lang_pred") != languages.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    network = languages.fit_network(labelled)
+    least = LEAST_GAIN / len(network.labels) if network and len(network.labels) > 1 else 0.0
+    told = languages.identify_language(docs, network)
+    return told.where((F.col("lang_pred") != languages.UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
