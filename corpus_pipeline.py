@@ -21,20 +21,30 @@ LEAST_GAIN = 1.1
 LINE_DOCS = 10
 
 
+def _aside(docs: DataFrame, *names: str) -> DataFrame:
+    """``docs`` with columns of these names under others, so that an operator's own columns do not replace them."""
+    return docs.withColumnsRenamed({c: f"_aside_{c}" for c in docs.columns if c.lower() in names})
+
+
+def _back(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, under their own names."""
+    return rows.select(*[F.col(f"_aside_{c}").alias(c) if f"_aside_{c}" in rows.columns else F.col(c) for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network knows; trained on the labelled rows whose crc32 of the id is not 0 mod 5."""
     labelled = docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).select("lang", "text")
     network = languages.fit_network(labelled)
     least = LEAST_GAIN / len(network.labels) if network and len(network.labels) > 1 else 0.0
-    told = languages.identify_language(docs, network)
-    return told.where((F.col("lang_pred") != languages.UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    told = languages.identify_language(_aside(docs, "lang_pred", "score"), network)
+    return _back(told.where((F.col("lang_pred") != languages.UNKNOWN) & (F.col("score") >= least)), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ``LINE_DOCS`` documents or more stay in the first of them; documents that this leaves without text go."""
-    cleaned = dedup_lines(docs, min_docs=LINE_DOCS, keep_first=True)
+    cleaned = dedup_lines(_aside(docs, "n_lines", "n_dropped"), min_docs=LINE_DOCS, keep_first=True)
     emptied = (F.col("n_dropped") > 0) & ~F.col("text").rlike(r"\S")
-    return cleaned.where(~emptied).select(*docs.columns)
+    return _back(cleaned.where(~emptied), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import sys
 
 import duckdb
 import pytest
-from edge_rows import edge  # noqa: F401
+from edge_rows import CLASHING, edge  # noqa: F401
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
@@ -14,6 +14,7 @@ from check import TABLES, rows_of  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from tidemark.llm import language_id, ngram_join  # noqa: E402
 from tidemark.llm.common import Scratch  # noqa: E402
+from tidemark.llm.mixing import NEW  # noqa: E402
 from tidemark.llm.queries import ORACLES, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -66,7 +67,8 @@ def test_stages_on_odd_rows(spark, edge):
     for name, stage in corpus_pipeline.STAGES:
         own = stage(spark, edge, SF)
         assert name == "mixing" or own.columns == edge.columns
-        own.count()
+        kept = {c: r[c] for r in own.collect() for c in CLASHING if c not in NEW or name != "mixing"}
+        assert kept == {c: f"kept-{c}" for c in kept} and len(kept) >= len(CLASHING) - len(NEW)
         assert stage(spark, edge.limit(0), SF).count() == 0
         docs = scratch.write(stage(spark, docs, SF), name)
     ids = [r["doc_id"] for r in docs.collect()]
