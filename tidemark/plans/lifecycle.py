@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark import fixed_values as fv
 from tidemark.operators import features as feats, models, registry
 from tidemark.operators.columns import align_features, feature_columns, numeric_columns
-from tidemark.operators.evaluation import monthly_report, ranking_metrics
+from tidemark.operators.evaluation import loan_default_report, monthly_report, ranking_metrics
 from tidemark.session import staged
 from tidemark.sources import snapshots
 
@@ -61,6 +61,29 @@ def train_candidates(
     return fitted, scores
 
 
+def tune_and_refit(
+    rows: DataFrame, features: Sequence[str], key: str = "loan_id", label: str = "label", sample_share: float = 0.1,
+    trials: int = 20, seed: int = 42, **options,
+) -> tuple[Model, dict, DataFrame]:
+    """Nested split, search on a stratified sample, refit that keeps the best round, full report on the test rows.
+
+    A fifth of the keys is the test; of the others a fifth is held out for the refit. All splits follow hashes of the key.
+    """
+    marked = staged(feats.split_by_key(rows, key, 80), "nested")
+    train, test = (marked.where(F.col("part") == part).drop("part") for part in ("train", "test"))
+    classes = [r[0] for r in train.select(label).where(F.col(label).isNotNull()).distinct().collect()]  # a model has few
+    sample = staged(feats.stratified_sample(train, label, dict.fromkeys(classes, sample_share), key, seed), "tuning")
+    _model, params, _loss = models.tune_boosted(sample, features, label, trials, seed, **options)
+    settings = {
+        "n_estimators": params["maxIter"], "learning_rate": params["stepSize"], "max_depth": params["maxDepth"],
+        "subsample": params["subsamplingRate"], "colsample": params["featureSubsetStrategy"], "seed": seed,
+    }
+    held_out = feats.hash_bucket(F.concat(F.lit("held:"), F.col(key).cast("string"))) < 20
+    model = models.train_boosted_early_stop(train, features, held_out, label, **settings)
+    scored = models.score_rows(model, test, features, [key, label])
+    return model, params, loan_default_report(scored, key=key, label=label)
+
+
 def retrain(
     features: DataFrame, labels: DataFrame, versions: DataFrame, day: str, model_name: str = "credit_scoring_model",
     seed: int = 42, **settings,
@@ -100,5 +123,3 @@ def monthly_inference(
         "month_date": F.lit(month), "model_name": F.lit(model_name), "mlflow_run_id": F.lit(run_id),
     })
     return table, metrics
-
-
