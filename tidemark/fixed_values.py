@@ -78,3 +78,13 @@ SCORING_EXCLUDES = (
 )
 # inputs the label itself is computed from
 LABEL_INPUTS = ("dpd", "overdue_amt", "installments_missed", "first_missed_date")
+
+# columns that the main feature store leaves out once they are parsed or encoded
+MAIN_GOLD_DROPS = ("name", "ssn", "type_of_loan", "credit_history_age")
+# names of lifecycle phases and decisions, availability states and report messages, as stored and read elsewhere
+PHASE_SKIP, PHASE_INITIAL, PHASE_MONTHLY = "skip_run", "run_initial_training_flow", "run_monthly_lifecycle_flow"
+RETRAIN, NO_RETRAIN = "trigger_retraining", "skip_retraining"
+DATA_AVAILABLE, DATA_UNAVAILABLE = "data_available", "data_unavailable"
+EVALUATION_SKIPPED = "Week after retraining event, skipping evaluation."
+NO_PREVIOUS_METRICS = "No metrics for previous week "
+EVALUATED = "success"

@@ -51,15 +51,15 @@ def every_day(start: Column, end: Column) -> Column:
 def lifecycle_phase(day: Column) -> Column:
     start = F.lit(fv.INITIAL_TRAINING_DATE).cast("date")
     return (
-        F.when(day < start, "skip_run")
-        .when(day == start, "run_initial_training_flow")
-        .otherwise("run_monthly_lifecycle_flow")
+        F.when(day < start, fv.PHASE_SKIP)
+        .when(day == start, fv.PHASE_INITIAL)
+        .otherwise(fv.PHASE_MONTHLY)
     )
 
 
 def retraining_decision(day: Column) -> Column:
     dates = [F.lit(d).cast("date") for d in fv.RETRAIN_DATES]
-    return F.when(day.isin(*dates), "trigger_retraining").otherwise("skip_retraining")
+    return F.when(day.isin(*dates), fv.RETRAIN).otherwise(fv.NO_RETRAIN)
 
 
 def loads_static(day: Column) -> Column:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark import fixed_values as fv
 from tidemark.operators.skew import left_join_chain
 from tidemark.session import staged
 
@@ -213,7 +214,7 @@ def availability(found: DataFrame, periods: DataFrame, static_from: str) -> Data
     ).select(grid["period"], grid["layer"], grid["table"], "hit")
     absent = F.count_if(F.col("hit").isNull())
     return checked.groupBy("period").agg(
-        absent.alias("n_missing"), F.when(absent == 0, "data_available").otherwise("data_unavailable").alias("status")
+        absent.alias("n_missing"), F.when(absent == 0, fv.DATA_AVAILABLE).otherwise(fv.DATA_UNAVAILABLE).alias("status")
     )
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark import fixed_values as fv
+
 
 def model_summary(metrics: DataFrame) -> DataFrame:
     """Averages, extremes and spread of every model, best average macro F1 first."""
@@ -89,7 +91,7 @@ def evaluate_production(days: DataFrame, metrics: DataFrame, last_retraining: Co
     return joined.select(
         "day", "prev_week",
         *[F.when(found, F.col(c)).alias(c) for c in ("model_name", "macro_f1", "accuracy", "total_samples")],
-        F.when(F.col("skipped"), F.lit("Week after retraining event, skipping evaluation."))
-        .when(F.col("model_name").isNull(), F.concat(F.lit("No metrics for previous week "), F.col("prev_week")))
-        .otherwise(F.lit("success")).alias("message"),
+        F.when(F.col("skipped"), F.lit(fv.EVALUATION_SKIPPED))
+        .when(F.col("model_name").isNull(), F.concat(F.lit(fv.NO_PREVIOUS_METRICS), F.col("prev_week")))
+        .otherwise(F.lit(fv.EVALUATED)).alias("message"),
     )
