@@ -16,7 +16,7 @@ from tidemark.llm.common import Scratch
 
 #: words in a block; documents that a shard holds about; shards of a source at most
 BLOCK_WORDS = 64
-SHARD_DOCS = 20_000
+SHARD_DOCS = 1_000
 MOST_SHARDS = 4096
 NEW = ("size", "source_size", "target", "taken")
 
