@@ -220,13 +220,15 @@ def dedup_lines(
 
     row = F.struct("_ld_id", "_ld_r1", "_ld_r2")
     repeated = suspects.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("first")).where(F.col("n") >= min_docs)
+    # written first, so that the join can split a line that very many rows hold
+    repeated = scratch.write(repeated.select("key", "first"), "repeated")
     is_first = F.lit(keep_first) & row.eqNullSafe(F.col("first"))
-    verdicts = suspects.join(repeated.select("key", "first"), "key").groupBy("_ld_r1", "_ld_r2").agg(
+    verdicts = suspects.join(repeated, "key").groupBy("_ld_r1", "_ld_r2").agg(
         F.collect_set(F.when(~is_first, F.col("hash"))).alias("_ld_gone"),
         F.collect_set(F.when(is_first, F.col("hash"))).alias("_ld_first"),
     )
     verdicts = scratch.write(verdicts, "verdicts")
-    scratch.drop(suspects)
+    scratch.drop(suspects, repeated)
 
     marked = docs.withColumns({"_ld_r1": r1, "_ld_r2": r2}).join(verdicts, ["_ld_r1", "_ld_r2"], "left")
     marked = marked.withColumn("_ld_text", F.col(text_col).cast("string"))
