@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
 from tidemark.llm.common import flat_bytes
 
@@ -55,16 +54,13 @@ def word_hashes(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return mix(hashed), np.searchsorted(starts, offsets)
 
 
-def chunks(column: pa.Array, most: int = 1 << 20, wanted: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def chunks(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, word hashes, word offsets) for runs of rows of about ``most`` bytes; a row is never cut.
 
-    With ``wanted``, the other rows count as empty. A few hundred rows are unpacked at a time, so that little is held twice.
+    A few hundred rows are unpacked at a time, so that little is held twice.
     """
     for first in range(0, len(column), SLICE_ROWS):
-        some = column.slice(first, SLICE_ROWS)
-        if wanted is not None:
-            some = pc.if_else(pa.array(wanted[first : first + SLICE_ROWS]), some, pa.scalar(None, some.type))
-        flat, offsets = flat_bytes(some)
+        flat, offsets = flat_bytes(column.slice(first, SLICE_ROWS))
         row, rows = 0, len(offsets) - 1
         while row < rows:
             end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, "right")) - 1)
