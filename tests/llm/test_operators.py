@@ -67,6 +67,17 @@ def test_components_of_chains_and_stars(spark):
     assert got == want
 
 
+def test_rows_beyond_one_slice_keep_their_words():
+    texts = [f"a{i} b c " * (i % 7) if i % 5 else None for i in range(3 * text_hashes.SLICE_ROWS + 7)]
+    got = {}
+    for first, _, words in text_hashes.chunks(pa.array(texts).slice(3), most=100):
+        got |= {first + i: int(n) for i, n in enumerate(np.diff(words))}
+    assert got == {i: len((t or "").split()) for i, t in enumerate(texts[3:])}
+    wanted = np.arange(len(texts)) % 3 == 0
+    for first, _, _, lengths in substring_dedup._rows_of_shingles(pa.array(texts), 2, wanted):
+        assert lengths.tolist() == [max(0, len((t or "").split()) - 1) if w else 0 for t, w in zip(texts[first:][:len(lengths)], wanted[first:])]
+
+
 def test_word_hashes_tell_words_apart():
     texts = ["Ab c\td\x0be", "", None, "ab", " ab\n", "é É", "cd " * 1000 + "ab"]
     rows = []
@@ -172,7 +183,8 @@ ITEM = "A train leaves Paris at 40 km per hour and meets Anna after 3 hours on t
     (f"Some words before. {ITEM}. And after that others follow here.", True),
     (ITEM.lower(), True),
     (ITEM.replace("40", "75").replace("3 hours", "9 hours").replace("Anna", "Peter"), True),
-    (ITEM.replace("Anna", "cousins"), False),  # 12 tokens and less to either side
+    (" ".join(ITEM.split()[:12]) + " and so on, with other words from here", False),
+    (" ".join(ITEM.split()[:13]) + " and so on, with other words from here", True),
     (ITEM.replace("way", "road"), True),
     ("A train leaves Paris at 40 km per hour and that is all there is to say about it", False),
     ("nothing of the kind", False),
@@ -381,3 +393,17 @@ def test_lm_gradients():
         w[at] = held
         assert (losses[0] - losses[1]) / 2e-4 == pytest.approx(g[at], rel=1e-3, abs=1e-7)
     assert d_emb.shape == (*context.shape, lm_score.EMBEDDING)
+
+
+def test_passages_of_the_test_tables(spark):
+    """All exact repeats of fifty words or more, by brute force."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    held, texts = {}, {i: words_of(t or "") for i, t in docs.collect()}
+    for i, w in texts.items():
+        for j in range(len(w) - 49):
+            held.setdefault(hash(tuple(w[j : j + 50])), set()).add(i)
+    want = {i for found in held.values() if len(found) > 1 for i in found}
+    got = substring_dedup.repeated_passages(docs).collect()
+    assert want <= {r["doc_id"] for r in got}
+    for doc, start, end, _ in got:
+        assert 0 <= start < end <= len(texts[doc]) and end - start >= 40
