@@ -222,6 +222,21 @@ def test_passages_against_brute_force(spark):
         assert rows[doc][1].split()[start:end] == passages[doc % 4] and match % 4 == doc % 4 and match != doc
 
 
+def test_passages_in_long_unlike_contexts(spark):
+    rng = random.Random(6)
+    rows, want = [], {}
+    for shared, size in ((3, 50), (3, 55), (3, 60), (10, 50), (10, 55), (10, 60), (100, 50), (100, 60)):
+        passage = [f"p{shared}-{size}-{i}" for i in range(size)]
+        for _ in range(shared):
+            i, before = len(rows), rng.randint(150, 250)
+            text = [f"d{i}-{j}" for j in range(400)]
+            text[before:before] = passage
+            want[i] = (before, before + size)
+            rows.append((i, " ".join(text)))
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"]: (r["start_word"], r["end_word"]) for r in got} == want and len(got) == len(want)
+
+
 def test_compact_windows_against_brute_force():
     rng = np.random.default_rng(1)
     shingles = rng.integers(0, 30, 90).astype(np.uint64)
