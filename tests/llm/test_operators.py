@@ -196,6 +196,19 @@ def test_templates(spark, text, leaked):
     assert got == {1: (leaked, [7] if leaked else []), 2: (False, [])}
 
 
+def test_number_heavy_and_short_items(spark):
+    items = [
+        (1, "Compute 12 + 7 * 3 - 45 / 9 + 81 - 6 exactly and explain"), (2, "mix 12 kg 7 l 5 g with 3 eggs and then stir"),
+        (3, "What is 3 plus 9"), (4, "12 7 9 44 81 6 3 5 77"),
+    ]
+    texts = [f"some words before {t} and some after" for _, t in items] + [
+        items[0][1].replace("81", "82"), items[1][1].replace("7 l", "8 l"), "What is 3 plus 8", "12 7 9 44 81 6 3 5 78", "other words 1 2 3 4 5 6 7 8 9 10 11",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
+    got = decontaminate.mark_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r["doc_id"]: r["items"] for r in got if r["contaminated"]} == {1: [1], 2: [2], 3: [3], 4: [4], 6: [2]}
+
+
 def test_slots_must_agree(spark):
     item = "take 5 coins from the box and put 5 coins back then count all 9 coins in the box once more"
     other = "take 7 coins from the box and put 7 coins back then count all 8 coins in the box once more"
