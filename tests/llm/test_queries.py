@@ -41,7 +41,7 @@ def test_entry_names():
     import __spark_entry__ as entry
 
     names = list(entry.queries())
-    assert [sum(x.startswith(f"op{n}_") for x in names) for n in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(x.startswith(f"op{n}_") for x in names) for n in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
 
 

@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.filter_audit import audit_filters
 from tidemark.llm.html_extract import extract_main_text
 from tidemark.llm.language_id import fit_network, identify_language
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.lm_score import fit_lm, score_texts
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.ngram_join import ngram_components
+from tidemark.llm.periodic_runs import periodic_runs
+from tidemark.llm.resharding import flow_layout
 
 from tidemark.llm import decontaminate, secret_scan
 from tidemark.llm.secret_scan import listed, scan_secrets
@@ -201,3 +204,77 @@ def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return score_texts(docs, fit_lm(docs)).select("doc_id", "n_tokens", "log_prob", "mean_log_prob")
+
+
+FAILED_SQL = r"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    tests AS (SELECT r, doc_id, part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+        coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e FROM docs),
+    said AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    failed AS (SELECT part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END)
+        || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS fails, count(*) AS n,
+        count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM tests LEFT JOIN said USING (doc_id) GROUP BY ALL)"""
+
+AUDIT_SQL = FAILED_SQL + """,
+    letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+    orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letter a JOIN letter b ON b.f <> a.f JOIN letter c ON c.f NOT IN (a.f, b.f)
+        JOIN letter d ON d.f NOT IN (a.f, b.f, c.f) JOIN letter e ON e.f NOT IN (a.f, b.f, c.f, d.f)),
+    steps AS (SELECT filter_order, unnest(range(1, 6))::INTEGER AS step FROM orders),
+    met AS (SELECT part, filter_order, step, substr(filter_order, step, 1) AS f, fails, n, good, toxic, contains(fails, substr(filter_order, step, 1)) AS here,
+        translate(fails, substr(filter_order, 1, step - 1), '') <> fails AS before FROM steps CROSS JOIN failed),
+    counted AS (SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (NOT here AND NOT before), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (here AND NOT before), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (here AND before), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER (here AND NOT before), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (here AND NOT before), 0)::BIGINT AS toxic_lost FROM met GROUP BY ALL)
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+        (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM counted"""
+
+
+@query("op11_filter_audit", AUDIT_SQL)
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(
+        table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    )
+
+
+SHARDS = 24
+
+
+@query("op12_reshard")
+def resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source lies in one old shard, by its name; the flow brings the 24 shards to equal bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    sized = docs.select(
+        "doc_id", (F.length(text) + 8).cast("long").alias("bytes"), F.crc32(text).alias("text_crc32"),
+        F.pmod(F.crc32(F.coalesce("source", F.lit("")).cast("binary")), F.lit(SHARDS)).cast("int").alias("home"),
+    )
+    layout = flow_layout(sized, F.col("bytes"), F.col("home"), SHARDS, SHARDS, ["doc_id", "text_crc32", "bytes"])
+    return layout.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard"
+    )
+
+
+@query("op13_periodic_runs")
+def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In every tenth document, by the hash of its id, the words after one place repeat the stretch that begins there."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    g, n, a, p = (F.col(c) for c in "gnap")
+    repeated = docs.where((h % 10 == 0) & F.col("text").isNotNull()).select("doc_id", words.alias("w"), F.floor(h / 10).alias("g"), F.size(words).alias("n"))
+    repeated = repeated.withColumn("a", F.when(n > 0, g % n).otherwise(0)).withColumn("p", 1 + F.floor((n - a) / (3 + g % 8)))
+    tail = F.transform(F.sequence(a, n - 1), lambda i: F.element_at("w", (a + (i - a) % p + 1).cast("int")))
+    again = F.when(n > 0, F.concat(F.slice("w", F.lit(1), a.cast("int")), tail)).otherwise(F.col("w"))
+    texts = docs.where(F.coalesce(h % 10 != 0, F.lit(True)) | F.col("text").isNull()).unionByName(repeated.select("doc_id", F.array_join(again, " ").alias("text")))
+    found = periodic_runs(texts)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("q"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    best, period = F.col("best"), -F.col("best.q")
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-best["s"]).alias("start"), best["length"].alias("length"), period.alias("period"),
+        F.floor(1000 * best["length"] / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
