@@ -86,6 +86,35 @@ def _ranking(rates: DataFrame) -> DataFrame:
     )
 
 
+def ranking_by_group(scored: DataFrame, group: str, key: str = "key", label: str = "label", score: str = "score", top: float = 10) -> DataFrame:
+    """Per group (say, a model) n, positives, roc_auc, gini_coefficient, ks_statistic and the lift of the top ``top`` % of rows.
+
+    Ties are exact; at the cut of the top, tied rows are taken in key order. Rows without a label or score are left out. One pass for all groups.
+    """
+    known = scored.where(F.col(label).isNotNull() & F.col(score).isNotNull()).select(
+        F.col(group).alias("_g"), F.col(key).alias("key"), F.col(score).cast("double").alias("score"), F.col(label).cast("long").alias("label")
+    )
+    rows = known.groupBy("_g", "score", "key").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos"))
+    rows = staged(running_totals(rows, [F.col("score").desc(), F.col("key").asc()], ["n", "pos"], ["_g"]), "ranked")
+    curve = rows.groupBy("_g", "score").agg(F.max("n_through").alias("n"), F.max("pos_through").alias("pos"), F.min("n_before").alias("n0"), F.min("pos_before").alias("pos0"))
+    size = rows.groupBy("_g").agg(F.sum("n").alias("all_n"), F.sum("pos").alias("all_pos"))
+    size = staged(size, "sizes").withColumnRenamed("_g", "_s")
+    neg, neg0, all_neg = F.col("n") - F.col("pos"), F.col("n0") - F.col("pos0"), F.col("all_n") - F.col("all_pos")
+    area = F.sum((neg - neg0) * (F.col("pos") + F.col("pos0")) / 2)
+    ranking = curve.join(size, F.col("_g") == F.col("_s")).groupBy("_g", "all_n", "all_pos").agg(
+        F.try_divide(area, F.col("all_pos").cast("double") * all_neg).alias("roc_auc"),
+        F.max(F.try_divide(F.col("pos"), F.col("all_pos")) - F.try_divide(neg, all_neg)).alias("ks"),
+    )
+    n_top = F.floor(F.col("all_n") * F.lit(top) / 100)
+    inside = F.greatest(F.lit(0), F.least(F.col("n"), n_top - F.col("n_before")))
+    taken = rows.join(size, F.col("_g") == F.col("_s")).groupBy("_g").agg(F.max(n_top).alias("n_top"), F.sum(F.least(F.col("pos"), inside)).alias("top_pos"))
+    lifted = F.try_divide(F.try_divide(F.col("top_pos"), F.col("n_top")), F.try_divide(F.col("all_pos"), F.col("all_n")))
+    return ranking.join(taken, "_g").select(
+        F.col("_g").alias(group), F.col("all_n").alias("n"), F.col("all_pos").alias("positives"), "roc_auc", (2 * F.col("roc_auc") - 1).alias("gini_coefficient"),
+        F.greatest(F.col("ks"), F.lit(0.0) * F.col("roc_auc")).alias("ks_statistic"), lifted.alias(f"lift_at_{top:g}_percentile"),
+    )
+
+
 def _plain(percentiles: Sequence[float]) -> list[int] | list[float]:
     """All whole or all doubles, so that they make one column."""
     numbers = list(percentiles)
@@ -369,6 +398,19 @@ def loan_default_report(
     )
 
 
+def macro_f1_by_group(rows: DataFrame, group: Sequence[str], label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """(group, n, macro_f1): the mean F1 over the classes that a group's labels or predictions hold; rows without a label are left out."""
+    cells = rows.where(F.col(label).isNotNull()).groupBy(*group, F.col(label).alias("_l"), F.col(prediction).alias("_p")).agg(F.count(F.lit(1)).alias("n"))
+    hit = F.when(F.col("_l") == F.col("_p"), F.col("n")).otherwise(0)
+    sides = cells.select(*group, F.explode(F.array(
+        F.struct(F.col("_l").alias("c"), F.col("n").alias("seen"), hit.alias("hit")),
+        F.struct(F.col("_p").alias("c"), F.col("n").alias("seen"), F.lit(0).cast("long").alias("hit")),
+    )).alias("s")).where(F.col("s.c").isNotNull())
+    each = sides.groupBy(*group, "s.c").agg((2 * F.sum("s.hit") / F.sum("s.seen")).alias("f1"))
+    n = cells.groupBy(*group).agg(F.sum("n").alias("n"))
+    return n.join(each.groupBy(*group).agg(F.avg("f1").alias("macro_f1")), list(group))
+
+
 def one_vs_rest_auc(rows: DataFrame, label: str = "label", scores: str = "scores") -> DataFrame:
     """(class, roc_auc) for rows with a class number and the array of class probabilities.
 

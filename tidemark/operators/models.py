@@ -1,20 +1,25 @@
-"""Distributed training, tuning and scoring with pyspark.ml."""
+"""Training, tuning and scoring of boosted trees and other models."""
 
 from __future__ import annotations
 
 import random
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
+from itertools import product
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.operators.evaluation import averaged_metrics, class_report, ranking_metrics
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.operators import boosting
+from tidemark.operators.boosting import BoostedTrees
+from tidemark.operators.evaluation import macro_f1_by_group, ranking_by_group
+from tidemark.operators.features import hash_bucket, stratified_sample, stratified_split
+from tidemark.session import staged
 
 # Booster settings and search ranges of the two families.
 TREES = {"max_depth": 4, "learning_rate": 0.1, "n_estimators": 150, "subsample": 0.8, "colsample": 0.8, "seed": 42}
@@ -27,12 +32,16 @@ SEARCH_RANGES = {
 }
 MULTICLASS_GRID = {
     "max_depth": (4, 6),
+    "learning_rate": (0.05, 0.1),
     "n_estimators": (100, 200),
     "subsample": (0.8, 1.0),
     "colsample": (0.8,),
     "min_child_weight": (1, 5),
 }
 
+#: rounds without a lower validation loss after which growth ends
+PATIENCE = 30
+
 
 def assemble(df: DataFrame, features: Sequence[str], fill: float = 0.0, keep: Sequence[str] | None = None) -> DataFrame:
     """Feature columns to one vector; a NULL or NaN feature becomes ``fill``."""
@@ -41,44 +50,19 @@ def assemble(df: DataFrame, features: Sequence[str], fill: float = 0.0, keep: Se
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(filled).drop(*features)
 
 
-def _booster(label: str, settings: Mapping) -> GBTClassifier:
-    return GBTClassifier(
-        labelCol=label,
-        featuresCol="features",
-        maxDepth=int(settings["max_depth"]),
-        stepSize=float(settings["learning_rate"]),
-        maxIter=int(settings["n_estimators"]),
-        subsamplingRate=float(settings["subsample"]),
-        featureSubsetStrategy=str(settings["colsample"]),
-        seed=int(settings["seed"]),
-    )
-
-
-def train_boosted(train: DataFrame, features: Sequence[str], label: str = "label", **settings) -> Model:
+def train_boosted(train: DataFrame, features: Sequence[str], label: str = "label", **settings) -> BoostedTrees:
     """Family A: a fixed number of boosting rounds."""
-    ensure_checkpoint_dir(train.sparkSession)
-    return _booster(label, {**TREES, **settings}).fit(assemble(train, features, keep=[label]))
+    return boosting.fit(train, features, label, **{**TREES, **settings})
 
 
 def train_boosted_early_stop(
-    rows: DataFrame, features: Sequence[str], validation: Column, label: str = "label", **settings
-) -> Model:
-    """Family B: keeps the rounds up to the best one on the validation rows; all features per split.
+    rows: DataFrame, features: Sequence[str], validation: Column, label: str = "label", patience: int = PATIENCE, **settings
+) -> BoostedTrees:
+    """Family B: keeps the rounds up to the best one on the validation rows and ends ``patience`` rounds after it; all rows and features per round."""
+    return boosting.fit(rows, features, label, validation, patience=patience, **{**TREES, "subsample": 1.0, "colsample": 1.0, **settings})
 
-    All rounds are fitted first. The same seed grows the same trees, so a second fit of the best number of rounds is
-    the first model cut off there.
-    """
-    ensure_checkpoint_dir(rows.sparkSession)
-    marked = assemble(rows.withColumn("_validate", validation), features, keep=[label, "_validate"])
-    train, held = (marked.where(F.col("_validate") == side).drop("_validate") for side in (False, True))
-    booster = _booster(label, {**TREES, "subsample": 1.0, "colsample": "all", **settings})
-    model = booster.fit(train)
-    losses = model.evaluateEachIteration(held)
-    best = min(range(len(losses)), key=losses.__getitem__) + 1
-    return model if best == len(losses) else booster.setMaxIter(best).fit(train)
 
-
-def score_rows(model: Model, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
+def score_rows(model: Model | BoostedTrees, df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """``prediction`` and ``score`` (probability of class 1, or the prediction itself without one)."""
     out = model.transform(assemble(df, features, keep=keep))
     prediction = F.col("prediction").cast("int")
@@ -122,7 +106,7 @@ def inference_table(
     )
 
 
-def feature_importances(df_session, model: Model, features: Sequence[str], n: int = 20) -> DataFrame:
+def feature_importances(df_session, model: Model | BoostedTrees, features: Sequence[str], n: int = 20) -> DataFrame:
     """The n most important features (impurity gain); one row per feature exists at all."""
     weights = model.featureImportances.toArray().tolist()
     rows = [(f, float(w)) for f, w in zip(features, weights)]
@@ -131,41 +115,6 @@ def feature_importances(df_session, model: Model, features: Sequence[str], n: in
     ).limit(n)
 
 
-class MacroF1(Evaluator):
-    """Unweighted mean F1 over the classes."""
-
-    def __init__(self, label: str = "label"):
-        super().__init__()
-        self.label = label
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        return float(averaged_metrics(class_report(dataset, self.label, "prediction")).first()["macro_f1"])
-
-    def copy(self, extra=None) -> "MacroF1":
-        return MacroF1(self.label)
-
-    def isLargerBetter(self) -> bool:
-        return True
-
-
-class RocAuc(Evaluator):
-    """Exact area under the ROC curve of the class-1 probability."""
-
-    def __init__(self, label: str = "label"):
-        super().__init__()
-        self.label = label
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        scored = dataset.select(F.col(self.label).alias("label"), vector_to_array("probability")[1].alias("score"))
-        return float(ranking_metrics(scored).first()["roc_auc"] or 0.0)
-
-    def copy(self, extra=None) -> "RocAuc":
-        return RocAuc(self.label)
-
-    def isLargerBetter(self) -> bool:
-        return True
-
-
 def draw_settings(trials: int, seed: int = 42, ranges: Mapping = SEARCH_RANGES) -> list[dict]:
     """Random draws from the search ranges; the same seed gives the same draws."""
     import math
@@ -184,49 +133,90 @@ def draw_settings(trials: int, seed: int = 42, ranges: Mapping = SEARCH_RANGES)
     return draws
 
 
+def _at_once(spark: SparkSession, work: Callable, settings: Sequence[Mapping], parallelism: int) -> list:
+    """``work`` for each of the settings; its jobs run beside each other."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), settings))
+
+
+def _trial_table(spark: SparkSession, draws: Sequence[Mapping], fitted: Sequence[BoostedTrees]) -> DataFrame:
+    """(trial, drawn settings, rounds kept and grown) of a search."""
+    rows = [
+        (i, int(d["n_estimators"]), float(d["learning_rate"]), int(d["max_depth"]), float(d["subsample"]), float(d["colsample"]), len(m.rounds), m.fitted_rounds)
+        for i, (d, m) in enumerate(zip(draws, fitted))
+    ]
+    return spark.createDataFrame(
+        rows, "trial int, n_estimators int, learning_rate double, max_depth int, subsample double, colsample double, rounds int, fitted_rounds int"
+    )
+
+
+@dataclass(frozen=True)
+class Search:
+    """What a search found: the refitted model, its settings, the table of all trials, and the scored rows behind it."""
+
+    model: BoostedTrees
+    settings: dict
+    trials: DataFrame
+    scored: DataFrame
+
+
 def tune_boosted(
     rows: DataFrame, features: Sequence[str], label: str = "label", trials: int = 20, seed: int = 42,
-    parallelism: int = 4, ranges: Mapping = SEARCH_RANGES,
-) -> tuple[Model, dict, float]:
-    """Random search for the lowest 1 - AUC on a held-out fifth, then a fit on all rows."""
-    ensure_checkpoint_dir(rows.sparkSession)
-    booster = _booster(label, {**TREES, "seed": seed})
-    grid = [
-        {
-            booster.maxIter: d["n_estimators"], booster.stepSize: min(d["learning_rate"], 1.0),
-            booster.maxDepth: d["max_depth"], booster.subsamplingRate: d["subsample"],
-            booster.featureSubsetStrategy: f"{d['colsample']:.4f}",
-        }
-        for d in draw_settings(trials, seed, ranges)
-    ]
-    search = TrainValidationSplit(
-        estimator=booster, estimatorParamMaps=grid, evaluator=RocAuc(label), trainRatio=0.8,
-        parallelism=parallelism, seed=seed,
-    ).fit(assemble(rows, features, keep=[label]))
-    best = max(range(len(grid)), key=lambda i: search.validationMetrics[i])
-    return search.bestModel, {p.name: v for p, v in grid[best].items()}, 1 - search.validationMetrics[best]
+    parallelism: int = 4, ranges: Mapping = SEARCH_RANGES, key: str = "loan_id", patience: int = PATIENCE,
+) -> Search:
+    """Random search for the lowest 1 - AUC on a fifth of every class, then a fit of the best settings on all rows.
+
+    A trial's growth ends ``patience`` rounds after its lowest validation loss, and it is scored at that round. All trials read one staged binning and run
+    ``parallelism`` at a time; their validation rows are scored in one pass. ``trials`` of the result has a row per trial: drawn
+    settings, rounds, ``loss``, and the ranking metrics of the default report.
+    """
+    marked = staged(stratified_split(rows, key, label, 0.8), "tuning")
+    binned = boosting.bin_rows(marked, features, label, F.col("part") == "test", key=[key])
+    draws = [{**d, "learning_rate": min(d["learning_rate"], 1.0), "seed": seed} for d in draw_settings(trials, seed, ranges)]
+    fitted = _at_once(rows.sparkSession, lambda d: boosting.grow(binned, patience, **d), draws, parallelism)
+    held = marked.where((F.col("part") == "test") & F.col(label).isNotNull())
+    scored = staged(
+        boosting.score_many(fitted, held, [key, label]).select(
+            F.col("model").alias("trial"), F.col(key).alias("key"), F.col(label).alias("label"), F.col("scores")[1].alias("score")
+        ), "trials",
+    )
+    table = _trial_table(rows.sparkSession, draws, fitted).join(F.broadcast(ranking_by_group(scored, "trial")), "trial")
+    table = staged(table.withColumn("loss", 1 - F.coalesce("roc_auc", F.lit(0.0))), "trial-table")
+    best = draws[table.orderBy("loss", "trial").first()["trial"]]
+    return Search(boosting.fit(rows, features, label, key=[key], **best), best, table, scored)
+
+
+def draw_multiclass(draws: int, seed: int = 42, grid: Mapping = MULTICLASS_GRID) -> list[dict]:
+    """Different points of the grid, drawn at random; the same seed gives the same points."""
+    points = [dict(zip(grid, values)) for values in product(*grid.values())]
+    return random.Random(seed).sample(points, min(draws, len(points)))
 
 
 def tune_multiclass(
-    rows: DataFrame, features: Sequence[str], label: str = "label", draws: int = 5, folds: int = 3, seed: int = 42,
-    parallelism: int = 4, grid: Mapping = MULTICLASS_GRID,
-) -> tuple[Model, dict, float]:
-    """Randomised search by cross-validated macro F1; forests, as boosting here is binary."""
-    ensure_checkpoint_dir(rows.sparkSession)
-    forest = RandomForestClassifier(labelCol=label, featuresCol="features", seed=seed)
-    rng = random.Random(seed)
-    maps = [
-        {
-            forest.maxDepth: rng.choice(grid["max_depth"]), forest.numTrees: rng.choice(grid["n_estimators"]),
-            forest.subsamplingRate: rng.choice(grid["subsample"]),
-            forest.featureSubsetStrategy: str(rng.choice(grid["colsample"])),
-            forest.minInstancesPerNode: rng.choice(grid["min_child_weight"]),
-        }
-        for _ in range(draws)
-    ]
-    search = CrossValidator(
-        estimator=forest, estimatorParamMaps=maps, evaluator=MacroF1(label), numFolds=folds,
-        parallelism=parallelism, seed=seed,
-    ).fit(assemble(rows, features, keep=[label]))
-    best = max(range(len(maps)), key=lambda i: search.avgMetrics[i])
-    return search.bestModel, {p.name: v for p, v in maps[best].items()}, search.avgMetrics[best]
+    rows: DataFrame, features: Sequence[str], classes: int, label: str = "label", draws: int = 5, folds: int = 3, seed: int = 42,
+    parallelism: int = 4, grid: Mapping = MULTICLASS_GRID, key: str = "loan_id", sample_share: float = 0.1, patience: int = PATIENCE,
+) -> Search:
+    """Randomised search of one-vs-rest boosting by cross-validated macro F1, then a refit with early stopping.
+
+    The search reads a share of every class; folds follow a hash of the key. Every draw is fitted without each fold in turn and
+    predicts it; the mean macro F1 of the folds decides, ties by the earlier draw. The refit holds out a fifth of every class of all rows. Labels are
+    class numbers from 0.
+    """
+    sample = staged(stratified_sample(rows, label, dict.fromkeys(range(classes), sample_share), key, seed), "multiclass") if sample_share < 1 else rows
+    points = [{**d, "seed": seed} for d in draw_multiclass(draws, seed, grid)]
+    fold = hash_bucket(F.concat(F.lit(f"fold:{seed}:"), F.col(key).cast("string")), folds)
+    parts = []
+    for f in range(folds):
+        binned = boosting.bin_rows(sample.where(fold != f), features, label, classes=classes, key=[key])
+        fitted = _at_once(rows.sparkSession, lambda d, b=binned: boosting.grow(b, **d), points, parallelism)
+        told = boosting.score_many(fitted, sample.where(fold == f), [key, label])
+        parts.append(told.select(F.lit(f).alias("fold"), F.col("model").alias("trial"), F.col(key).alias("key"), F.col(label).alias("label"), "scores"))
+    most = F.array_position("scores", F.array_max("scores")) - 1
+    scored = staged(reduce(DataFrame.unionByName, parts).withColumn("prediction", most.cast("int")), "folds")
+    each = macro_f1_by_group(scored, ["trial", "fold"]).groupBy("trial").agg(F.avg("macro_f1").alias("macro_f1"), F.sum("n").alias("rows"))
+    table = rows.sparkSession.createDataFrame([(i, *[float(p[c]) for c in grid]) for i, p in enumerate(points)], ", ".join(["trial int", *[f"{c} double" for c in grid]]))
+    table = staged(table.join(F.broadcast(each), "trial"), "trial-table")
+    best = points[table.orderBy(F.col("macro_f1").desc_nulls_last(), "trial").first()["trial"]]
+    marked = staged(stratified_split(rows, key, label, 0.8), "refit")
+    model = boosting.fit(marked, features, label, F.col("part") == "test", classes, patience=patience, key=[key], **best)
+    return Search(model, best, table, scored)

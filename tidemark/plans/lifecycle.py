@@ -73,15 +73,11 @@ def tune_and_refit(
     train, test = (marked.where(F.col("part") == part).drop("part") for part in ("train", "test"))
     classes = [r[0] for r in train.select(label).where(F.col(label).isNotNull()).distinct().collect()]  # a model has few
     sample = staged(feats.stratified_sample(train, label, dict.fromkeys(classes, sample_share), key, seed), "tuning")
-    _model, params, _loss = models.tune_boosted(sample, features, label, trials, seed, **options)
-    settings = {
-        "n_estimators": params["maxIter"], "learning_rate": params["stepSize"], "max_depth": params["maxDepth"],
-        "subsample": params["subsamplingRate"], "colsample": params["featureSubsetStrategy"], "seed": seed,
-    }
+    settings = models.tune_boosted(sample, features, label, trials, seed, key=key, **options).settings
     held_out = feats.hash_bucket(F.concat(F.lit("held:"), F.col(key).cast("string"))) < 20
     model = models.train_boosted_early_stop(train, features, held_out, label, **settings)
     scored = models.score_rows(model, test, features, [key, label])
-    return model, params, loan_default_report(scored, key=key, label=label)
+    return model, settings, loan_default_report(scored, key=key, label=label)
 
 
 def retrain(

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark import fixed_values as fv
-from tidemark.operators import features as feats, models, registry as runs
+from tidemark.operators import boosting, evaluation, features as feats, models, registry as runs
 from tidemark.plans import bronze, gold, lifecycle, silver
 from tidemark.session import scratch_path, staged
 from tidemark.sources import snapshots
@@ -195,122 +195,216 @@ def _(spark, sf):
 #: labelled rows that a fit reads at most, drawn by a hash of the key; scoring covers all rows
 FIT_ROWS = 5_000
 _MODEL_FEATURES = ("tenure", "loan_amt", "due_amt", "balance", "mob", "paid_amt")
+#: with the days past due, which decide the label, what a good learner predicts is known for every row
+_TELLING = (*_MODEL_FEATURES, "dpd")
+_DUE = f"CASE WHEN dpd >= {fv.LABEL_DPD} THEN 1 ELSE 0 END"
 
 
 def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
     lms = views.lms(spark, sf)
     label = F.when(F.col("dpd") >= fv.LABEL_DPD, 1).otherwise(0).alias("label")
-    return lms.select("loan_id", "customer_id", "snapshot_date", *_MODEL_FEATURES, label)
+    return lms.select("loan_id", "customer_id", "snapshot_date", *_TELLING, label)
 
 
 def _fit_rows(rows: DataFrame, key: str = "loan_id") -> DataFrame:
     return staged(feats.sample_rows(rows, key, min(1.0, FIT_ROWS / max(1, rows.count()))), "fit")
 
 
-_SCORED = sql("""SELECT loan_id, true AS prediction_fits, true AS score_in_range FROM lms""", "lms")
+def _drawn_sql(key: str, view: str) -> str:
+    """The rows of ``view`` that a fit reads."""
+    hashed = _BUCKET.format(f"'42:' || {key}", feats.SAMPLE_PARTS)
+    return f"SELECT * FROM {view} WHERE {hashed} < round(least(1.0, {FIT_ROWS}::DOUBLE / (SELECT count(*) FROM {view})) * {feats.SAMPLE_PARTS})"
+
+
+_SCORED = sql(f"SELECT loan_id, {_DUE} AS prediction, true AS score_in_range FROM lms", "lms")
 
 
 def _checked(model, rows: DataFrame) -> DataFrame:
-    """Every row scored; the threshold and the range of the score hold for any model."""
-    scored = models.score_rows(model, rows, _MODEL_FEATURES, ["loan_id"])
-    return scored.select(
-        "loan_id", (F.col("prediction") == (F.col("score") > 0.5).cast("int")).alias("prediction_fits"), F.col("score").between(0, 1).alias("score_in_range")
-    )
+    """Every row scored, the rows that no fit has seen included."""
+    scored = models.score_rows(model, rows, _TELLING, ["loan_id"])
+    return scored.select("loan_id", "prediction", F.col("score").between(0, 1).alias("score_in_range"))
 
 
 @query("m12_boosted_trees", _SCORED)
 def _(spark, sf):
     rows = _training_rows(spark, sf)
-    return _checked(models.train_boosted(_fit_rows(rows), _MODEL_FEATURES), rows)
+    return _checked(models.train_boosted(_fit_rows(rows), _TELLING), rows)
+
+
+def _held_out():
+    return feats.hash_bucket(F.col("loan_id"), 5) == 0
 
 
 @query("m13_boosted_early_stop", _SCORED)
 def _(spark, sf):
     rows = _training_rows(spark, sf)
-    held_out = feats.hash_bucket(F.col("loan_id"), 5) == 0
-    return _checked(models.train_boosted_early_stop(_fit_rows(rows), _MODEL_FEATURES, held_out), rows)
+    return _checked(models.train_boosted_early_stop(_fit_rows(rows), _TELLING, _held_out()), rows)
+
+
+@query("m13_stopped_growth", sql(
+    f"""SELECT count(*) AS fit_rows, count(*) FILTER (held) AS held_rows, CAST(sum(label) FILTER (held) AS BIGINT) AS held_positives,
+    true AS ended_in_time, true AS cut_at_best, true AS loss_agrees
+    FROM (SELECT *, {_BUCKET.format('loan_id', 5)} = 0 AS held, {_DUE} AS label FROM drawn)""", "lms", drawn=_drawn_sql("loan_id", "lms")))
+def _(spark, sf):
+    """Without the days past due the validation loss turns: growth ends 30 rounds after its lowest point, which is the loss of the model returned."""
+    rows = _fit_rows(_training_rows(spark, sf))
+    model = models.train_boosted_early_stop(rows, _MODEL_FEATURES, _held_out(), learning_rate=0.3, n_estimators=400)
+    best = min(range(len(model.losses)), key=model.losses.__getitem__) + 1
+    scored = models.score_rows(model, rows.where(_held_out()), _MODEL_FEATURES, ["label"])
+    loss = F.avg(-F.log(F.when(F.col("label") == 1, F.col("score")).otherwise(1 - F.col("score"))))
+    facts = rows.agg(
+        F.count(F.lit(1)).alias("fit_rows"), F.count_if(_held_out()).alias("held_rows"), F.sum(F.when(_held_out(), F.col("label"))).alias("held_positives")
+    )
+    return facts.select(
+        "*", F.lit(model.fitted_rounds == best + models.PATIENCE < 400).alias("ended_in_time"), F.lit(len(model.rounds) == best).alias("cut_at_best"),
+        (F.abs(scored.agg(loss.alias("l")).scalar() - F.lit(model.losses[best - 1])) < 1e-6).alias("loss_agrees"),
+    )
+
+
+@query("m13_first_round", sql(
+    f"""SELECT loan_id, round(1 / (1 + exp(-(prior + CASE WHEN v <= cut THEN 0.1 * gl / (hl + 1) ELSE 0.1 * (g - gl) / (h - hl + 1) END))), 4) AS score
+    FROM (SELECT loan_id, mob AS v FROM lms), best, total""", "lms", drawn=_drawn_sql("loan_id", "lms"),
+    total=f"""SELECT ln((p + 0.5) / (n - p + 0.5)) AS prior, 1 / (1 + exp(-prior)) AS share, p - n * share AS g, n * share * (1 - share) AS h
+        FROM (SELECT count(*)::DOUBLE AS n, sum({_DUE})::DOUBLE AS p FROM drawn)""",
+    cuts=f"""SELECT mob AS cut, sum(count(*)) OVER w AS n, sum(sum({_DUE})) OVER w AS p FROM drawn GROUP BY mob WINDOW w AS (ORDER BY mob)""",
+    best="""SELECT cut, p - n * share AS gl, n * share * (1 - share) AS hl FROM cuts, total WHERE h - n * share * (1 - share) >= 1 AND n * share * (1 - share) >= 1
+        ORDER BY power(p - n * share, 2) / (n * share * (1 - share) + 1) + power(g - p + n * share, 2) / (h - n * share * (1 - share) + 1) DESC, cut LIMIT 1"""))
+def _(spark, sf):
+    """One round of one split: prior, histogram, gain, leaf values and scores can all be written out."""
+    rows = _training_rows(spark, sf)
+    model = models.train_boosted(_fit_rows(rows), ["mob"], n_estimators=1, max_depth=1, subsample=1.0, colsample=1.0)
+    return models.score_rows(model, rows, ["mob"], ["loan_id"]).select("loan_id", F.round("score", 4).alias("score"))
 
 
-# The search draws all of its 20 trials, over the reference depths, rates and samples, but over rounds divided by 50: boosting rounds follow one another, so
-# that even a tiny sample needs a quarter of a second each.
-_SHORT_ROUNDS = (2, 20, 1)
+@query("m14_tuned_boosted", _SCORED)
+def _(spark, sf):
+    """20 draws of 100 to 1000 rounds; the best one's settings fitted on all labelled rows."""
+    rows = _training_rows(spark, sf)
+    return _checked(models.tune_boosted(_fit_rows(rows), _TELLING).model, rows)
 
 
-@query("m14_tuned_boosted", "SELECT 20 AS trials, true AS loss_fits, true AS best_is_drawn")
+@query("m14_trials", sql(
+    f"""SELECT trial::INTEGER AS trial, n, positives, true AS in_range, true AS ended_in_time, true AS auc_agrees, true AS loss_agrees FROM
+    (SELECT unnest(range(20)) AS trial), (SELECT sum(n - floor(n * 0.8))::BIGINT AS n, sum(label * (n - floor(n * 0.8)))::BIGINT AS positives
+        FROM (SELECT {_DUE} AS label, count(*) AS n FROM drawn GROUP BY 1))""", "lms", drawn=_drawn_sql("loan_id", "lms")))
 def _(spark, sf):
-    ranges = {**models.SEARCH_RANGES, "n_estimators": _SHORT_ROUNDS}
-    rows = _fit_rows(_training_rows(spark, sf))
-    model, params, loss = models.tune_boosted(rows, _MODEL_FEATURES, trials=20, ranges=ranges)
-    drawn = [(d["n_estimators"], d["max_depth"]) for d in models.draw_settings(20, ranges=ranges)]
-    best = (params["maxIter"], params["maxDepth"])
-    scored = models.score_rows(model, rows, _MODEL_FEATURES, ["label"])
-    return scored.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit(len(drawn)).alias("trials"), (F.lit(float(loss)).between(0, 1) & (F.col("n") > 0)).alias("loss_fits"), F.lit(best in drawn).alias("best_is_drawn")
+    """The stored trials: each measured on a fifth of every class, its growth ended in time, and its AUC the share of pairs in order."""
+    found = models.tune_boosted(_fit_rows(_training_rows(spark, sf)), _MODEL_FEATURES)
+    ranges, best = models.SEARCH_RANGES, found.trials
+    # the area once more, as the share of (positive, negative) pairs in order, from the ranks of the stored predictions
+    rank = F.avg("r").over(Window.partitionBy("trial", "score"))
+    ranked = found.scored.withColumn("r", F.row_number().over(Window.partitionBy("trial").orderBy("score"))).withColumn("r", rank)
+    pos = F.sum("label")
+    pairs = (F.sum(F.col("label") * F.col("r")) - pos * (pos + 1) / 2) / (pos * (F.count(F.lit(1)) - pos))
+    again = ranked.groupBy("trial").agg(pairs.alias("pairs"))
+    rounds = F.col("n_estimators").between(*ranges["n_estimators"][:2]) & (F.col("n_estimators") % ranges["n_estimators"][2] == 0)
+    drawn = rounds & F.col("max_depth").between(*ranges["max_depth"]) & F.col("subsample").between(*ranges["subsample"]) & F.col("colsample").between(*ranges["colsample"])
+    stopped = F.col("fitted_rounds") == F.least(F.col("n_estimators"), F.col("rounds") + models.PATIENCE)
+    return best.join(again, "trial").select(
+        "trial", "n", "positives", drawn.alias("in_range"), stopped.alias("ended_in_time"), (F.abs(F.col("pairs") - F.col("roc_auc")) < 1e-9).alias("auc_agrees"),
+        (F.abs(F.col("loss") + F.col("pairs") - 1) < 1e-9).alias("loss_agrees"),
     )
 
 
+_GRADE = "CAST(floor((l_quantity - 1) / 8) AS INTEGER)"
+_GRADE_FEATURES = ["l_quantity", "l_extendedprice", "l_tax", "l_discount", "day"]
+
+
 def _grade_rows(spark: SparkSession, sf: str) -> DataFrame:
-    joined = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice", "l_tax", "l_discount", "l_shipdate")
-    grade = F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 1.0).otherwise(2.0)
-    return joined.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax", "l_discount", F.unix_date(F.col("l_shipdate").cast("date")).alias("day"), grade.alias("label"))
+    """Lines with one of seven grades, by quantity."""
+    lines = table(spark, sf, "lineitem")
+    return lines.select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax", "l_discount", F.unix_date(F.col("l_shipdate").cast("date")).alias("day"),
+        F.floor((F.col("l_quantity") - 1) / 8).cast("int").alias("label"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"),
+    )
+
+
+def _search_grades(rows: DataFrame) -> models.Search:
+    return models.tune_multiclass(_fit_rows(rows, "key"), _GRADE_FEATURES, 7, key="key", sample_share=0.4)
+
+
+@query("m15_multiclass_search", f"SELECT l_orderkey, l_linenumber, {_GRADE} AS grade FROM lineitem")
+def _(spark, sf):
+    rows = _grade_rows(spark, sf)
+    said = boosting.score_many([_search_grades(rows).model], rows, ["l_orderkey", "l_linenumber"])
+    return said.select("l_orderkey", "l_linenumber", (F.array_position("scores", F.array_max("scores")) - 1).cast("int").alias("grade"))
 
 
-@query("m15_multiclass_search", """SELECT l_orderkey, l_linenumber, true AS known_class FROM lineitem""")
+@query("m15_multiclass_report", f"""SELECT count(*) AS total_samples, CAST(1 AS DOUBLE) AS macro_f1, CAST(1 AS DOUBLE) AS auc, count(DISTINCT {_GRADE}) AS classes,
+    true AS shares_add_up FROM lineitem""")
 def _(spark, sf):
-    names = ["l_quantity", "l_extendedprice", "l_tax", "l_discount", "day"]
+    """The month's metric row over the stored probabilities: macro F1, and the mean one-vs-rest AUC of the seven grades."""
     rows = _grade_rows(spark, sf)
-    keyed = rows.withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
-    model, _params, _best = models.tune_multiclass(_fit_rows(keyed, "key"), names)
-    said = model.transform(models.assemble(rows, names, keep=["l_orderkey", "l_linenumber"]))
-    return said.select("l_orderkey", "l_linenumber", F.col("prediction").isin(0.0, 1.0, 2.0).alias("known_class"))
+    model = _search_grades(rows).model
+    said = staged(boosting.score_many([model], rows, ["key", "label"]).withColumn("prediction", (F.array_position("scores", F.array_max("scores")) - 1).cast("int")), "grades")
+    report = evaluation.monthly_report(said, score="scores")
+    off = F.abs(F.aggregate("scores", F.lit(0.0), lambda a, x: a + x) - 1) > 1e-9
+    return report.select(
+        F.col("total_samples").cast("long").alias("total_samples"), r6("macro_f1").alias("macro_f1"), r6("auc").alias("auc"),
+        F.size("f1_by_grade").cast("long").alias("classes"), (said.agg(F.count_if(off).alias("n")).scalar() == 0).alias("shares_add_up"),
+    )
+
+
+@query("m15_trials", f"""SELECT trial::INTEGER AS trial, n AS rows, CAST(1 AS DOUBLE) AS macro_f1 FROM (SELECT unnest(range(5)) AS trial),
+    (SELECT count(*) AS n FROM ({_drawn_sql("CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)", "lineitem")})
+    WHERE {_BUCKET.format("'42:' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)", feats.SAMPLE_PARTS)} < {feats.SAMPLE_PARTS * 4 // 10})""")
+def _(spark, sf):
+    """Every draw of the grid predicts each fold of the tuning sample from the two others."""
+    return _search_grades(_grade_rows(spark, sf)).trials.select("trial", "rows", r6("macro_f1").alias("macro_f1"))
 
 
-_MONTH_ROWS = """SELECT loan_id, customer_id, snapshot_date, 'credit_scoring_model' AS model_name, '1' AS model_version, 'run-1' AS mlflow_run_id,
-    '1998_03_01' AS month_partition, 'monthly_inference' AS execution_context, true AS default_fits FROM lms WHERE snapshot_date = DATE '1998-03-01'"""
+_MONTH_ROWS = f"""SELECT loan_id, customer_id, snapshot_date, 'credit_scoring_model' AS model_name, '1' AS model_version, 'run-1' AS mlflow_run_id,
+    '1998_03_01' AS month_partition, 'monthly_inference' AS execution_context, {_DUE} AS predicted_default FROM lms WHERE snapshot_date = DATE '1998-03-01'"""
 
 
 def _month(spark: SparkSession, sf: str, model, features) -> DataFrame:
     rows = _training_rows(spark, sf).where("snapshot_date = date '1998-03-01'")
     inference, _metrics = lifecycle.monthly_inference(model, rows, features, "1998_03_01", "1", "run-1")
-    fits = F.col("predicted_default") == (F.col("default_probability") > 0.5).cast("int")
-    return inference.withColumn("default_fits", fits).drop("inference_date", "predicted_default", "default_probability")
+    return inference.drop("inference_date", "default_probability")
 
 
 @query("m16_monthly_inference", sql(_MONTH_ROWS, "lms"))
 def _(spark, sf):
-    model = models.train_boosted(_fit_rows(_training_rows(spark, sf)), _MODEL_FEATURES)
-    return _month(spark, sf, model, _MODEL_FEATURES)
+    model = models.train_boosted(_fit_rows(_training_rows(spark, sf)), _TELLING)
+    return _month(spark, sf, model, _TELLING)
 
 
 @query("m16_inference_after_drift", sql(_MONTH_ROWS, "lms"))
 def _(spark, sf):
     """Trained with an indicator column that the scored month does not have."""
     rows = _fit_rows(_training_rows(spark, sf)).withColumn("loan_type_auto", (F.col("loan_amt") > 30_000).cast("int"))
-    features = [*_MODEL_FEATURES, "loan_type_auto"]
-    return _month(spark, sf, models.train_boosted(rows, features, n_estimators=20), features)
+    features = [*_TELLING, "loan_type_auto"]
+    return _month(spark, sf, models.train_boosted(rows, features), features)
 
 
-@query("m17_champion_version", """SELECT 'credit_scoring_model' AS name, CAST(max(o_orderkey) + 1 AS VARCHAR) AS version, true AS known_run FROM orders""")
+@query("m17_champion_version", """SELECT 'credit_scoring_model' AS name, v AS version, 'Production' AS stage, 'catboost-42' AS run_id, 'CatBoost' AS model_type,
+    '1998-03-01' AS last_retraining_date, v AS model_version, CAST(1 AS DOUBLE) AS macro_f1_score FROM (SELECT CAST(max(o_orderkey) + 1 AS VARCHAR) AS v FROM orders)""")
 def _(spark, sf):
-    _fitted, scores = lifecycle.train_candidates(_fit_rows(_training_rows(spark, sf)), _MODEL_FEATURES)
-    champion = runs.choose_champion(scores, "auc")
+    """Both families tell all defaults apart, so the first one is not strictly better; the champion's version beside its tracker row."""
+    _fitted, scores = lifecycle.train_candidates(_fit_rows(_training_rows(spark, sf)), _TELLING)
+    champion = staged(runs.choose_champion(scores, "auc"), "champion")
     versions = table(spark, sf, "orders").select(
         F.lit("credit_scoring_model").alias("name"), F.col("o_orderkey").cast("string").alias("version"), F.lit("Archived").alias("stage"),
         F.col("o_orderkey").cast("string").alias("run_id"),
     )
-    made = runs.next_version(versions, "credit_scoring_model", champion)
-    return made.select("name", F.col("version").cast("string").alias("version"), F.col("run_id").isin("lightgbm-42", "catboost-42").alias("known_run"))
+    made = staged(runs.next_version(versions, "credit_scoring_model", champion), "version")
+    tracker = runs.tracker_row(champion, made.select("version").scalar(), F.lit("1998-03-01").cast("date"), "auc", "credit_scoring_model")
+    return made.join(tracker, F.col("name") == F.col("model_name")).drop("model_name", "registration_date").withColumn("macro_f1_score", r6("macro_f1_score"))
 
 
-@query("t08_top_importances", "SELECT 6 AS features, CAST(1 AS DOUBLE) AS total, true AS ordered")
+_SEPARATES = " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, coalesce(max({f}) FILTER (dpd < {fv.LABEL_DPD}) < min({f}) FILTER (dpd >= {fv.LABEL_DPD}), false) AS is_first, count(DISTINCT {f}) = 1 AS is_unused FROM lms"
+    for f in _TELLING
+)
+
+
+@query("t08_top_importances", sql(_SEPARATES, "lms"))
 def _(spark, sf):
-    model = models.train_boosted(_fit_rows(_training_rows(spark, sf)), _MODEL_FEATURES)
-    top = models.feature_importances(spark, model, _MODEL_FEATURES, 20)
-    listed = top.agg(F.collect_list("importance").alias("w"))
-    return listed.select(
-        F.size("w").alias("features"), F.round(F.aggregate("w", F.lit(0.0), lambda s, x: s + x), 6).alias("total"),
-        (F.col("w") == F.sort_array("w", asc=False)).alias("ordered"),
-    )
+    """The feature that parts the classes ranks first, and one that never varies has no gain."""
+    model = models.train_boosted(_fit_rows(_training_rows(spark, sf)), _TELLING)
+    top = models.feature_importances(spark, model, _TELLING, 20)
+    most = top.agg(F.max("importance")).scalar()
+    return top.select("feature", (F.col("importance") == most).alias("is_first"), (F.col("importance") == 0).alias("is_unused"))
 
 
 @query("x04_batch_scoring", """SELECT l_orderkey, l_linenumber, l_partkey, round(1 / (1 + exp(-(0.05 * l_quantity - 20 * l_discount + 3 * l_tax))), 6) AS score FROM lineitem""")
