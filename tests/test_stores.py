@@ -68,10 +68,11 @@ def test_metric_sinks(spark, tmp_path):
         [("2024_01_01", "r", "m", 0.123456, 0.5, 0.5, 7)],
         "week_date string, mlflow_run_id string, model_name string, accuracy double, macro_f1 double, weighted_f1 double, total_samples long",
     ).withColumn("f1_by_grade", F.create_map(F.lit("A"), F.lit(0.5)))
-    metrics.append_performance(df, path)
-    metrics.append_performance(df, path)
+    metrics.store_performance(df, path)
+    metrics.store_performance(df.withColumn("mlflow_run_id", F.lit("other")), path)
+    metrics.store_performance(df, path)  # the same week, run and model once more
     stored = snapshots.read_table(spark, path)
-    row = stored.first()
+    row = stored.where("mlflow_run_id = 'r'").first()
     assert stored.count() == 2 and row.accuracy == decimal.Decimal("0.1235") and row.f1_by_grade == '{"A":0.5}'
     assert row.evaluation_date is not None and row.predictions_distribution is None
 
@@ -82,8 +83,12 @@ def test_inference_defaults(spark, tmp_path):
         "customer_id": F.lit("c"), "snapshot_date": F.lit("2024-01-01").cast("date"), "model_name": F.lit("m"),
         "model_version": F.lit(None).cast("string"), "mlflow_run_id": F.lit(None).cast("string"), "month_partition": F.lit("2024_01_01"),
     })
-    metrics.append_inference(df, path)
-    row = snapshots.read_table(spark, path).first()
+    metrics.store_inference(df, path)
+    metrics.store_inference(df.withColumn("mlflow_run_id", F.lit("b")), path)
+    metrics.store_inference(df, path)
+    assert rows(metrics.read_inference(spark, path), "loan_id", "mlflow_run_id") == [("l1", ""), ("l1", "b")]
+    assert metrics.read_inference(spark, path, "2024_01_01", "b").count() == 1 and metrics.read_inference(spark, path, "2025_01_01").count() == 0
+    row = metrics.read_inference(spark, path, run_id="").first()
     assert (row.predicted_default, row.default_probability, row.model_version, row.month_partition) == (0, 0, "", "2024_01_01")
 
 

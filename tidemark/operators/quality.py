@@ -238,6 +238,20 @@ def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def period_profile(df: DataFrame, declared: DataFrame, period: str = "snapshot_date") -> DataFrame:
+    """``column_profile`` over all periods of one table, whose declared columns (period, column_name, type) are known from its catalogue.
+
+    One aggregate counts the values of all columns in all periods.
+    """
+    names = [r[0] for r in declared.select("column_name").distinct().collect() if r[0] in df.columns]
+    counts = df.groupBy(F.col(period).cast("string").alias("period")).agg(*[F.count(c).alias(c) for c in names])
+    filled = counts.unpivot(["period"], names, "column_name", "non_null")
+    return declared.join(filled, ["period", "column_name"], "left").groupBy("column_name").agg(
+        F.count_if(F.col("non_null") > 0).alias("present_in"), F.count_distinct("period").alias("declared_in"),
+        F.array_join(F.array_sort(F.collect_set("type")), ",").alias("types"), F.coalesce(F.sum("non_null"), F.lit(0)).alias("filled"),
+    )
+
+
 def join_audit(steps: Mapping[str, DataFrame]) -> DataFrame:
     """Row count after each named join step, as one union."""
     return reduce(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -10,8 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions import calendar
+from tidemark.sources import committed
 
 SNAPSHOT = "snapshot_date"
+#: batch column of ingested months, which readers do not see
+BATCH = "ingest_batch"
 STATIC_TABLES = ("attributes", "financials", "loan_type")
 
 
@@ -31,26 +34,26 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_snapshots(df: DataFrame, path: str, by: str = SNAPSHOT, *then: str) -> None:
-    """Replace exactly the periods present in ``df`` (by further columns inside them, with ``then``).
+    """Replace exactly the periods present in ``df`` (by further columns inside them, with ``then``), all in one switch.
 
     The rebalance hint gathers each period into few files and lets adaptive
     execution split a period that is much larger than the others.
     """
-    (
-        df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by, *then).parquet(path)
-    )
+    committed.write_parts(df, path, [by, *then])
+
+
+def of_period(day: str, by: str = SNAPSHOT) -> Callable[[str], bool]:
+    return lambda part: committed.part_value(part, by) == day
 
 
 def drop_snapshot(spark: SparkSession, path: str, day: str, by: str = SNAPSHOT) -> None:
     """Remove one period."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={day}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    committed.drop_parts(spark, path, of_period(day, by))
 
 
 def write_snapshot(df: DataFrame, path: str, day: str, by: str = SNAPSHOT) -> None:
-    """Replace one period, also when ``df`` has no rows for it any more."""
-    df.where(F.col(by) == F.lit(day).cast("date")).drop(by).write.mode("overwrite").parquet(f"{path}/{by}={day}")
+    """Replace one period, also when ``df`` has no rows for it any more. The old rows stay readable until the new ones are whole."""
+    committed.write_parts(df.where(F.col(by) == F.lit(day).cast("date")), path, [by], drop=of_period(day, by))
 
 
 def write_once(df: DataFrame, path: str) -> None:
@@ -65,11 +68,15 @@ def write_once(df: DataFrame, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str, merge: bool = True) -> DataFrame | None:
-    """A Parquet table, or None when it does not exist.
+    """A stored table, or None when it does not exist.
 
-    The schemas of all files are united, as months may differ in their columns; a column that a month does not have is
-    NULL there. Spark reads the footers in a job of its own; ``merge=False`` saves it where the schema is fixed.
+    The schemas of all months are united, as they may differ in their columns; a column that a month does not have is
+    NULL there. A committed table's catalogue knows them. Of other Parquet folders Spark reads the footers, in a job of its own;
+    ``merge=False`` saves it where the schema is fixed.
     """
+    stored = committed.read_parts(spark, path)
+    if stored is not None:
+        return stored.drop(BATCH)
     try:
         return spark.read.option("mergeSchema", merge).parquet(path)
     except AnalysisException as error:
@@ -78,12 +85,28 @@ def read_table(spark: SparkSession, path: str, merge: bool = True) -> DataFrame
         raise
 
 
+def read_months(spark: SparkSession, path: str, months: Sequence[str], by: str = SNAPSHOT) -> DataFrame | None:
+    """Only the listed periods of a committed table: no other folder is listed, and no footer is read to plan it. An absent period is skipped."""
+    wanted = {m.replace("_", "-") for m in months}
+    stored = committed.read_parts(spark, path, lambda part: committed.part_value(part, by) in wanted)
+    return stored.drop(BATCH) if stored is not None else None
+
+
 def read_silver(spark: SparkSession, root: str, table: str, day: str, by: str = SNAPSHOT) -> DataFrame | None:
-    """Static tables ignore the date; the others are pruned to one period."""
+    """Static tables ignore the date; of the others one period is opened."""
+    if table in STATIC_TABLES:
+        return read_table(spark, f"{root}/{table}")
+    month = read_months(spark, f"{root}/{table}", [day], by)
+    if month is not None:
+        return month
     df = read_table(spark, f"{root}/{table}")
-    if df is None or table in STATIC_TABLES:
-        return df
-    return df.where(F.col(by) == F.lit(day).cast("date"))
+    return df.where(F.col(by) == F.lit(day).cast("date")) if df is not None else None
+
+
+def declared_columns(spark: SparkSession, path: str, by: str = SNAPSHOT) -> DataFrame:
+    """(period, column_name, type) of a committed table, from its catalogue; no file is opened."""
+    told = committed.part_columns(spark, path)
+    return told.select(F.regexp_extract("part", f"(?:^|/){by}=([^/]*)", 1).alias("period"), "column_name", "type").distinct()
 
 
 def _dates(days: Sequence[str]) -> list[Column]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import calendar
@@ -29,10 +30,14 @@ def _lms_csv(spark: SparkSession, sf: str) -> str:
     return path
 
 
-def _lms_table(spark: SparkSession, sf: str) -> DataFrame:
+def _lms_path(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "lms-table")
     snapshots.write_snapshots(views.raw_lms(spark, sf), path)
-    return snapshots.read_table(spark, path)
+    return path
+
+
+def _lms_table(spark: SparkSession, sf: str) -> DataFrame:
+    return snapshots.read_table(spark, _lms_path(spark, sf))
 
 
 # --- scans -------------------------------------------------------------------
@@ -93,7 +98,8 @@ def _(spark, sf):
 @query("s06_multi_month_scan", sql(_PER_MONTH.format(
     "WHERE snapshot_date IN (DATE '1996-05-01', DATE '1996-06-01', DATE '1996-07-01', DATE '2030-01-01')"), "raw_lms"))
 def _(spark, sf):
-    return _per_month(snapshots.in_months(_lms_table(spark, sf), ["1996_05_01", "1996_06_01", "1996_07_01", "2030_01_01"]))
+    path = _lms_path(spark, sf)
+    return _per_month(snapshots.read_months(spark, path, ["1996_05_01", "1996_06_01", "1996_07_01", "2030_01_01"]))
 
 
 @query("s07_overwrite_snapshots", sql(_PER_MONTH.format(""), "raw_lms"))
@@ -163,8 +169,8 @@ def _metric_rows(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "performance")
     rows = _metric_rows(spark, sf)
-    metrics.append_performance(rows.where("week_date < '1998_01_01'"), path)
-    metrics.append_performance(rows.where("week_date >= '1998_01_01'"), path)
+    for part in ("week_date < '1998_01_01'", "week_date >= '1998_01_01'", "week_date >= '1997_06_01'"):  # some weeks are stored twice
+        metrics.store_performance(rows.where(part), path)
     return snapshots.read_table(spark, path).select("week_date", "model_name", "accuracy", "macro_f1", "weighted_f1", "total_samples")
 
 
@@ -174,7 +180,9 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "metrics")
     rows = _metric_rows(spark, sf).withColumnRenamed("week_date", "month_date")
-    metrics.append_metrics(rows.withColumns({"precision": F.lit(0.5), "recall": F.lit(0.5), "auc": F.col("accuracy")}), path)
+    rows = rows.withColumns({"precision": F.lit(0.5), "recall": F.lit(0.5)})
+    for auc in (F.lit(0.1), F.col("accuracy")):  # a run that is evaluated again replaces itself
+        metrics.store_metrics(rows.withColumn("auc", auc), path)
     return snapshots.read_table(spark, path).select("month_date", "model_name", "macro_f1", "auc", "predictions_distribution")
 
 
@@ -191,10 +199,10 @@ def _(spark, sf):
         F.lit("run-1").alias("mlflow_run_id"), F.current_timestamp().alias("inference_date"),
         F.date_format("snapshot_date", "yyyy_MM_dd").alias("month_partition"), F.lit("monthly_inference").alias("execution_context"),
     )
-    metrics.append_inference(rows, path)
-    stored = spark.read.option("basePath", path).schema(
-        ", ".join(f"{c} {k}" for c, k in metrics.INFERENCE_COLUMNS.items())
-    ).parquet(path)
+    metrics.store_inference(rows.where("month_partition < '1997'"), path)
+    metrics.store_inference(rows.withColumn("default_probability", F.lit(0.5)), path)
+    metrics.store_inference(rows, path)  # every month is scored twice or more with the same run
+    stored = metrics.read_inference(spark, path, run_id="run-1")
     return stored.groupBy("month_partition").agg(
         F.count(F.lit(1)).alias("n"), F.sum("predicted_default").alias("defaults"),
         F.sum("default_probability").cast("decimal(38,4)").alias("probability"), F.count_distinct("model_version").alias("versions"),
@@ -237,7 +245,6 @@ def _(spark, sf):
     return snapshots.bundle_counts(spark, found)
 
 
-_PROFILE_MONTHS = ("1997-07-01", "1997-08-01", "1997-09-01")
 _PROFILE_TYPES = {
     "loan_id": "string", "customer_id": "string", "loan_start_date": "date", "tenure": "int", "installment_num": "int", "loan_amt": "double",
     "due_amt": "double", "paid_amt": "double", "overdue_amt": "double", "balance": "double",
@@ -246,12 +253,41 @@ _PROFILE_TYPES = {
 
 @query("s19_schema_profile", sql(
     "SELECT column_name, count(*) FILTER (WHERE n > 0) AS present_in, count(*) AS declared_in, types, CAST(sum(n) AS BIGINT) AS filled FROM (SELECT "
-    + f"unnest({list(_PROFILE_TYPES)}) AS column_name, unnest({list(_PROFILE_TYPES.values())}) AS types, unnest([{', '.join(f'count({c})' for c in _PROFILE_TYPES)}]) AS n"
-    + f" FROM raw_lms WHERE snapshot_date IN ({', '.join(f'DATE {m!r}' for m in _PROFILE_MONTHS)}) GROUP BY snapshot_date) GROUP BY ALL", "raw_lms"))
+    + f"unnest({[*_PROFILE_TYPES, 'late']}) AS column_name, unnest({[*_PROFILE_TYPES.values(), 'int']}) AS types, unnest([{', '.join(f'count({c})' for c in _PROFILE_TYPES)},"
+    + " CASE WHEN snapshot_date >= DATE '1997-01-01' THEN count(*) END]) AS n FROM raw_lms GROUP BY snapshot_date) WHERE n IS NOT NULL GROUP BY ALL", "raw_lms"))
 def _(spark, sf):
+    """All months, of which the later ones have one more column, by the catalogue."""
     path = scratch_path(spark, "profile")
-    snapshots.write_snapshots(views.raw_lms(spark, sf), path)
-    return quality.column_profile({m: spark.read.parquet(f"{path}/snapshot_date={m}") for m in _PROFILE_MONTHS})
+    rows = views.raw_lms(spark, sf)
+    snapshots.write_snapshots(rows.where("snapshot_date < date '1997-01-01'"), path)
+    snapshots.write_snapshots(rows.where("snapshot_date >= date '1997-01-01'").withColumn("late", F.lit(1)), path)
+    return quality.period_profile(snapshots.read_table(spark, path), snapshots.declared_columns(spark, path))
+
+
+@query("s05_catalogue", sql(
+    """SELECT strftime(snapshot_date, '%Y-%m-%d') AS period, CASE WHEN snapshot_date >= DATE '1997-01-01' THEN 11 ELSE 10 END AS n_columns FROM raw_lms GROUP BY 1, 2""", "raw_lms"))
+def _(spark, sf):
+    path = scratch_path(spark, "catalogue")
+    rows = views.raw_lms(spark, sf)
+    snapshots.write_snapshots(rows, path)
+    snapshots.write_snapshots(rows.where("snapshot_date >= date '1997-01-01'").withColumn("late", F.lit(1)), path)
+    return snapshots.declared_columns(spark, path).groupBy("period").agg(F.count(F.lit(1)).cast("int").alias("n_columns"))
+
+
+@query("s07_killed_write", sql(_PER_MONTH.format(""), "raw_lms"))
+def _(spark, sf):
+    """A write that fails in its middle leaves all months as they were."""
+    path = scratch_path(spark, "killed")
+    rows = views.raw_lms(spark, sf)
+    snapshots.write_snapshots(rows, path)
+    broken = F.when(F.col("installment_num") == 4, F.raise_error(F.lit("lost")).cast("int")).otherwise(0)
+    for write in (snapshots.write_snapshots, lambda df, at: snapshots.write_snapshot(df, at, "1997-07-01")):
+        try:
+            write(rows.withColumn("installment_num", broken), path)
+        except PySparkException:
+            continue
+        raise AssertionError("the broken write went through")
+    return _per_month(snapshots.read_table(spark, path))
 
 
 # --- file arrival ------------------------------------------------------------
@@ -261,7 +297,7 @@ def _(spark, sf):
     source = _lms_csv(spark, sf)
     for _ in range(2):  # the second run finds nothing new
         ingest_available(
-            spark, source, _LMS_DDL, f"{root}/bronze", f"{root}/silver", f"{root}/checkpoint", silver.lms, files_per_batch=1000
+            spark, source, _LMS_DDL, f"{root}/bronze", f"{root}/silver", f"{root}/checkpoint", silver.lms, files_per_batch=1000, row_local=True
         ).awaitTermination()
     return _per_month(snapshots.read_table(spark, f"{root}/silver"))
 
@@ -274,7 +310,7 @@ def _(spark, sf):
     for part in (raw.where(early), raw.where(~early)):  # late rows fall into months already stored
         snapshots.write_csv(part, source, mode="append")
         ingest_available(
-            spark, source, _LMS_DDL, f"{root}/bronze", f"{root}/silver", f"{root}/checkpoint", silver.lms
+            spark, source, _LMS_DDL, f"{root}/bronze", f"{root}/silver", f"{root}/checkpoint", silver.lms, row_local=True
         ).awaitTermination()
     return snapshots.read_table(spark, f"{root}/silver").groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("n"), F.sum("installment_num").alias("installments"), F.sum("dpd").alias("dpd")
