@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.operators import features as feats, quality, registry as runs, reports
-from tidemark.operators.skew import heavy_keys, left_join_chain, left_join_hot_right
+from pyspark.ml.functions import vector_to_array
+
+from tidemark.functions import text
+from tidemark.operators import drift, evaluation, indicators
+from tidemark.operators.skew import heavy_grid, heavy_keys, left_join_chain, left_join_grid
 from tidemark.plans import gold
 from tidemark.sources import snapshots
 
@@ -42,11 +46,105 @@ def test_salted_chain_equals_plain_left_joins(hot):
     assert rows(salted, "k", "n", "m", "o") == rows(plain, "k", "n", "m", "o")
 
 
-def test_hot_right_equals_plain_left_join(hot):
+@pytest.mark.parametrize("rows_per_task,pairs_per_task", [(5, 10**9), (1000, 50), (7, 60), (10**9, 10**9)])
+def test_grid_equals_plain_left_join(hot, rows_per_task, pairs_per_task):
     left, right = hot
-    heavy = heavy_keys(right, "k", share=0.05, rows_per_task=5)
-    salted = left_join_hot_right(left, right, "k", ["k", "m"], heavy)
-    assert None in heavy and rows(salted, "k", "n", "m") == rows(left.join(right, "k", "left"), "k", "n", "m")
+    grid = heavy_grid(left, right, "k", 0.05, rows_per_task, pairs_per_task)
+    assert ("hot" in grid) == (rows_per_task < 10**9) and ((None in grid) == (rows_per_task < 50))
+    got = left_join_grid(left, right, "k", ["n"], ["m"], grid)
+    assert got.columns == ["k", "n", "m"] and rows(got, "k", "n", "m") == rows(left.join(right, "k", "left"), "k", "n", "m")
+
+
+def test_grid_evens_out_a_key_hot_on_both_sides(spark):
+    """One key holds 30 % of both sides: no task reads or makes much more than the others."""
+    def side(n, name):
+        return spark.range(n).select(F.when(F.col("id") % 10 < 3, -1).otherwise(F.col("id") % 700).alias("k"), F.col("id").alias(name))
+
+    left, right = side(6_000, "n"), side(4_000, "m")
+    grid = heavy_grid(left, right, "k", rows_per_task=120, pairs_per_task=14_400)
+    assert set(grid) == {-1} and grid[-1] == (15, 10)
+    pairs = left_join_grid(left, right, "k", ["n"], ["m"], grid).select("k", F.xxhash64("n").alias("n"), F.xxhash64("m").alias("m"))
+    heavy = pairs.where("k = -1").groupBy(F.pmod("n", F.lit(15)).alias("i"), F.pmod("m", F.lit(10)).alias("j")).agg(F.count(F.lit(1)).alias("c")).toPandas()["c"]
+    assert len(heavy) == 150 and heavy.sum() == 1_800 * 1_200 and heavy.max() < 2 * heavy.median()
+
+
+# --- sparse indicators -------------------------------------------------------
+def test_sparse_equals_wide(spark):
+    data = [(1, "Auto Loan, and Home Loan, Auto Loan", "a"), (2, None, "b"), (3, "Home Loan", None), (3, "Home Loan", "a"), (4, "", "ü")]
+    df = spark.createDataFrame(data, "id int, listed string, mix string")
+    names = text.loan_type_names(F.col("listed"))
+    vectors, codes = indicators.sparse_indicators(df, {"loan": names, "mix": F.array("mix")}, counts=True)
+    places = {(r["column"], r["value"]): r["code"] for r in codes.collect()}
+    assert sorted(places.values()) == list(range(len(places))) and sorted(places) == [k for k, _ in sorted(places.items(), key=lambda x: x[1])]
+    wide = df.withColumn("c", text.loan_type_counts(F.col("listed"))).select(
+        "id", "mix", *[text.count_of(F.col("c"), v).alias(f"loan_{v}") for c, v in places if c == "loan"],
+    )
+    got = [(r["id"], r["mix"], *[int(r["v"][places["loan", c.removeprefix("loan_")]]) for c in wide.columns[2:]])
+           for r in vectors.select("id", "mix", vector_to_array("indicators").alias("v")).collect()]
+    assert sorted(got, key=repr) == rows(wide, *wide.columns)
+    one_hot = feats.one_hot(df.select("id", "mix"), {"mix": ["a", "b", "ü"]})
+    again, _ = indicators.sparse_indicators(df.select("id", "mix"), {"mix": F.array("mix")}, codes=codes)
+    got = [(r["id"], *[int(r["v"][places["mix", m]]) for m in "abü"]) for r in again.select("id", vector_to_array("indicators").alias("v")).collect()]
+    assert sorted(got, key=repr) == rows(one_hot, *one_hot.columns)
+    none, empty = indicators.sparse_indicators(df.limit(0), {"mix": F.array("mix")})
+    assert none.count() == 0 and empty.count() == 0
+
+
+def test_many_names_stay_off_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+
+    fetched = []
+    monkeypatch.setattr(Frame, "collect", lambda self, f=Frame.collect: (lambda r: fetched.append(len(r)) or r)(f(self)))
+    df = spark.range(200_000).select("id", F.array(F.col("id").cast("string"), F.lit("common")).alias("v"))
+    vectors, codes = indicators.sparse_indicators(df, {"v": F.col("v")})
+    assert codes.count() == 200_001 and vectors.count() == 200_000
+    assert max(fetched, default=0) < 100
+    first = vectors.where("id = 17").first()["indicators"]
+    assert first.size == 200_001 and list(first.values) == [1.0, 1.0]
+
+
+# --- stored summaries --------------------------------------------------------
+def test_months_are_summed_up_once(spark, tmp_path):
+    path = str(tmp_path / "s")
+    data = [(i, i % 3 == 0 and 1 or 0, (i * 7 % 100) / 100, date(2024, 1 + i % 4, 1)) for i in range(400)] + [(900, None, 0.5, date(2024, 4, 1)), (901, 1, None, date(2024, 4, 1))]
+    df = spark.createDataFrame(data, "key int, label int, score double, snapshot_date date")
+    for day in ("2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01", "2024-04-01"):
+        drift.store_summaries(df.where(F.col("snapshot_date") == F.lit(day).cast("date")), path)
+    now, before = ["2024-03-01", "2024-04-01"], ["2024-01-01", "2024-02-01"]
+    got = drift.monitor(spark, path, now, before).first()
+    late = df.where("snapshot_date >= date '2024-03-01'")
+    want = evaluation.loan_default_report(late).first()
+    for c in ("roc_auc", "ks_statistic", "gini_coefficient", "pr_auc"):
+        assert got[c] == pytest.approx(want[c])
+    assert got["n"] == 200 and got["positives"] == late.where("label = 1 and score is not null").count()
+    assert got["score_psi"] == pytest.approx(drift.psi(df.where("snapshot_date < date '2024-03-01'"), late, "score").first()["psi"])
+
+
+# --- stored layouts ----------------------------------------------------------
+def test_bucketed_sides_are_not_shuffled(spark, tmp_path):
+    names = []
+    for i in range(3):
+        names.append(f"b{i}_{tmp_path.name}".replace("-", "_"))
+        snapshots.write_bucketed(spark.range(1000).select((F.col("id") % (200 + i)).alias("k"), (F.col("id") * i).alias(f"v{i}")), names[-1], "k", 8)
+    anchor, *sides = [spark.table(n).hint("merge") for n in names]
+    plan = left_join_chain(anchor, sides, "k", ["v0"], {})
+    told = plan._jdf.queryExecution().executedPlan().toString()
+    assert told.count("SortMergeJoin") == 2 and "Exchange" not in told
+    plain = [spark.range(1000).select((F.col("id") % (200 + i)).alias("k"), (F.col("id") * i).alias(f"v{i}")) for i in range(3)]
+    assert rows(plan, "k", "v0", "v1", "v2") == rows(plain[0].join(plain[1], "k", "left").join(plain[2], "k", "left"), "k", "v0", "v1", "v2")
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(100).select("id", F.when(F.col("id") < 30, F.lit("2024-01-01")).otherwise("2024-02-01").cast("date").alias("snapshot_date"))
+    snapshots.write_snapshots(df, path)
+    snapshots.write_snapshots(df.where("id = 5"), path)
+    counts = snapshots.period_counts(spark, path)
+    assert rows(counts, "snapshot_date", "record_count") == [(date(2024, 1, 1), 1), (date(2024, 2, 1), 70)]
+    told = counts._jdf.queryExecution().toString()
+    assert "PushedAggregation: [COUNT(*)]" in told and "PushedGroupBy: [snapshot_date" in told
+    assert snapshots.period_counts(spark, str(tmp_path / "none")).count() == 0
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
 
 
 # --- features ----------------------------------------------------------------

@@ -16,6 +16,9 @@ from tidemark.operators.ordered import running_totals
 from tidemark.session import staged
 
 
+CELLS = ("true_negatives", "false_positives", "false_negatives", "true_positives")
+
+
 def ratio(top: Column, bottom: Column) -> Column:
     """``top / bottom``, 0 when the bottom is 0."""
     return F.coalesce(F.try_divide(top.cast("double"), bottom.cast("double")), F.lit(0.0))
@@ -25,24 +28,29 @@ def predict(score: Column, threshold: float = 0.5) -> Column:
     return (score >= threshold).cast("int")
 
 
-def score_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Distinct scores, best first, with positives and negatives before and through each.
+def score_counts(scored: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+    """(by, score, pos, neg): how many positives and negatives have each score. Such counts of several months add up.
 
     Labels are 0 or 1; any other value is an error. Rows without a label or score are left out.
     """
     zero_one = F.when(F.col(label).isNull() | F.col(label).isin(0, 1), F.col(label).cast("long")).otherwise(
         F.raise_error(F.concat(F.lit("not a binary label: "), F.col(label).cast("string"))).cast("long")
     )
-    counts = (
-        scored.select(F.col(score).cast("double").alias("score"), zero_one.alias("label"))
-        .where(F.col("score").isNotNull() & F.col("label").isNotNull())
-        .groupBy("score")
-        .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
-    )
+    known = scored.select(*by, F.col(score).cast("double").alias("score"), zero_one.alias("label")).where(F.col("score").isNotNull() & F.col("label").isNotNull())
+    return known.groupBy(*by, "score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
+
+
+def curve_of_counts(counts: DataFrame) -> DataFrame:
+    """Distinct scores, best first, with positives and negatives before and through each."""
     curve = running_totals(counts, [F.col("score").desc()], ["pos", "neg"])
     return curve.withColumn("totals", curve.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))).scalar())
 
 
+def score_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """``curve_of_counts`` of rows."""
+    return curve_of_counts(score_counts(scored, label, score))
+
+
 def _rates(curve: DataFrame) -> DataFrame:
     total = F.col("totals")
     positives, negatives = total["pos"].cast("double"), total["neg"].cast("double")
@@ -75,15 +83,31 @@ def ranking_metrics(scored: DataFrame, label: str = "label", score: str = "score
     return _ranking(_rates(score_curve(scored, label, score)))
 
 
-def _ranking(rates: DataFrame) -> DataFrame:
+def _ranking_columns() -> list[Column]:
     auc = F.sum((F.col("fpr") - F.col("fpr_before")) * (F.col("tpr") + F.col("tpr_before")) / 2)
     area = F.sum((F.col("tpr") - F.col("tpr_before")) * (F.col("precision") + F.col("precision_before")) / 2)
-    return rates.agg(
-        auc.alias("roc_auc"),
-        (2 * auc - 1).alias("gini_coefficient"),
-        F.greatest(F.max(F.col("tpr") - F.col("fpr")), F.lit(0.0) * auc).alias("ks_statistic"),
-        area.alias("pr_auc"),
-    )
+    return [
+        auc.alias("roc_auc"), (2 * auc - 1).alias("gini_coefficient"),
+        F.greatest(F.max(F.col("tpr") - F.col("fpr")), F.lit(0.0) * auc).alias("ks_statistic"), area.alias("pr_auc"),
+    ]
+
+
+def _ranking(rates: DataFrame) -> DataFrame:
+    return rates.agg(*_ranking_columns())
+
+
+def ranking_of_counts(counts: DataFrame, top: float = 10) -> DataFrame:
+    """roc_auc, gini_coefficient, ks_statistic, pr_auc, n, positives and the lift of the top ``top`` % from (score, pos, neg) counts.
+
+    Rows cannot be told apart in counts, so at the cut of the top a share of the tied score's positives counts.
+    """
+    rates = _rates(curve_of_counts(counts.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))))
+    total_n, total_pos = F.col("totals.pos") + F.col("totals.neg"), F.col("totals.pos")
+    n_top = F.floor(total_n * F.lit(top) / 100)
+    taken = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (n_top - F.col("pos_before") - F.col("neg_before")) / (F.col("pos") + F.col("neg"))))
+    found = rates.agg(*_ranking_columns(), F.max(total_n).alias("n"), F.max(total_pos).alias("positives"), F.max(n_top).alias("_top"), F.sum(taken * F.col("pos")).alias("_pos"))
+    lifted = F.try_divide(F.try_divide(F.col("_pos"), F.col("_top")), F.try_divide(F.col("positives"), F.col("n")))
+    return found.withColumn(f"lift_at_{top:g}_percentile", lifted).drop("_top", "_pos")
 
 
 def ranking_by_group(scored: DataFrame, group: str, key: str = "key", label: str = "label", score: str = "score", top: float = 10) -> DataFrame:
@@ -358,21 +382,21 @@ def loan_default_report(
     table, so the rows are read once for it and once for ties at the lift cuts. Rows without
     a label or score take no part; ``unscored_loans`` counts them.
     """
-    curve = score_curve(scored, label, score)
-    ranking = _ranking(_rates(curve))
-    if prediction is None:
-        said = F.col("score") >= threshold
-        cells = curve.agg(
-            *[
-                F.coalesce(F.sum(F.when(cond, F.col(side))), F.lit(0)).alias(name)
-                for name, cond, side in (
-                    ("true_negatives", ~said, "neg"), ("false_positives", said, "neg"),
-                    ("false_negatives", ~said, "pos"), ("true_positives", said, "pos"),
-                )
-            ]
-        )
-    else:
-        cells = confusion(scored, label, prediction)
+    curve = staged(score_curve(scored, label, score), "curve")
+    said = F.col("score") >= threshold
+    cells = _rates(curve).agg(
+        *_ranking_columns(),
+        *[
+            F.coalesce(F.sum(F.when(cond, F.col(side))), F.lit(0)).alias(name)
+            for name, cond, side in (
+                ("true_negatives", ~said, "neg"), ("false_positives", said, "neg"),
+                ("false_negatives", ~said, "pos"), ("true_positives", said, "pos"),
+            )
+        ],
+    )
+    if prediction is not None:
+        own = confusion(scored, label, prediction).withColumnsRenamed({c: f"_{c}" for c in CELLS})
+        cells = cells.drop(*CELLS).withColumn("_c", own.select(F.struct("*").alias("s")).scalar()).select("*", *[F.col(f"_c._{c}").alias(c) for c in CELLS]).drop("_c")
     tn, fp, fn, tp = (
         F.col(c) for c in ("true_negatives", "false_positives", "false_negatives", "true_positives")
     )
@@ -385,11 +409,11 @@ def loan_default_report(
         return frame.select(F.struct("*").alias("s")).scalar()
 
     unscored = scored.agg(F.count_if(F.col(label).isNull() | F.col(score).isNull()).alias("n"))
-    row = cells.withColumns({"_r": one(ranking), "_l": one(lift_row), "_u": one(unscored)})
+    row = cells.withColumns({"_l": one(lift_row), "_u": one(unscored)})
     rates = binary_rates(row, "*")
     total = tn + fp + fn + tp
     return rates.select(
-        "precision", "recall", "f1_score", "_r.roc_auc", "_r.pr_auc", "_r.ks_statistic", "_r.gini_coefficient",
+        "precision", "recall", "f1_score", "roc_auc", "pr_auc", "ks_statistic", "gini_coefficient",
         "_l.lift_at_10_percentile", "_l.lift_at_20_percentile",
         "true_negatives", "false_positives", "false_negatives", "true_positives",
         total.alias("total_loans"), ((tp + fn) / total).alias("default_rate"), ((tp + fp) / total).alias("approval_rate"),

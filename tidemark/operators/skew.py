@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,6 +13,8 @@ COPIES = "_copies"
 
 #: rows of one key that a task should have to handle
 ROWS_PER_TASK = 1_000_000
+#: pairs that a task should make of one key that is hot on both sides
+PAIRS_PER_TASK = 100_000_000
 
 
 def heavy_keys(df: DataFrame, key: str, share: float = 0.001, rows_per_task: int = ROWS_PER_TASK) -> dict:
@@ -73,23 +76,50 @@ def left_join_chain(
     return out.drop(SALT)
 
 
-def left_join_hot_right(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    spread_on: Sequence[str],
-    heavy: Mapping | None = None,
+def heavy_grid(
+    left: DataFrame, right: DataFrame, key: str, share: float = 0.001, rows_per_task: int = ROWS_PER_TASK, pairs_per_task: int = PAIRS_PER_TASK
+) -> dict:
+    """Key values with too many rows or pairs for one task, and the (rows, columns) of the grid that each is split over.
+
+    Left rows are dealt over the rows of the grid and right rows over its columns, so a cell holds about ``rows_per_task`` rows of a side and makes about
+    ``pairs_per_task`` pairs. Only keys above ``share`` of a side count. One job over the two key columns, when it is called.
+    """
+    def counts(df: DataFrame, side: str) -> DataFrame:
+        return df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias(side))
+
+    both = counts(left, "l").join(counts(right, "r").where("k is not null").withColumnRenamed("k", "k2"), F.col("k") == F.col("k2"), "left").select(
+        "k", "l", F.coalesce("r", F.lit(0)).alias("r")
+    )
+    bars = {side: counts(df, side).agg(F.sum(side) * F.lit(share)).scalar() for side, df in (("l", left), ("r", right))}
+    large = (F.col("l") > rows_per_task) | (F.col("r") > rows_per_task) | (F.col("l").cast("double") * F.col("r") > pairs_per_task)
+    known = both.where(large & ((F.col("l") > bars["l"]) | (F.col("r") > bars["r"])))
+    grid = {}
+    for k, l, r in known.select("k", "l", "r").collect():
+        rows, columns = -(-l // rows_per_task), max(1, -(-r // rows_per_task))
+        more = math.sqrt(max(1.0, l * r / (rows * columns * pairs_per_task)))
+        grid[k] = (min(l, math.ceil(rows * more)), max(1, min(r, math.ceil(columns * more))))
+    return grid
+
+
+def left_join_grid(
+    left: DataFrame, right: DataFrame, key: str, left_spread_on: Sequence[str], right_spread_on: Sequence[str], grid: Mapping | None = None,
 ) -> DataFrame:
-    """Left join whose right side has many rows per key, some keys very many.
+    """Left join of two sides of which either, or both, may hold very many rows of one key.
 
-    Heavy right keys are split over salts and the matching left rows repeated. A
-    heavy key is present on the right, so its left rows always match somewhere and
-    the unmatched copies can be removed.
+    A heavy key's rows are dealt over a grid: a left row goes to all cells of its grid row, a right row to all cells of its grid column, so each pair meets
+    in one cell. ``left_spread_on`` and ``right_spread_on`` are columns that differ between the rows of a key. Without heavy keys this is
+    the ordinary join.
     """
-    heavy = heavy_keys(right, key) if heavy is None else heavy
-    if not [v for v in heavy if v is not None]:
+    grid = heavy_grid(left, right, key) if grid is None else grid
+    if not grid:
         return left.join(right, key, "left")
-    lefts = replicate(left.withColumn(COPIES, _is_heavy(key, heavy)), key, heavy)
-    rights = spread(right.where(F.col(key).isNotNull()), key, heavy, spread_on).withColumn("_hit", F.lit(True))
-    joined = lefts.join(rights, [key, SALT], "left")
-    return joined.where(~F.col(COPIES) | F.col("_hit").isNotNull()).drop(COPIES, SALT, "_hit")
+    rows, columns = ({k: size[i] for k, size in grid.items()} for i in (0, 1))
+    # cells along one side, by salt of the row's own values along the other
+    # more than one column means that the key is on the right, so every left row of it meets something in one of them
+    copied = {k: n for k, n in columns.items() if n > 1}
+    lefts = spread(left, key, rows, left_spread_on).withColumnRenamed(SALT, "_row").withColumn(COPIES, _is_heavy(key, copied))
+    lefts = replicate(lefts, key, columns).withColumnRenamed(SALT, "_column")
+    rights = spread(right.where(F.col(key).isNotNull()), key, columns, right_spread_on).withColumnRenamed(SALT, "_column").withColumn("_hit", F.lit(True))
+    rights = replicate(rights, key, rows).withColumnRenamed(SALT, "_row")
+    joined = lefts.join(rights, [key, "_row", "_column"], "left")
+    return joined.where(~F.col(COPIES) | F.col("_hit").isNotNull()).drop("_row", "_column", COPIES, "_hit")

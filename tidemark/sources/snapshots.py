@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions import calendar
 from tidemark.sources import committed
@@ -15,6 +15,7 @@ from tidemark.sources import committed
 SNAPSHOT = "snapshot_date"
 #: batch column of ingested months, which readers do not see
 BATCH = "ingest_batch"
+FOOTER_COUNTS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
 STATIC_TABLES = ("attributes", "financials", "loan_type")
 
 
@@ -176,6 +177,24 @@ def bundle(
     return {name: narrow(df) for name, df in tables.items()}
 
 
+def period_counts(spark: SparkSession, path: str, by: str = SNAPSHOT) -> DataFrame:
+    """(period, record_count) of a committed table from the footers of its files; no column is read.
+
+    Spark hands counts to Parquet footers in its second reader only, which a session of its own turns on.
+    """
+    manifest = committed.read_manifest(spark, path) or committed.Manifest()
+    folders = [f"{path}/data/{committed.VERSION}={p.version}/{name}" for name, p in sorted(manifest.parts.items())]
+    if not folders:
+        return spark.createDataFrame([], f"{by} date, record_count long")
+    own = spark.newSession()
+    for name, value in FOOTER_COUNTS.items():
+        own.conf.set(name, value)
+    schema = StructType([*manifest.schema().fields, *manifest.by.fields, StructField(committed.VERSION, StringType())])
+    files = own.read.schema(schema).option("basePath", f"{path}/data").parquet(*folders)
+    counts = files.groupBy(by, committed.VERSION).agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(by).agg(F.sum("n").alias("record_count"))
+
+
 def bundle_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
     """Rows per table as one union; a missing table counts 0."""
     counts = [
@@ -184,3 +203,8 @@ def bundle_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int = 64) -> None:
+    """A catalogue table whose files are bucketed and sorted by ``key``: tables of equal buckets join on it without a shuffle."""
+    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(name)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions import calendar, loans, text
-from tidemark.operators import columns as cols
+from tidemark.operators import columns as cols, indicators
 from tidemark.operators import registry as runs
 from tidemark.operators.ordered import exact_quantiles
 from tidemark.operators.quality import shared_name_counts
@@ -305,6 +305,27 @@ def _(spark, sf):
     return silver.loan_types(views.raw_financials(spark, sf)).drop("snapshot_date", "type_of_loan")
 
 
+@query("f16_sparse_loan_types", sql(
+    """SELECT customer_id, name AS value, CAST(dense_rank() OVER (ORDER BY name) - 1 AS INTEGER) AS code, CAST(n AS DOUBLE) AS times
+    FROM (SELECT customer_id, name, count(*) AS n FROM names WHERE name <> '' GROUP BY ALL)""", "raw_fin", names=_NAMES))
+def _(spark, sf):
+    """The counts of the wide form in one sparse vector per customer, whatever the number of names; read back through the dictionary."""
+    raw = views.raw_financials(spark, sf).select("customer_id", "type_of_loan")
+    vectors, codes = indicators.sparse_indicators(raw, {"loan": text.loan_type_names(F.col("type_of_loan"))}, counts=True)
+    return indicators.places_of(vectors, codes, ["customer_id"], keep_code=True).drop("column")
+
+
+@query("x03_sparse_many", """SELECT o_orderkey, "column", value, CAST(dense_rank() OVER (ORDER BY "column", value) - 1 AS INTEGER) AS code FROM (
+    SELECT o_orderkey, 'clerk' AS "column", o_orderpriority AS value FROM orders UNION ALL SELECT o_orderkey, 'customer', CAST(o_custkey AS VARCHAR) FROM orders
+    UNION ALL SELECT o_orderkey, 'order', CAST(o_orderkey AS VARCHAR) FROM orders)""")
+def _(spark, sf):
+    """As many names as there are orders, with no name on the driver."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
+    values = {"clerk": F.array("o_orderpriority"), "customer": F.array(F.col("o_custkey").cast("string")), "order": F.array(F.col("o_orderkey").cast("string"))}
+    vectors, codes = indicators.sparse_indicators(orders, values)
+    return indicators.places_of(vectors, codes, ["o_orderkey"], keep_code=True).drop("times")
+
+
 _FLAGS = {"auto_loan": "Auto Loan", "credit_builder_loan": "Credit-Builder Loan", "home_equity_loan": "Home Equity Loan",
           "not_specified": "Not Specified", "personal_loan": "Personal Loan"}
 

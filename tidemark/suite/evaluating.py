@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import drift, evaluation as ev
 from tidemark.operators.ordered import row_numbers
+from tidemark.session import scratch_path
+from tidemark.sources import committed
 from tidemark.suite import views
 from tidemark.suite.registry import query, r6
 from tidemark.suite.views import sql
@@ -289,3 +291,20 @@ def _(spark, sf):
     early, late = _halves(spark, sf)
     row = drift.out_of_time_report(late, early)
     return row.select(*[r6(c).alias(c) for c in row.columns])
+
+
+@query("q02_stored_summaries", sql(
+    f"""SELECT (SELECT round({_AUC}, 6) FROM curve) AS roc_auc, (SELECT round({_KS}, 6) FROM curve) AS ks_statistic, (SELECT round(2 * {_AUC} - 1, 6) FROM curve) AS gini_coefficient,
+    (SELECT count(*) FROM scored WHERE snapshot_date >= DATE '1998-01-01') AS n,
+    (SELECT round(sum((actual - expected) * ln(actual / expected)), 6) FROM shares) AS score_psi""",
+    "scored", **_drift("score"),
+    **{"curve": _CURVE.format(s="score").replace("FROM scored", "FROM (SELECT * FROM scored WHERE snapshot_date >= DATE '1998-01-01')")}))
+def _(spark, sf):
+    """Months are summed up once, as they come; later months are then held against earlier ones from the summaries alone."""
+    path = scratch_path(spark, "summaries")
+    early, late = _halves(spark, sf)
+    for part in (early, late, late.where("snapshot_date >= date '1998-06-01'")):  # some months come once more
+        drift.store_summaries(part, path)
+    months = [committed.part_value(n, "snapshot_date") for n in committed.read_manifest(spark, path).parts]
+    found = drift.monitor(spark, path, [m for m in months if m >= "1998-01-01"], [m for m in months if m < "1998-01-01"])
+    return found.select("n", *[r6(c).alias(c) for c in ("roc_auc", "ks_statistic", "gini_coefficient", "score_psi")])

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import quality, registry as runs, reports
 from tidemark.operators.columns import at_mob
-from tidemark.operators.skew import left_join_chain, left_join_hot_right
+from tidemark.operators.skew import heavy_grid, left_join_chain, left_join_grid
 from tidemark.plans import gold, silver
+from tidemark.session import scratch_path
 from tidemark.sources import snapshots
 from tidemark.suite import views
 from tidemark.suite.registry import query, r6
@@ -44,12 +47,48 @@ def _(spark, sf):
 def _(spark, sf):
     anchor = at_mob(views.lms(spark, sf), 6).select("loan_id", "customer_id")
     clicks = silver.clickstream_retrofit(views.raw_clicks(spark, sf)).drop("snapshot_date")
-    wide = left_join_hot_right(anchor, clicks, "customer_id", clicks.columns)
+    wide = left_join_grid(anchor, clicks, "customer_id", ["loan_id"], clicks.columns)
     return wide.groupBy("loan_id").agg(
         F.count(F.lit(1)).alias("n"), F.count("fe_1").alias("clicks"), F.sum("fe_1").alias("fe_1")
     )
 
 
+@query("j03_hot_both_sides", """SELECT a.l_returnflag, a.l_linestatus, count(*) AS pairs, CAST(sum(a.l_linenumber * b.n) AS BIGINT) AS total FROM lineitem a
+    JOIN (SELECT l_returnflag, o_orderpriority, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2) b ON a.l_returnflag = b.l_returnflag GROUP BY 1, 2""")
+def _(spark, sf):
+    """Three keys, each with a large share of the left side and several rows on the right, split over a grid."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    counts = lines.join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority"), "l_orderkey")
+    counts = counts.groupBy("l_returnflag", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    grid = heavy_grid(lines, counts, "l_returnflag", share=0.1, rows_per_task=2_000, pairs_per_task=8_000)
+    pairs = left_join_grid(lines, counts, "l_returnflag", ["l_orderkey", "l_linenumber"], ["o_orderpriority"], grid)
+    return pairs.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("pairs"), F.sum(F.col("l_linenumber") * F.col("n")).alias("total")
+    )
+
+
+@query("j01_bucketed_chain", sql(
+    """SELECT l.loan_id, l.snapshot_date, l.dpd, a.occupation, f.credit_mix, length(f.type_of_loan) AS listed
+    FROM lms l LEFT JOIN raw_attr a USING (customer_id) LEFT JOIN raw_fin f USING (customer_id) WHERE l.mob = 6""", "lms", "raw_attr", "raw_fin"))
+def _(spark, sf):
+    """The chain over tables that are stored by buckets of the customer: no side is shuffled."""
+    return bucketed_chain(spark, sf).drop("customer_id")
+
+
+def bucketed_chain(spark: SparkSession, sf: str) -> DataFrame:
+    tables = {
+        "lms": at_mob(views.lms(spark, sf), 6).select("loan_id", "customer_id", "snapshot_date", "dpd"),
+        "attributes": views.raw_attributes(spark, sf).select("customer_id", "occupation"),
+        "financials": views.raw_financials(spark, sf).select("customer_id", "credit_mix", F.length("type_of_loan").cast("long").alias("listed")),
+    }
+    stored = []
+    for name, df in tables.items():
+        place = f"bucketed_{name}_{uuid.uuid4().hex}"
+        snapshots.write_bucketed(df, place, "customer_id", 16)
+        stored.append(spark.table(place).hint("merge"))
+    return left_join_chain(stored[0], stored[1:], "customer_id", ["loan_id", "snapshot_date"])
+
+
 @query("j04_features_labels", sql(
     """SELECT f.loan_id, f.dpd, s.label, s.snapshot_date FROM lms f JOIN label_store s ON f.loan_id = s.loan_id WHERE f.mob = 6""", "label_store"))
 def _(spark, sf):
@@ -153,6 +192,14 @@ def _(spark, sf):
     return snapshots.bundle_counts(spark, {"orders": table(spark, sf, "orders"), "lineitem": table(spark, sf, "lineitem"), "absent": None})
 
 
+@query("a03_counts_from_footers", sql("SELECT snapshot_date, count(*) AS record_count FROM raw_lms GROUP BY snapshot_date", "raw_lms"))
+def _(spark, sf):
+    """Row counts of a stored table's months, from the footers of its files."""
+    path = scratch_path(spark, "counted")
+    snapshots.write_snapshots(views.raw_lms(spark, sf), path)
+    return snapshots.period_counts(spark, path)
+
+
 @query("a04_distinct_keys", """SELECT count(DISTINCT l_orderkey) AS orders, count(DISTINCT (l_orderkey, l_linenumber)) AS loans FROM lineitem""")
 def _(spark, sf):
     # one shuffle on the wider key; orders are distinct inside it
