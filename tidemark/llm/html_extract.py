@@ -1,19 +1,20 @@
 """Main text of HTML pages by tag-path ratios.
 
 Text nodes are grouped by their path of tags from the root. Each path gets the length of its text and the
-punctuation per node; both are smoothed over the nodes in page order, fused, and held against a
-threshold, so that paths which carry prose are told from menus, notices and lists of links.
-What the markup itself names (navigation, forms, comments and so on) counts as no content.
+punctuation per node, fused to one score; scores are smoothed over the paths, so that the short paths beside prose
+(headings, lists, emphasis) share in it, the more the larger the part of the way from the root that they have in common. Paths
+whose score reaches a share of the page's highest are content. What the markup names (article and main; navigation,
+forms, comments and so on) weighs a path up or down and decides nothing by itself.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -47,7 +48,12 @@ NO_CONTENT_WORDS = set(
 )
 CONTENT = {"article", "main"}
 CONTENT_WORDS = ("articlebody", "main")
-HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: weights of paths that the markup names as the content or as no content; width of the smoothing; least share of the highest score, and least score
+CONTENT_WEIGHT = 16.0
+NO_CONTENT_WEIGHT = 1 / 256
+WIDTH = 0.2
+LEAST_SHARE = 0.12
+LEAST_SCORE = 8.0
 
 
 def _named(attributes: str) -> tuple[bool, bool, str]:
@@ -70,10 +76,10 @@ def _named(attributes: str) -> tuple[bool, bool, str]:
 
 
 class _Page:
-    """The text nodes of a page: path, block, whether excluded, whether in the named content, whether in a link."""
+    """The text nodes of a page: path, block, text, weight, whether in a link."""
 
     def __init__(self, markup: str) -> None:
-        self.nodes: list[tuple[tuple[str, ...], int, str, bool, bool]] = []
+        self.nodes: list[tuple[tuple[str, ...], int, str, float, bool]] = []
         self.block = 0
         self.stack: list[tuple[str, str, bool, bool]] = []  # tag, label, out, main
         self.read(markup)
@@ -135,57 +141,65 @@ class _Page:
                 return  # a stray end tag of a line ends nothing around it
 
     def text(self, raw: str) -> None:
-        if not self.stack or not self.stack[-1][2]:
-            text = html.unescape(raw)
-            main = bool(self.stack) and self.stack[-1][3]
-            self.nodes.append((tuple(s[1] for s in self.stack), self.block, text, main, any(s[0] == "a" for s in self.stack)))
+        _, _, out, main = self.stack[-1] if self.stack else ("", "", False, False)
+        weight = (NO_CONTENT_WEIGHT if out else 1.0) * (CONTENT_WEIGHT if main else 1.0)
+        self.nodes.append((tuple(s[1] for s in self.stack), self.block, html.unescape(raw), weight, any(s[0] == "a" for s in self.stack)))
 
 
-def path_scores(nodes: list[tuple[tuple[str, ...], int, str, bool, bool]]) -> np.ndarray:
-    """Fused ratio of each node: text per node times punctuation per node of its path, smoothed in page order.
+Path = tuple[tuple[str, ...], float]
 
-    Text of links does not count, so the ratio of a path of bare links is 0 whatever lies beside it.
-    """
-    length, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
-    for path, _, text, _, link in nodes:
-        count[path] += 1
-        length[path] += 0 if link else len(" ".join(text.split()))
-        marks[path] += 0 if link else len(_PUNCTUATION.findall(text))
-    kernel = np.array([0.05, 0.25, 0.4, 0.25, 0.05])
 
-    def ratios(of: dict) -> np.ndarray:
-        return np.array([of[n[0]] / count[n[0]] for n in nodes], float)
+def path_ratios(nodes: list[tuple[tuple[str, ...], int, str, float, bool]]) -> dict[Path, float]:
+    """Fused ratio of each path: its text per node times its punctuation per node. Text of links does not count."""
+    length, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
+    for path, _, text, weight, link in nodes:
+        if text.strip():
+            at = (path, weight)
+            count[at] += 1
+            length[at] += 0 if link else len(" ".join(text.split()))
+            marks[at] += 0 if link else len(_PUNCTUATION.findall(text))
+    return {at: length[at] / n * (1 + marks[at] / n) for at, n in count.items()}
 
-    def smooth(each: np.ndarray) -> np.ndarray:
-        return np.convolve(each, kernel, "same") if len(each) >= len(kernel) else each
 
-    lengths = ratios(length)
-    return np.where(lengths > 0, smooth(lengths) * (1 + smooth(ratios(marks))), 0)
+def likeness(common: int, one: int, other: int) -> float:
+    """How much a path of ``one`` tags shares in the score of one of ``other`` tags with which it has the first ``common`` in common."""
+    apart = 1 - 2 * common / (one + other) if one + other else 0.0
+    return math.exp(-((apart / WIDTH) ** 2) / 2)
 
 
-def _chosen(nodes: list) -> list[bool]:
-    """Which nodes are content.
+def path_scores(nodes: list[tuple[tuple[str, ...], int, str, float, bool]]) -> dict[Path, float]:
+    """Weighed score of each path: the highest ratio of any path, by how alike the two are.
 
-    Where the markup names the content, nothing outside it is, and inside it any path with text of its own passes the
-    threshold; elsewhere a path has to stand out by one standard deviation. Links inside a chosen block and headings beside
-    chosen paths belong to them.
+    Paths meet at what they have in common: every prefix keeps the highest ratio for each length of path below it. Links share in nothing: a block of
+    bare links is no content, whatever lies beside it.
     """
-    named = any(n[3] and n[2].strip() for n in nodes)
-    live = [i for i, n in enumerate(nodes) if n[2].strip() and (n[3] or not named)]
-    chosen = [False] * len(nodes)
-    if not live:
-        return chosen
-    scores = path_scores([nodes[i] for i in live])
-    threshold = 0.0 if named else max(scores.std(), 1.0)
-    paths = {nodes[i][0] for i, score in zip(live, scores) if score > threshold}
-    blocks = {nodes[i][1] for i in live if nodes[i][0] in paths}
-    parents = {p[:-1] for p in paths}
-    for i in range(len(nodes)):
-        path, block = nodes[i][:2]
-        heads = [k for k, tag in enumerate(path) if tag.split(".")[0] in HEADINGS]
-        beside = bool(heads) and (path[: heads[0]] in parents or named and nodes[i][3])
-        chosen[i] = block in blocks or beside and (nodes[i][3] or not named)
-    return chosen
+    ratios = path_ratios(nodes)
+    below: dict[int, dict[int, float]] = defaultdict(dict)
+    prefixes: dict[tuple[int, str], int] = {}
+    ways = {}
+    for (path, weight), ratio in ratios.items():
+        way = [0]
+        for tag in path:
+            way.append(prefixes.setdefault((way[-1], tag), len(prefixes) + 1))
+        ways[path] = way
+        # only what is not named as no content lends its ratio to others
+        for place in way if weight >= 1 else ():
+            below[place][len(path)] = max(ratio, below[place].get(len(path), 0.0))
+    scores = {}
+    for (path, weight), ratio in ratios.items():
+        way = () if any(tag.split(".")[0] == "a" for tag in path) else ways[path]
+        shared = max((likeness(common, len(path), other) * best for common, place in enumerate(way) for other, best in below[place].items()), default=0.0)
+        scores[path, weight] = max(ratio, shared) * weight
+    return scores
+
+
+def _chosen(nodes: list) -> list[bool]:
+    """Which nodes are content: those of paths with a share of the highest score, and what else lies in their blocks, links for one."""
+    scores = path_scores(nodes)
+    least = max(LEAST_SCORE, LEAST_SHARE * max(scores.values(), default=0.0))
+    paths = {at for at, score in scores.items() if score >= least}
+    blocks = {block for path, block, text, weight, _ in nodes if text.strip() and (path, weight) in paths}
+    return [block in blocks for _, block, *_ in nodes]
 
 
 def main_text(markup: str | None) -> str:
