@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import Scratch
 
-#: words in a block; documents that a shard holds about; shards of a source at most
+#: words in a block; documents that a shard holds about; shards whose quotas are apportioned together
 BLOCK_WORDS = 64
 SHARD_DOCS = 1_000
-MOST_SHARDS = 4096
+GROUP_SHARDS = 4096
 NEW = ("size", "source_size", "target", "taken")
 
 
@@ -88,12 +88,14 @@ def _source_blocks(block: int, most_times: int):
     return run
 
 
-def _shard_blocks(block: int, most_times: int):
+def _part_blocks(part: str, block: int, most_times: int):
+    """The blocks of a whole, apportioned to its parts by their sizes."""
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("shard").reset_index(drop=True)
-        most = np.ceil(most_times * rows["shard_size"].to_numpy() / block).astype(np.int64)
-        rows["quota"] = apportion(rows["shard_size"].to_numpy(), int(rows["blocks"].iloc[0]), most)
-        return rows[["source", "shard", "shard_size", "quota"]]
+        rows = rows.sort_values(part).reset_index(drop=True)
+        most = np.ceil(most_times * rows["part_size"].to_numpy() / block).astype(np.int64)
+        rows["quota"] = apportion(rows["part_size"].to_numpy(), int(rows["blocks"].iloc[0]), most)
+        return rows[["source", *(["shard_group"] if part == "shard" else []), part, "part_size", "quota"]]
 
     return run
 
@@ -130,7 +132,7 @@ def mix_sources(
     seats = targets.groupBy(F.lit(0).alias("all")).applyInPandas(
         _source_blocks(block, most_times), "source string, source_size long, target double, blocks long"
     )
-    shards = F.least(F.lit(MOST_SHARDS), F.ceil(F.col("docs") / SHARD_DOCS)).cast("long").alias("shards")
+    shards = F.greatest(F.lit(1), F.ceil(F.col("docs") / SHARD_DOCS)).cast("long").alias("shards")
     counts = stats.select(F.col("source").alias("_mx_source"), shards)
     plan = scratch.write(seats.join(counts, F.col("source").eqNullSafe(F.col("_mx_source"))).drop("_mx_source"), "plan")
     own = plan.select(F.col("source").alias("_mx_own"), *[F.col(c).alias(f"_mx_{c}") for c in ("source_size", "target", "blocks", "shards")])
@@ -139,9 +141,18 @@ def mix_sources(
         return rows.join(own, F.col(source).eqNullSafe(F.col("_mx_own"))).withColumn("_mx_shard", F.pmod(F.xxhash64(h), F.col("_mx_shards")))
 
     shard_sizes = sharded(sized, "source", "h").groupBy("source", F.col("_mx_shard").alias("shard"), F.col("_mx_blocks").alias("blocks")).agg(
-        F.sum("size").alias("shard_size")
+        F.sum("size").alias("part_size")
+    )
+    # a source of any size has shards of one size, and so very many of them; they get their quotas in groups, which get theirs first
+    shard_sizes = scratch.write(shard_sizes.withColumn("shard_group", F.floor(F.col("shard") / GROUP_SHARDS)), "shard-sizes")
+    of_groups = shard_sizes.groupBy("source", "shard_group", "blocks").agg(F.sum("part_size").alias("part_size")).groupBy("source").applyInPandas(
+        _part_blocks("shard_group", block, most_times), "source string, shard_group long, part_size long, quota long"
     )
-    quotas = shard_sizes.groupBy("source").applyInPandas(_shard_blocks(block, most_times), "source string, shard long, shard_size long, quota long")
+    of_groups = of_groups.select(F.col("source").alias("_g_source"), F.col("shard_group").alias("_g"), F.col("quota").alias("blocks"))
+    grouped = shard_sizes.drop("blocks").join(of_groups, F.col("source").eqNullSafe(F.col("_g_source")) & (F.col("shard_group") == F.col("_g"))).drop("_g_source", "_g")
+    quotas = grouped.groupBy("source", "shard_group").applyInPandas(
+        _part_blocks("shard", block, most_times), "source string, shard_group long, shard long, part_size long, quota long"
+    ).select("source", "shard", F.col("part_size").alias("shard_size"), "quota")
     quotas = scratch.write(quotas, "quotas").select(*[F.col(c).alias(f"_mx_q_{c}") for c in ("source", "shard", "shard_size", "quota")])
 
     line = Window.partitionBy("_mx_source", "_mx_shard").orderBy("_mx_h", "_mx_size").rowsBetween(Window.unboundedPreceding, -1)
