@@ -183,13 +183,13 @@ def _cap(column: str, source: str = "n") -> str:
 
 _NUMBERS = ", ".join(f"CAST({_NUM.format(c)} AS {'FLOAT' if k == 'float' else 'INTEGER'}) AS {c}" for c, k in fv.FINANCIAL_TYPES.items())
 _KEPT = ", ".join(f"CASE WHEN {c} >= 0 THEN {c} END AS {c}" for c in fv.NON_NEGATIVE)
-_CLEAN = f"SELECT * REPLACE ({_KEPT}) FROM (SELECT * REPLACE ({_NUMBERS}) FROM raw_fin)"
+CLEAN = f"SELECT * REPLACE ({_KEPT}) FROM (SELECT * REPLACE ({_NUMBERS}) FROM raw_fin)"
 
 
 @query("f05_clip_upper", sql(
     f"""SELECT customer_id, CAST(CASE WHEN interest_rate > {_cap('interest_rate')} THEN {_cap('interest_rate')} ELSE interest_rate END AS DOUBLE)
     AS interest_rate, CAST(CASE WHEN num_bank_accounts > {_cap('num_bank_accounts')} THEN {_cap('num_bank_accounts')}
-    ELSE num_bank_accounts END AS DOUBLE) AS num_bank_accounts FROM n""", "raw_fin", n=_CLEAN))
+    ELSE num_bank_accounts END AS DOUBLE) AS num_bank_accounts FROM n""", "raw_fin", n=CLEAN))
 def _(spark, sf):
     clipped = silver.financials_main(views.raw_financials(spark, sf), clip_method="exact")
     return clipped.select("customer_id", "interest_rate", "num_bank_accounts")
@@ -284,30 +284,31 @@ def _(spark, sf):
     return views.raw_financials(spark, sf).select("customer_id", text.behaviour_code(F.col("payment_behaviour")).alias("code"))
 
 
-_NAMES = """SELECT customer_id, lower(replace(trim(unnest(string_split(replace(type_of_loan, ' and ', ','), ','))), ' ', '_')) AS name FROM raw_fin"""
+NAMES = """SELECT customer_id, lower(replace(trim(unnest(string_split(replace(type_of_loan, ' and ', ','), ','))), ' ', '_')) AS name FROM raw_fin"""
 
 
 @query("f15_loan_type_counts", sql(
-    "SELECT customer_id, name, CAST(count(*) AS INTEGER) AS n FROM names WHERE name <> '' GROUP BY ALL", "raw_fin", names=_NAMES))
+    "SELECT customer_id, name, CAST(count(*) AS INTEGER) AS n FROM names WHERE name <> '' GROUP BY ALL", "raw_fin", names=NAMES))
 def _(spark, sf):
     counts = text.loan_type_counts(F.col("type_of_loan"))
     return views.raw_financials(spark, sf).select("customer_id", F.explode(counts).alias("name", "n"))
 
 
-_TYPE_COLUMNS = ["auto_loan", "credit-builder_loan", "home_equity_loan", "not_specified", "personal_loan"]
+TYPE_COLUMNS = ["auto_loan", "credit-builder_loan", "home_equity_loan", "not_specified", "personal_loan"]
 
 
-@query("f16_loan_type_columns", sql(
-    "SELECT customer_id, " + ", ".join(
-        f"CAST((SELECT count(*) FROM names WHERE names.customer_id = f.customer_id AND name = '{n}') AS INTEGER) AS \"{n}\""
-        for n in _TYPE_COLUMNS) + " FROM raw_fin f", "raw_fin", names=_NAMES))
+LOAN_TYPES = "SELECT customer_id, " + ", ".join(
+    f"CAST((SELECT count(*) FROM names WHERE names.customer_id = f.customer_id AND name = '{n}') AS INTEGER) AS \"{n}\"" for n in TYPE_COLUMNS) + " FROM raw_fin f"
+
+
+@query("f16_loan_type_columns", sql(LOAN_TYPES, "raw_fin", names=NAMES))
 def _(spark, sf):
     return silver.loan_types(views.raw_financials(spark, sf)).drop("snapshot_date", "type_of_loan")
 
 
 @query("f16_sparse_loan_types", sql(
     """SELECT customer_id, name AS value, CAST(dense_rank() OVER (ORDER BY name) - 1 AS INTEGER) AS code, CAST(n AS DOUBLE) AS times
-    FROM (SELECT customer_id, name, count(*) AS n FROM names WHERE name <> '' GROUP BY ALL)""", "raw_fin", names=_NAMES))
+    FROM (SELECT customer_id, name, count(*) AS n FROM names WHERE name <> '' GROUP BY ALL)""", "raw_fin", names=NAMES))
 def _(spark, sf):
     """The counts of the wide form in one sparse vector per customer, whatever the number of names; read back through the dictionary."""
     raw = views.raw_financials(spark, sf).select("customer_id", "type_of_loan")
@@ -485,10 +486,12 @@ def _(spark, sf):
 
 
 # --- whole recipes -----------------------------------------------------------
-@query("m07_silver_attributes_main", sql(
-    f"""SELECT customer_id, name, CASE WHEN a BETWEEN 0 AND 120 THEN a END AS age,
+MAIN_ATTRIBUTES = f"""SELECT customer_id, name, CASE WHEN a BETWEEN 0 AND 120 THEN a END AS age,
     CASE WHEN regexp_matches(ssn, '^\\d{{3}}-\\d{{2}}-\\d{{4}}$') THEN ssn END AS ssn, nullif(occupation, '_______') AS occupation,
-    snapshot_date FROM (SELECT *, CAST({_NUM.format('age')} AS INTEGER) AS a FROM raw_attr)""", "raw_attr"))
+    snapshot_date FROM (SELECT *, CAST({_NUM.format('age')} AS INTEGER) AS a FROM raw_attr)"""
+
+
+@query("m07_silver_attributes_main", sql(MAIN_ATTRIBUTES, "raw_attr"))
 def _(spark, sf):
     return silver.silver_table("attributes", views.raw_attributes(spark, sf), "main")
 
@@ -498,10 +501,10 @@ def _(spark, sf):
     return silver.silver_table("clickstream", views.raw_clicks(spark, sf), "main")
 
 
-_FLOATS = [c for c, k in fv.FINANCIAL_TYPES.items() if k == "float"]
-_MAIN_FIN = (
+FLOATS = [c for c, k in fv.FINANCIAL_TYPES.items() if k == "float"]
+MAIN_FIN = (
     "SELECT customer_id, snapshot_date, payment_of_min_amount, credit_history_age, nullif(credit_mix, '_') AS credit_mix, "
-    + ", ".join(_FLOATS) + ", delay_from_due_date, "
+    + ", ".join(FLOATS) + ", delay_from_due_date, "
     + ", ".join(f"CAST(CASE WHEN {c} > {_cap(c)} THEN {_cap(c)} ELSE {c} END AS DOUBLE) AS {c}" for c in fv.CLIPPED)
     + f", {_part('(\\d+)\\s+Year')} AS credit_history_age_year, {_part('(\\d+)\\s+Month')} AS credit_history_age_month, "
     + ", ".join(
@@ -511,7 +514,7 @@ _MAIN_FIN = (
 )
 
 
-@query("m07_silver_financials_main", sql(_MAIN_FIN, "raw_fin", n=_CLEAN))
+@query("m07_silver_financials_main", sql(MAIN_FIN, "raw_fin", n=CLEAN))
 def _(spark, sf):
     return silver.silver_table("financials", views.raw_financials(spark, sf), "main", clip_method="exact")
 
@@ -521,14 +524,16 @@ def _(spark, sf):
     return silver.silver_table("lms", views.raw_lms(spark, sf), "main")
 
 
-@query("m08_silver_attributes_retrofit", sql(
-    """SELECT a.* EXCLUDE (name, ssn, age, occupation), TRY_CAST(age AS INTEGER) AS age,
+RETROFIT_ATTRIBUTES = """SELECT a.* EXCLUDE (name, ssn, age, occupation), TRY_CAST(age AS INTEGER) AS age,
     nullif(nullif(trim(occupation), '_______'), '') AS occupation,
     CASE WHEN regexp_matches(ssn, '^\\d{3}-\\d{2}-\\d{4}$') THEN 1 ELSE 0 END AS ssn_valid,
     CASE WHEN nullif(nullif(trim(occupation), '_______'), '') IS NULL THEN 0 ELSE 1 END AS occupation_known,
     CASE WHEN TRY_CAST(age AS INTEGER) >= 15 THEN 1 ELSE 0 END AS age_valid, c.n AS name_shared_count,
     CASE WHEN c.n > 1 THEN 1 ELSE 0 END AS is_name_shared
-    FROM raw_attr a LEFT JOIN (SELECT trim(name) AS name, count(*) AS n FROM raw_attr GROUP BY 1) c ON trim(a.name) = c.name""", "raw_attr"))
+    FROM raw_attr a LEFT JOIN (SELECT trim(name) AS name, count(*) AS n FROM raw_attr GROUP BY 1) c ON trim(a.name) = c.name"""
+
+
+@query("m08_silver_attributes_retrofit", sql(RETROFIT_ATTRIBUTES, "raw_attr"))
 def _(spark, sf):
     return silver.silver_table("attributes", views.raw_attributes(spark, sf))
 
@@ -538,7 +543,7 @@ def _(spark, sf):
     return silver.silver_table("clickstream", views.raw_clicks(spark, sf))
 
 
-_RETRO = (
+RETROFIT_FIN = (
     "SELECT customer_id, snapshot_date, CAST(regexp_replace(annual_income, '[^0-9.]', '', 'g') AS FLOAT) AS annual_income, "
     + ", ".join(f"TRY_CAST({c} AS FLOAT) AS {c}" for c in fv.RETROFIT_FLOATS) + ", "
     + ", ".join(f"TRY_CAST({c} AS INTEGER) AS {c}" for c in fv.RETROFIT_COUNTS)
@@ -555,7 +560,7 @@ _RETRO = (
 )
 
 
-@query("m08_silver_financials_retrofit", sql(_RETRO, "raw_fin"))
+@query("m08_silver_financials_retrofit", sql(RETROFIT_FIN, "raw_fin"))
 def _(spark, sf):
     return silver.silver_table("financials", views.raw_financials(spark, sf))
 

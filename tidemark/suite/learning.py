@@ -10,7 +10,7 @@ from tidemark.operators import boosting, evaluation, features as feats, models,
 from tidemark.plans import bronze, gold, lifecycle, silver
 from tidemark.session import scratch_path, staged
 from tidemark.sources import snapshots
-from tidemark.suite import views
+from tidemark.suite import cleaning, views
 from tidemark.suite.registry import query, r6
 from tidemark.suite.views import sql, table
 
@@ -38,36 +38,53 @@ def _main_store(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_NUM = "nullif(regexp_extract({}, '([-+]?\\d*\\.?\\d+)', 1), '')"
-_JOINED = f"""SELECT l.loan_id, l.customer_id, l.snapshot_date, l.dpd, l.mob, CASE WHEN a BETWEEN 0 AND 120 THEN a END AS age,
-    nullif(occupation, '_______') AS occupation, CAST({_NUM.format('monthly_balance')} AS FLOAT) AS monthly_balance,
-    nullif(credit_mix, '_') AS credit_mix, payment_of_min_amount,
-    CAST(nullif(regexp_extract(credit_history_age, '(\\d+)\\s+Year', 1), '') AS INTEGER) * 12
-    + CAST(nullif(regexp_extract(credit_history_age, '(\\d+)\\s+Month', 1), '') AS INTEGER) AS months
-    FROM lms l LEFT JOIN (SELECT *, CAST({_NUM.format('age')} AS INTEGER) AS a FROM raw_attr) t USING (customer_id)
-    LEFT JOIN raw_fin f USING (customer_id) WHERE l.mob = 6"""
 _OCCUPATIONS = ("automobile", "building", "furniture", "household")
+#: columns of the main store by what becomes of them; every one is compared
+_KEYS = ("loan_id", "customer_id", "snapshot_date", "loan_start_date", "first_missed_date")
+_WHOLE = ("tenure", "installment_num", "mob", "installments_missed", "dpd", "age", "delay_from_due_date", "credit_history_age_month", *cleaning.TYPE_COLUMNS)
+_DECIMAL = ("loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance", *cleaning.FLOATS, *fv.CLIPPED)
+_ENCODED = {"occupation": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"), "payment_of_min_amount": ("Yes", "No", "NM"), "credit_mix": ("Good", "Bad", "Standard"),
+            "payment_behaviour_spent": ("High", "Low"), "payment_behaviour_value": ("Small", "Medium", "Large")}
+_JOINED = """SELECT l.*, a.age, a.occupation, f.* EXCLUDE (customer_id, snapshot_date, credit_history_age, credit_history_age_year, credit_history_age_month),
+    f.credit_history_age_year * 12 + f.credit_history_age_month AS credit_history_age_month, t.* EXCLUDE (customer_id)
+    FROM (SELECT * FROM lms WHERE mob = 6) l LEFT JOIN attr a ON l.customer_id = a.customer_id LEFT JOIN fin f ON l.customer_id = f.customer_id LEFT JOIN types t ON l.customer_id = t.customer_id"""
+_MAIN_SQL = (
+    "SELECT " + ", ".join(f"j.{c}" for c in _KEYS) + ", "
+    + ", ".join(f'CAST(coalesce("{c}", trunc(avg("{c}") OVER ())) AS INTEGER) AS "{c}"' for c in _WHOLE) + ", "
+    + ", ".join(f"round(CAST(CAST(coalesce({c}, avg(CAST({c} AS DOUBLE)) OVER ()) AS {'DOUBLE' if c in fv.CLIPPED else 'FLOAT'}) AS DOUBLE), 2) AS {c}" for c in _DECIMAL) + ", "
+    + ", ".join(f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS {c}_{v.lower()}" for c, vs in _ENCODED.items() for v in vs) + ", "
+    + ", ".join(f"round({c}, 2) AS avg_{c}" for c in fv.CLICK_FEATURES)
+    + " FROM joined j LEFT JOIN (SELECT customer_id AS k, " + ", ".join(f"avg({c}) AS {c}" for c in fv.CLICK_FEATURES)
+    + " FROM raw_click GROUP BY customer_id, snapshot_date) c ON j.customer_id = c.k"
+)
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    """All columns, fractions to two places."""
+    return df.select(*[F.round(F.col(f"`{c}`").cast("double"), 2).alias(c) if kind in ("float", "double") else F.col(f"`{c}`") for c, kind in df.dtypes])
 
 
-@query("m05_feature_store_main", sql(
-    """SELECT loan_id, snapshot_date, CAST(coalesce(dpd, (SELECT trunc(avg(dpd)) FROM joined)) AS INTEGER) AS dpd,
-    CAST(coalesce(age, (SELECT trunc(avg(age)) FROM joined)) AS INTEGER) AS age,
-    round(coalesce(monthly_balance, (SELECT avg(CAST(monthly_balance AS DOUBLE)) FROM joined)), 2) AS monthly_balance,
-    CAST(coalesce(months, (SELECT trunc(avg(months)) FROM joined)) AS INTEGER) AS credit_history_age_month,
-    """ + ", ".join(f"CASE WHEN lower(occupation) = '{o}' THEN 1 ELSE 0 END AS occupation_{o}" for o in _OCCUPATIONS) + ", "
-    + ", ".join(f"CASE WHEN payment_of_min_amount = '{v}' THEN 1 ELSE 0 END AS payment_of_min_amount_{v.lower()}" for v in ("Yes", "No", "NM"))
-    + """, round(c.m, 6) AS avg_fe_1 FROM joined j LEFT JOIN (SELECT customer_id, snapshot_date AS d, avg(fe_1) AS m FROM raw_click GROUP BY 1, 2) c
-    ON j.customer_id = c.customer_id""",
-    "lms", "raw_attr", "raw_fin", "raw_click", joined=_JOINED))
+@query("m05_feature_store_main", sql(_MAIN_SQL, "lms", "raw_attr", "raw_fin", "raw_click", n=cleaning.CLEAN, attr=cleaning.MAIN_ATTRIBUTES, fin=cleaning.MAIN_FIN,
+       names=cleaning.NAMES, types=cleaning.LOAN_TYPES, joined=_JOINED))
 def _(spark, sf):
-    return _main_store(spark, sf).select(
-        "loan_id", "snapshot_date", "dpd", "age", F.round(F.col("monthly_balance").cast("double"), 2).alias("monthly_balance"),
-        "credit_history_age_month", *[f"occupation_{o}" for o in _OCCUPATIONS],
-        *[f"payment_of_min_amount_{v}" for v in ("yes", "no", "nm")], r6("avg_fe_1").alias("avg_fe_1"),
-    )
+    """Every column of the wide, imputed and encoded store."""
+    return _rounded(_main_store(spark, sf))
 
 
 @query("m06_feature_store_retrofit", sql(
+    """SELECT l.loan_id, a.* EXCLUDE (customer_id, snapshot_date, occupation), f.* EXCLUDE (customer_id, snapshot_date, credit_mix, payment_behaviour) REPLACE ("""
+    + ", ".join(f"round(CAST(f.{c} AS DOUBLE), 2) AS {c}" for c in ("annual_income", *fv.RETROFIT_FLOATS)) + """), c.* EXCLUDE (customer_id, snapshot_date)
+    FROM (SELECT loan_id, customer_id FROM lms WHERE mob = 6) l LEFT JOIN attr a ON l.customer_id = a.customer_id LEFT JOIN fin f ON l.customer_id = f.customer_id
+    LEFT JOIN raw_click c ON l.customer_id = c.customer_id""", "lms", "raw_attr", "raw_fin", "raw_click", attr=cleaning.RETROFIT_ATTRIBUTES, fin=cleaning.RETROFIT_FIN))
+def _(spark, sf):
+    """Every column of the store without imputation; a customer's click rows multiply their loans."""
+    return _rounded(gold.feature_store_retrofit(
+        silver.attributes_retrofit(views.raw_attributes(spark, sf)), silver.financials_retrofit(views.raw_financials(spark, sf)),
+        silver.clickstream_retrofit(views.raw_clicks(spark, sf)), views.lms(spark, sf),
+    ))
+
+
+@query("m06_features_by_loan", sql(
     """SELECT l.loan_id, count(*) AS n, CAST(sum(c.fe_1) AS BIGINT) AS fe_1, max(CAST(f.total_emi_per_month AS INTEGER)) AS emi,
     max(CASE WHEN contains(f.type_of_loan, 'Auto Loan') THEN 1 ELSE 0 END) AS auto_loan FROM lms l LEFT JOIN raw_fin f ON l.customer_id = f.customer_id
     LEFT JOIN raw_click c ON l.customer_id = c.customer_id WHERE l.mob = 6 GROUP BY l.loan_id""", "lms", "raw_fin", "raw_click"))
