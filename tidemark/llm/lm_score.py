@@ -2,12 +2,14 @@
 
 Words are hashed to a fixed vocabulary. The network sees the words around a position, never the one at it, and
 predicts its class; inside a class a word has its share of the corpus counts. A text's score is the
-sum of the log-probabilities of all its words. Counts cover all texts; the network is trained by every partition
-on every ``stride``-th position of its own texts, and the weights are averaged after each round.
+sum of the log-probabilities of all its words. Counts cover all texts. For training, texts are dealt by a hash into parts of one
+size, whose number grows with the corpus; each part trains on its own texts, and the weights are averaged after each
+round. Over the rounds every position of every text is a target once.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,6 +31,8 @@ HIDDEN = 32
 BLOCK = 4096
 #: equal pieces in which counts and weights are gathered, each in a task of its own
 PIECES = 64
+#: words of a part that trains by itself
+PART_WORDS = 4_000_000
 PAD = VOCABULARY
 OFFSETS = (*range(-REACH, 0), *range(1, REACH + 1))
 
@@ -142,9 +146,11 @@ def _piece(piece: int, weight: float, values: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([float(weight)]), pa.array([packed])], names=["piece", "weight", "packed"])
 
 
-def _gathered(pieces: DataFrame, dtype: str) -> dict[int, tuple[float, np.ndarray]]:
-    """Weighted means of the pieces of all partitions; their number and size are those of one model."""
-    rows = pieces.repartition("piece").mapInArrow(_sum_pieces(dtype), _PIECE).collect()
+def _gathered(pieces: DataFrame, dtype: str, parts: int) -> dict[int, tuple[float, np.ndarray]]:
+    """Weighted means of the pieces of ``parts`` parts, in two levels; their number and size are those of one model."""
+    some = F.pmod(F.spark_partition_id(), F.lit(max(1, math.isqrt(parts))))
+    halfway = pieces.withColumn("some", some).repartition("piece", "some").drop("some").mapInArrow(_sum_pieces(dtype), _PIECE)
+    rows = halfway.repartition("piece").mapInArrow(_sum_pieces("float64"), _PIECE).collect()
     return {r["piece"]: (r["weight"], np.frombuffer(zlib.decompress(r["packed"]))) for r in rows}
 
 
@@ -161,7 +167,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def word_counts(texts: DataFrame) -> np.ndarray:
     """Counts of all words of all texts, by hashed word."""
     # the mean times the number of partitions, rounded, is the exact sum up to 2 ** 52
-    found = _gathered(texts.mapInArrow(_count, _PIECE), "int64")
+    found = _gathered(texts.mapInArrow(_count, _PIECE), "int64", PIECES**2)
     return np.concatenate([np.rint(found[i][0] * found[i][1]) if i in found else np.zeros(VOCABULARY // PIECES) for i in range(PIECES)])
 
 
@@ -170,12 +176,12 @@ def _train(shared, stride: int, rate: float, round_: int):
         weights, classes = shared.value
         trainer, seen, waiting = Trainer(weights, rate), 0, []
         for batch in batches:
-            for first, hashes, words in chunks(batch.column(0)):
+            for _, hashes, words in chunks(batch.column(0)):
                 ids = _ids(hashes)
                 padded, place, row = _padded(ids, words)
                 # every stride-th word of every text, another one in every round
                 nth = np.arange(len(ids)) - words[row]
-                own = np.flatnonzero((nth + row + first + round_) % stride == 0)
+                own = np.flatnonzero((nth + round_) % stride == 0)
                 waiting.append((_context(padded, place[own]), classes[ids[own]]))
                 if sum(len(t) for _, t in waiting) >= BLOCK:
                     seen += _learn(trainer, waiting, BLOCK)
@@ -210,18 +216,23 @@ class Model:
     vocabulary: Vocabulary
 
 
-def fit_lm(docs: DataFrame, text_col: str = "text", rounds: int = 2, stride: int = 16, rate: float = 0.05) -> Model:
-    """Counts over all texts; then ``rounds`` passes in which each partition trains on every ``stride``-th position and the weights are averaged.
+def fit_lm(docs: DataFrame, text_col: str = "text", rounds: int = 2, stride: int = 2, rate: float = 0.05, part_words: int = PART_WORDS) -> Model:
+    """Counts over all texts; then ``rounds`` passes in which each part trains on every ``stride``-th position and the weights are averaged.
 
-    What is gathered grows with the number of partitions: one set of weights each. Texts that are null or hold no words add nothing; without any words the
-    first weights are returned.
+    With as many rounds as the stride every position is a target once. Rows are dealt by a hash of all their columns into parts of about ``part_words`` words and lie in its order
+    there, so the model does not depend on the table's partitions but for the rounding of sums. What is gathered grows with the number of parts: one set of weights each. Texts that are
+    null or hold no words add nothing; without any words the first weights are returned.
     """
     spark, texts = docs.sparkSession, docs.select(F.col(text_col).cast("string"))
-    vocabulary = Vocabulary.of(word_counts(texts))
+    counts = word_counts(texts)
+    vocabulary = Vocabulary.of(counts)
+    parts = max(1, math.ceil(counts.sum() / part_words))
+    dealt = docs.select(F.col(text_col).cast("string").alias("text"), F.xxhash64(*[F.col(c) for c in docs.columns]).alias("h"))
+    dealt = dealt.repartitionById(parts, F.pmod("h", F.lit(parts)).cast("int")).sortWithinPartitions("h", "text").select("text")
     weights = new_weights()
     for round_ in range(rounds):
         shared = spark.sparkContext.broadcast((weights, vocabulary.classes))
-        found = _gathered(texts.mapInArrow(_train(shared, stride, rate, round_), _PIECE), "float32")
+        found = _gathered(dealt.mapInArrow(_train(shared, stride, rate, round_), _PIECE), "float32", parts)
         if found:
             flat = np.concatenate([found[i][1] for i in range(PIECES)]).astype(np.float32)
             ends = np.cumsum([w.size for w in weights])[:-1]
