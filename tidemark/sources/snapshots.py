@@ -57,14 +57,17 @@ def write_snapshot(df: DataFrame, path: str, day: str, by: str = SNAPSHOT) -> No
     committed.write_parts(df.where(F.col(by) == F.lit(day).cast("date")), path, [by], drop=of_period(day, by))
 
 
+def _is_loaded(spark: SparkSession, path: str) -> bool:
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def write_once(df: DataFrame, path: str) -> None:
     """Load-once table: a second call changes nothing.
 
     Only a write that was committed counts; what a failed first load has left is replaced.
     """
-    spark = df.sparkSession
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
+    if not _is_loaded(df.sparkSession, path):
         df.write.mode("overwrite").parquet(path)
 
 
@@ -195,6 +198,22 @@ def period_counts(spark: SparkSession, path: str, by: str = SNAPSHOT) -> DataFra
     return counts.groupBy(by).agg(F.sum("n").alias("record_count"))
 
 
+def inventory(spark: SparkSession, roots: Mapping[str, str], tables: Sequence[str], by: str = SNAPSHOT) -> DataFrame:
+    """(layer, table, period) of what is stored under the root of each layer: the periods of committed tables, by their catalogue, and NULL for a load-once table.
+
+    No data file is opened.
+    """
+    rows = []
+    for layer, root in roots.items():
+        for name in tables:
+            manifest = committed.read_manifest(spark, f"{root}/{name}")
+            if manifest:
+                rows += [(layer, name, day) for day in {committed.part_value(part, by) for part in manifest.parts}]
+            elif _is_loaded(spark, f"{root}/{name}"):
+                rows.append((layer, name, None))
+    return spark.createDataFrame(rows, "layer string, table string, day string").select("layer", "table", F.col("day").try_cast("date").alias("period"))
+
+
 def bundle_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
     """Rows per table as one union; a missing table counts 0."""
     counts = [

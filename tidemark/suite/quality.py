@@ -8,6 +8,8 @@ from tidemark.operators import quality, reports
 from tidemark.operators.columns import at_mob
 from tidemark.operators.skew import left_join_chain
 from tidemark.plans import gold, silver
+from tidemark.session import scratch_path
+from tidemark.sources import snapshots
 from tidemark.suite import views
 from tidemark.suite.registry import query, r6
 from tidemark.suite.views import sql, table
@@ -112,6 +114,28 @@ def _(spark, sf):
     return quality.availability(monthly.unionByName(static), periods, "1996-01-01")
 
 
+@query("q08_stored_availability", """SELECT period, CAST(CASE WHEN clicks IS NULL THEN 2 ELSE 0 END + CASE WHEN loans IS NULL THEN 2 ELSE 0 END
+    + CASE WHEN period > DATE '1996-01-01' THEN 1 ELSE 0 END AS BIGINT) AS n_missing,
+    CASE WHEN clicks IS NOT NULL AND loans IS NOT NULL AND period <= DATE '1996-01-01' THEN 'data_available' ELSE 'data_unavailable' END AS status
+    FROM (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS period FROM orders)
+    LEFT JOIN (SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS DATE) AS loans FROM lineitem) ON loans = period
+    LEFT JOIN (SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS DATE) AS clicks FROM lineitem WHERE l_returnflag = 'A') ON clicks = period""")
+def _(spark, sf):
+    """What is there is read from the stored tables' catalogues; of the static tables, financials silver was never loaded."""
+    root = scratch_path(spark, "stored")
+    month = F.trunc(F.col("l_shipdate").cast("date"), "month").alias("snapshot_date")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", month)
+    customers = table(spark, sf, "customer").select("c_custkey")
+    for layer in ("bronze", "silver"):
+        snapshots.write_snapshots(lines, f"{root}/{layer}/lms")
+        snapshots.write_snapshots(lines.where("l_returnflag = 'A'"), f"{root}/{layer}/clickstream")
+        for name in ("attributes", "financials") if layer == "bronze" else ("attributes",):
+            snapshots.write_once(customers, f"{root}/{layer}/{name}")
+    found = snapshots.inventory(spark, {layer: f"{root}/{layer}" for layer in ("bronze", "silver")}, ("lms", "clickstream", "attributes", "financials"))
+    periods = table(spark, sf, "orders").select(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("period")).distinct()
+    return quality.availability(found, periods, "1996-01-01")
+
+
 @query("q09_join_audit", sql(
     """SELECT 'anchor' AS step, count(*) AS n_rows FROM lms WHERE mob = 6 UNION ALL SELECT 'with_attributes', count(*) FROM lms LEFT JOIN raw_attr USING (customer_id)
     WHERE mob = 6 UNION ALL SELECT 'with_clicks', count(*) FROM lms l LEFT JOIN raw_click c ON l.customer_id = c.customer_id WHERE mob = 6
