@@ -76,13 +76,17 @@ def test_growth_ends_after_the_best_round(noisy):
 
 
 @pytest.mark.parametrize("classes,label", [(2, "label"), (4, "grade")])
-def test_same_model_however_rows_are_dealt(noisy, monkeypatch, classes, label):
-    """In one task or spread, a level a job; margins staged on the way."""
+def test_same_model_however_rows_are_dealt(spark, noisy, monkeypatch, classes, label):
+    """In one task or spread, a level a job; margins staged on the way, many batches to a task."""
     held, settings = F.col("loan_id") % 4 == 0, {"n_estimators": 5, "max_depth": 3, "subsample": 0.7, "colsample": 0.6, "key": ["loan_id"]}
     alone = boosting.fit(noisy, "abcd", label, held, classes, **settings)
     monkeypatch.setattr(boosting, "TASK_ROWS", 400)
     monkeypatch.setattr(boosting, "STAGED_ROUNDS", 2)
-    spread = boosting.fit(noisy.repartition(5), "abcd", label, held, classes, **settings)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 70)
+    try:
+        spread = boosting.fit(noisy.repartition(5), "abcd", label, held, classes, **settings)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert alone.losses == spread.losses and len(alone.rounds) == len(spread.rounds) > 0
     for one, other in zip(alone.rounds, spread.rounds):
         for t, u in zip(one, other):

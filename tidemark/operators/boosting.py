@@ -218,15 +218,23 @@ class SpreadRows:
         self.model, self.binned, self.since, self.margins = model, binned, [], False
         self.width = max((len(c) for c in model.cuts), default=0) + 1
 
-    def _each(self, work, schema: str) -> DataFrame:
+    def _each(self, work, schema: str, at_end=None) -> DataFrame:
+        """What ``work`` makes of every batch; with ``at_end`` its results are added up in the task and one batch is made of the sum."""
         model, since, margins = self.model, list(self.since), self.margins
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
             for batch in batches:
                 rows = _held_rows(model, [batch], margins)
                 for trees in since:
                     rows.add(trees)
-                yield work(rows, batch)
+                made = work(rows, batch)
+                if at_end is None:
+                    yield made
+                else:
+                    total = made if total is None else total + made
+            if total is not None:
+                yield at_end(total)
 
         return self.binned.mapInArrow(run, schema)
 
@@ -242,23 +250,29 @@ class SpreadRows:
     def histograms(self, tree: Tree, open_: Sequence[int], features: np.ndarray, number: int, k: int) -> np.ndarray:
         shape = (2, len(open_), len(features), self.width)
 
-        def cells(rows: HeldRows, batch: pa.RecordBatch) -> pa.RecordBatch:
-            sums = rows.histograms(tree, open_, features, number, k).reshape(2, -1).astype(np.int64)
-            filled = np.flatnonzero(sums.any(0))
-            return pa.RecordBatch.from_arrays([pa.array(filled), *[pa.array(side[filled]) for side in sums]], names=["cell", "g", "h"])
+        def sums(rows: HeldRows, batch: pa.RecordBatch) -> np.ndarray:
+            return rows.histograms(tree, open_, features, number, k).reshape(2, -1)
+
+        def cells(total: np.ndarray) -> pa.RecordBatch:
+            total = total.astype(np.int64)
+            filled = np.flatnonzero(total.any(0))
+            return pa.RecordBatch.from_arrays([pa.array(filled), *[pa.array(side[filled]) for side in total]], names=["cell", "g", "h"])
 
         # as many rows as the tree level has cells, whatever the table
         out = np.zeros((2, math.prod(shape[1:])))
-        for r in self._each(cells, "cell long, g long, h long").groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect():
+        for r in self._each(sums, "cell long, g long, h long", cells).groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect():
             out[:, r["cell"]] = r["g"], r["h"]
         return out.reshape(shape)
 
     def loss(self) -> tuple[float, int]:
-        def one(rows: HeldRows, batch: pa.RecordBatch) -> pa.RecordBatch:
-            total, n = rows.loss()
-            return pa.RecordBatch.from_arrays([pa.array([int(total)]), pa.array([n])], names=["loss", "n"])
+        def both(rows: HeldRows, batch: pa.RecordBatch) -> np.ndarray:
+            return np.array(rows.loss())
+
+        def one(total: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in total], names=["loss", "n"])
 
-        r = self._each(one, "loss long, n long").agg(F.coalesce(F.sum("loss"), F.lit(0)).alias("loss"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+        said = self._each(both, "loss long, n long", one)
+        r = said.agg(F.coalesce(F.sum("loss"), F.lit(0)).alias("loss"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
         return float(r["loss"]), int(r["n"])
 
 
