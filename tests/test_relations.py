@@ -179,6 +179,18 @@ def test_splits(spark):
     assert tiny.first().part == "test"
 
 
+def test_repeated_keys_across_the_cut(spark):
+    """Every class gives exactly its share, also where one key, or one whole row, is there many times."""
+    data = [(i // 7, i, i % 2) for i in range(100)] + [(5, 5, 2)] * 11 + [(None, i, None) for i in range(10)]
+    df = spark.createDataFrame(data, "id long, x long, label int")
+    marked = feats.stratified_split(df, "id", "label")
+    assert rows(marked.groupBy("label", "part").count(), "label", "part", "count") == [
+        (0, "test", 10), (0, "train", 40), (1, "test", 10), (1, "train", 40), (2, "test", 3), (2, "train", 8), (None, "test", 2), (None, "train", 8),
+    ]
+    assert rows(marked.drop("part"), "id", "x", "label") == rows(df, "id", "x", "label")
+    assert rows(feats.stratified_split(df.repartition(5), "id", "label"), "id", "x", "label", "part") == rows(marked, "id", "x", "label", "part")
+
+
 def test_codes(spark):
     df = spark.createDataFrame([("B",), ("A",), ("C",), ("A",)], "grade string")
     assert rows(feats.encode_labels(df, "grade"), "grade", "grade_index") == [("A", 0), ("A", 0), ("B", 1), ("C", 2)]
