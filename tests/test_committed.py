@@ -129,3 +129,9 @@ def test_arrival_in_many_batches(spark, tmp_path, monkeypatch, row_local):
     assert snapshots.read_table(spark, f"{root}/b").count() == 15
     parts = [n for n in committed.read_manifest(spark, f"{root}/b").parts if "2024-01-01" in n]
     assert len(parts) <= 4
+
+
+def test_gathered_rows_are_stored_without_a_shuffle(spark, tmp_path):
+    df = spark.createDataFrame([("2024-01-01", 1), ("2024-02-01", 2), ("2024-01-01", 3)], "snapshot_date string, x int")
+    committed.write_parts(df, f"{tmp_path}/t", ["snapshot_date"], gathered=True)
+    assert rows(committed.read_parts(spark, f"{tmp_path}/t"), "snapshot_date", "x") == [("2024-01-01", 1), ("2024-01-01", 3), ("2024-02-01", 2)]

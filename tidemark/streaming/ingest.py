@@ -35,7 +35,7 @@ def _is_batch(number: int) -> Callable[[str], bool]:
 
 
 def _store_batch(batch: DataFrame, number: int, bronze: str, rejects: str) -> DataFrame:
-    """Store the rows by month and batch, those without a readable date apart; returns the former.
+    """Store the rows by month and batch, those without a readable date apart; returns the former as they are stored.
 
     Both folders carry the batch number, so a replay replaces its own files.
     """
@@ -45,7 +45,7 @@ def _store_batch(batch: DataFrame, number: int, bronze: str, rejects: str) -> Da
     bad = rows.where("_day is null").drop("_day")
     if not bad.isEmpty():
         committed.write_parts(bad.withColumn(BATCH, F.lit(number)), rejects, [BATCH], drop=_is_batch(number))
-    return good
+    return committed.read_parts(batch.sparkSession, bronze, _is_batch(number)).drop(BATCH)
 
 
 def _months_of(spark: SparkSession, path: str, number: int) -> list[str]:
@@ -108,7 +108,8 @@ def ingest_available(
         months = _months_of(spark, bronze, number)
         if row_local:
             made = recipe(rows).withColumn(BATCH, F.lit(number))
-            committed.write_parts(made, silver, [snapshots.SNAPSHOT, BATCH], drop=_is_batch(number))
+            # the stored months lie in few files each, and so do the rows made of them
+            committed.write_parts(made, silver, [snapshots.SNAPSHOT, BATCH], drop=_is_batch(number), gathered=True)
             compact(spark, silver, months, number)
         elif months:
             _rebuild(spark, months, bronze, silver, recipe)
