@@ -29,7 +29,7 @@ from tidemark.llm.text_hashes import mix, shingle_rows
 #: counters of the frequency sketch and its pieces; parts of the suffix filter; bits of a membership bitmap
 SLOTS = 1 << 20
 PIECES = 32
-PARTS = 16
+PARTS = 64
 BITMAP_BITS = 1 << 25
 
 
@@ -102,7 +102,7 @@ def _prefixes(n: int, similarity: int, levels):
                 ranks.append(int(64 * keys.mean()) << 48 | int(signatures[-1]) >> 16 if size else 0)
                 order = np.lexsort((distinct, keys))[:wanted]
                 prefixes.append(distinct[order])
-                parts.append(np.bincount((distinct >> np.uint64(60)).astype(np.int64), minlength=PARTS))
+                parts.append(np.bincount((distinct // np.uint64((1 << 64) // PARTS)).astype(np.int64), minlength=PARTS))
             ends = np.r_[0, np.cumsum([len(p) for p in prefixes])].astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
@@ -245,14 +245,15 @@ class _Join:
         one = self.rows.where("n > 0").groupBy("sig").agg(F.min("row").alias("row")).join(wanted, "sig")
         bits = self.spark.sparkContext.broadcast(bitmap(one.select(F.col("row").bitwiseXOR(F.col("sig")))))
         sets = self.texts.select("_nj_row", "_nj_text").mapInArrow(_whole_sets(self.n, bits), "sig long, grams array<long>")
-        sets = self.scratch.write(sets.join(wanted, "sig").dropDuplicates(["sig"]), f"{name}-sets")
+        # shuffled once: both joins read the sets by the same key
+        sets = sets.groupBy("sig").agg(F.first("grams").alias("grams"))
         both = pairs.join(sets.select(F.col("sig").alias("b"), F.col("grams").alias("b_grams")), "b").join(
             sets.select(F.col("sig").alias("a"), F.col("grams").alias("a_grams")), "a"
         )
         common = F.size(F.array_intersect("a_grams", "b_grams"))
         links = both.where((100 + self.similarity) * common >= self.similarity * (F.col("a_n") + F.col("b_n"))).select("a", "b")
         links = self.scratch.write(links, f"{name}-links")
-        self.scratch.drop(sets, pairs)
+        self.scratch.drop(pairs)
         return links
 
     def across(self, shared: DataFrame, found: DataFrame) -> DataFrame:
