@@ -243,3 +243,16 @@ def test_nested_tuning(spark):
     model, params, report = lifecycle.tune_and_refit(df, ["a", "b"], sample_share=0.5, trials=2, ranges=ranges)
     row = report.first()
     assert params["max_depth"] == 3 and row.roc_auc == pytest.approx(1.0) and 50 < row.total_loans < 110
+
+
+def test_loaded_silver_is_not_made_again(spark, tmp_path, monkeypatch):
+    made = []
+    recipes = {name: (lambda raw, name=name: made.append(name) or raw) for name in ("attributes", "financials", "loan_type")}
+    monkeypatch.setitem(silver.RECIPES, "main", recipes)
+    for table in ("attributes", "financials"):
+        bronze.ingest_static(spark.createDataFrame([("c1", "x")], "customer_id string, v string"), f"{tmp_path}/b/{table}")
+    for day in ("2024-01-01", "2024-02-01"):
+        for table in ("attributes", "financials"):
+            assert silver.write_silver(spark, f"{tmp_path}/b", f"{tmp_path}/s", table, day, "main") is True
+    assert made == ["attributes", "financials", "loan_type"]
+    assert snapshots.read_table(spark, f"{tmp_path}/s/loan_type").count() == 1
