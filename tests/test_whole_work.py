@@ -48,7 +48,7 @@ def searched(monkeypatch):
     return calls
 
 
-@pytest.mark.parametrize("name", ["m14_trials"])
+@pytest.mark.parametrize("name", ["m14_trials", "m14_tuned_boosted"])
 def test_searches_read_every_labelled_row(spark, sf, searched, name):
     with pytest.raises(Called):
         QUERIES[name](spark, sf)
