@@ -53,3 +53,10 @@ def test_searches_read_every_labelled_row(spark, sf, searched, name):
     with pytest.raises(Called):
         QUERIES[name](spark, sf)
     assert searched[0][0] == 600
+
+
+@pytest.mark.parametrize("name", ["m15_multiclass_report"])
+def test_grade_searches_read_every_row(spark, sf, searched, name):
+    with pytest.raises(Called):
+        QUERIES[name](spark, sf)
+    assert searched[0][0] == 600 and searched[0][1].get("sample_share") == 1.0
