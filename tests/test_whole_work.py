@@ -55,7 +55,7 @@ def test_searches_read_every_labelled_row(spark, sf, searched, name):
     assert searched[0][0] == 600
 
 
-@pytest.mark.parametrize("name", ["m15_multiclass_report"])
+@pytest.mark.parametrize("name", ["m15_multiclass_report", "m15_multiclass_search"])
 def test_grade_searches_read_every_row(spark, sf, searched, name):
     with pytest.raises(Called):
         QUERIES[name](spark, sf)
