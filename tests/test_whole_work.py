@@ -1,10 +1,16 @@
-"""Queries that fit take every row of their tables, on tables of our own."""
+"""Queries that fit or chain stages take every row of their tables and let every stage count, on tables of our own."""
 
+import os
+import sys
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import models
-from tidemark.suite import QUERIES, learning, views
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+from check import rows_of  # noqa: E402
+from tidemark.operators import models  # noqa: E402
+from tidemark.suite import ORACLES, QUERIES, learning, views  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -60,3 +66,16 @@ def test_grade_searches_read_every_row(spark, sf, searched, name):
     with pytest.raises(Called):
         QUERIES[name](spark, sf)
     assert searched[0][0] == 600 and searched[0][1].get("sample_share") == 1.0
+
+
+def test_every_silver_table_reaches_both_gold_tables(spark, sf):
+    got = QUERIES["m05_bronze_to_gold"](spark, sf).toArrow()
+    duck = duckdb.connect()
+    for name in ("customer", "orders", "lineitem", "events"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet/*.parquet'")
+    assert rows_of(got) == rows_of(duck.sql(ORACLES["m05_bronze_to_gold"]).to_arrow_table())
+    rows = got.to_pylist()
+    assert len(rows) == 4 and all(r["clicked"] > 0 and r["ages"] > 0 and r["autos"] > 0 for r in rows)
+    # a month takes the clicks of that month alone
+    clicks = {r["snapshot_date"].month: r["clicks"] for r in rows if r["variant"] == "retrofit"}
+    assert clicks[7] != clicks[8]
